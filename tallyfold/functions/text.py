@@ -14,8 +14,6 @@ WHITESPACE = (
 HEADER, FOOTER = "H", "T"
 FIELD, PAIR = "|", "~"
 
-_ALL = 2**31 - 1
-
 
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
@@ -48,7 +46,8 @@ def footer_pairs(line: Column) -> Column:
 
     A pair needs exactly one separator and a whole number behind it.
     """
-    parts = F.slice(fields(line), F.lit(2), F.lit(_ALL))
+    cells = fields(line)
+    parts = F.slice(cells, F.lit(2), F.size(cells))
 
     def pair(text: Column, position: Column) -> Column:
         sides = F.split(text, PAIR, -1)
