@@ -41,9 +41,7 @@ def canonical(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
 
 
 def spark_kind(t: str) -> str:
-    for k in ("int", "long"):
-        t = t.replace(k, k)
-    return {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "double": "DOUBLE"}.get(t, t)
+    return {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "double": "DOUBLE"}.get(t, t.upper())
 
 
 def compare(spark, con, sf_dir, name, query, sql) -> str:
