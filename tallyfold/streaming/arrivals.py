@@ -60,7 +60,9 @@ def ingest(stream: DataFrame, out: str, checkpoint: str, every: str | None = Non
 
 def arrivals(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
     """(key, bucket, at, message) of arriving files, as a stream. Only the listing is used."""
-    stream = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    listed = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(listed).option("recursiveFileLookup", "true")
+    stream = reader.load(path)
     return arrival_log(stream.select(F.col("path").alias("file"), F.col("modificationTime").alias("modified")), root or path)
 
 

@@ -194,7 +194,11 @@ def transpose_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transpose_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = TransposeConfig(
-        ("user_id",), "event_type", "value", pivot_values=("click", "error", "purchase", "view"), order_by=("ts", "event_id")
+        ("user_id",),
+        "event_type",
+        "value",
+        pivot_values=("click", "error", "purchase", "signup", "view"),
+        order_by=("ts", "event_id"),
     )
     return pivot(table(spark, sf_dir, "events"), cfg)
 
@@ -300,6 +304,7 @@ ORACLE = {
                arg_min(value, (ts, event_id)) FILTER (event_type = 'click') AS click,
                arg_min(value, (ts, event_id)) FILTER (event_type = 'error') AS error,
                arg_min(value, (ts, event_id)) FILTER (event_type = 'purchase') AS purchase,
+               arg_min(value, (ts, event_id)) FILTER (event_type = 'signup') AS signup,
                arg_min(value, (ts, event_id)) FILTER (event_type = 'view') AS view
         FROM events GROUP BY user_id""",
 }

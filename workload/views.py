@@ -35,7 +35,8 @@ def data_lines(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     """(extract, ord, rec_type, value) of the data lines."""
 
     def typed(name: str, rec_type: str, deal, *fields: str) -> DataFrame:
-        line = F.concat_ws("|", F.lit(rec_type), *[F.col(f).cast("string") for f in fields])
+        text = lambda f: F.date_format(f, "yyyyMMdd") if f.endswith("date") else F.col(f).cast("string")
+        line = F.concat_ws("|", F.lit(rec_type), *[text(f) for f in fields])
         return table(spark, sf_dir, name).select(
             F.pmod(deal, F.lit(n)).cast("int").alias("extract"),
             F.lit(1).alias("ord"),
@@ -45,7 +46,7 @@ def data_lines(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
 
     parts = [
         typed("customer", "9000", F.col("c_custkey"), "c_custkey", "c_name", "c_mktsegment"),
-        typed("orders", "9005", F.col("o_orderkey"), "o_orderkey", "o_custkey", "o_orderpriority"),
+        typed("orders", "9005", F.col("o_orderkey"), "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"),
         typed(
             "lineitem",
             "9006",
@@ -137,7 +138,7 @@ data AS (
          concat_ws('|', '9000', c_custkey, c_name, c_mktsegment) AS line FROM customer, nx
   UNION ALL
   SELECT o_orderkey % n, '9005', CAST(o_orderkey AS VARCHAR),
-         concat_ws('|', '9005', o_orderkey, o_custkey, o_orderpriority) FROM orders, nx
+         concat_ws('|', '9005', o_orderkey, o_custkey, o_orderpriority, strftime(o_orderdate, '%Y%m%d')) FROM orders, nx
   UNION ALL
   SELECT (l_orderkey + l_linenumber) % n, '9006', CAST(l_orderkey AS VARCHAR),
          concat_ws('|', '9006', l_orderkey, l_linenumber, l_returnflag) FROM lineitem, nx
