@@ -12,7 +12,7 @@ from tallyfold.operators import extract, filecheck
 from tallyfold.plans import batch
 from tallyfold.session import new_folder
 from tallyfold.sources import readers, sinks
-from workload.views import landing, lines, named, table, with_lines
+from workload.views import landing, lines, table, with_lines
 
 RUN_DATE = dt.date(2024, 9, 2)
 
@@ -27,7 +27,7 @@ def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return named(readers.read_lines(spark, landing(spark, sf_dir), by="folder"))
+    return lines(spark, sf_dir)
 
 
 def segregate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,8 +58,7 @@ def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segregate_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = named(readers.read_lines(spark, landing(spark, sf_dir), by="folder"))
-    stored = batch.segregate(src, new_folder(spark, "split"), RUN_DATE, text=True)
+    stored = batch.segregate(lines(spark, sf_dir), new_folder(spark, "split"), RUN_DATE, text=True)
     return stored.select(F.col("dt").cast("date").alias("dt"), F.col("rec_type").cast("string").alias("rec_type"), "extract", "value")
 
 
@@ -76,9 +75,8 @@ def checksum_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checksum_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = named(readers.read_lines(spark, landing(spark, sf_dir), by="folder"))
     path, run_ts = new_folder(spark, "routed"), dt.datetime(2024, 9, 2, 7, 30)
-    batch.check_and_route(src, path, run_ts)
+    batch.check_and_route(lines(spark, sf_dir), path, run_ts)
     stored = spark.read.parquet(f"{path}/{sinks.hour_path(run_ts)}")
     return stored.select("file", F.col("rec_type").cast("string").alias("rec_type"), "line", "status")
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.session import new_folder
+from tallyfold.sources.readers import read_lines
 
 ROWS_PER_EXTRACT = 1_000_000
 MIN_EXTRACTS = 4
@@ -94,16 +95,11 @@ def extract_name(extract):
     return F.concat(F.lit("extract_"), extract.cast("string"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file, value): the landing lines as a frame."""
-    return all_lines(spark, sf_dir).select(extract_name(F.col("extract")).alias("file"), "value")
-
-
 _LANDED: dict[tuple[str, str], str] = {}
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
-    """The same lines as text: one file per extract, header first, footer last.
+    """The lines as text: one file per extract, header first, footer last.
     Written once per session."""
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _LANDED:
@@ -122,9 +118,10 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     return _LANDED[known]
 
 
-def named(lines_read: DataFrame) -> DataFrame:
-    """Landing lines read by folder, with the extract's own name."""
-    return lines_read.withColumn("file", F.substring_index("file", "=", -1))
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, value) read back from the landing text, named by extract."""
+    read = read_lines(spark, landing(spark, sf_dir), by="folder")
+    return read.withColumn("file", F.substring_index("file", "=", -1))
 
 
 # The same inputs in SQL.
