@@ -36,6 +36,11 @@ def entry(config: dict, name: str):
     return config[name]
 
 
+def clean_name(name: str) -> str:
+    """A column name as histories hold it."""
+    return name.strip().translate(str.maketrans({" ": "_", "-": "_", "(": None, ")": None})).lower()
+
+
 # ---- schemas ---------------------------------------------------------------
 
 # Type names a schema config may use. Dates stay text until the
@@ -160,16 +165,17 @@ class HistoryConfig:
 
     @staticmethod
     def of(config: dict, rec_type: str) -> "HistoryConfig":
+        """From the settings of one type; column names are cleaned like the columns."""
         c = entry(config, rec_type)
         if not c.get("primary_keys") or not c.get("Batch_date"):
             raise ConfigError(f"{rec_type}: primary_keys and Batch_date are required")
-        as_tuple = lambda v: (v,) if isinstance(v, str) and v else tuple(v or ())
+        names = lambda v: tuple(clean_name(n) for n in ([v] if isinstance(v, str) and v else v or ()))
         return HistoryConfig(
             rec_type=rec_type,
-            primary_keys=as_tuple(c["primary_keys"]),
-            batch_date=c["Batch_date"],
-            joining_key=as_tuple(c.get("joining_key")),
-            delete_indicator=c.get("Delete_indicator_column") or None,
+            primary_keys=names(c["primary_keys"]),
+            batch_date=clean_name(c["Batch_date"]),
+            joining_key=names(c.get("joining_key")),
+            delete_indicator=clean_name(c.get("Delete_indicator_column") or "") or None,
             database=c.get("database_name", ""),
             source_path=c.get("source_path", ""),
             table_path=c.get("hudi_table_path", "")  # key name fixed by existing configs,

@@ -19,6 +19,10 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def strip_left(c: Column) -> Column:
+    return F.ltrim(c, F.lit(WHITESPACE))
+
+
 def fields(line: Column) -> Column:
     """Every field of a line, empty ones included."""
     return F.split(line, r"\|", -1)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.config import ConfigError
+from tallyfold.config import ConfigError, clean_name
 from tallyfold.functions import text as X
 
 # Columns the record check adds, and the mark of a date column.
@@ -21,10 +21,6 @@ OUTCOME_COLUMNS = (
 DATE_MARK = "_DATE"
 
 
-def clean_name(name: str) -> str:
-    return name.strip().translate(str.maketrans({" ": "_", "-": "_", "(": None, ")": None})).lower()
-
-
 def clean_names(df: DataFrame) -> DataFrame:
     names = [clean_name(c) for c in df.columns]
     twice = sorted({n for n in names if names.count(n) > 1})

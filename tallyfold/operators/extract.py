@@ -19,11 +19,15 @@ def tagged(lines: DataFrame, keep_short: bool = False) -> DataFrame:
     A line needs two fields; `keep_short` keeps the others too, an empty line
     then has the empty type.
     """
-    line = X.strip(F.col("value"))
-    rows = lines.select("file", line.alias("line"))
-    if not keep_short:
-        rows = rows.where(F.contains("line", F.lit(X.FIELD)))
-    return rows.select("file", X.record_type(F.col("line")).alias("rec_type"), "line")
+    value = F.col("value")
+    line = X.strip(value)
+    if keep_short:
+        return lines.select("file", X.record_type(line).alias("rec_type"), line.alias("line"))
+    # With a separator in the line its end does not matter for the type, and filters
+    # on the type then cost no full strip.
+    return lines.where(F.contains(value, F.lit(X.FIELD))).select(
+        "file", X.record_type(X.strip_left(value)).alias("rec_type"), line.alias("line")
+    )
 
 
 def is_control(rec_type: Column) -> Column:

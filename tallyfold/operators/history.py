@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.functions import text as X
 from tallyfold.operators.columns import align, clean_names, drop_outcomes
-from tallyfold.operators.joins import _on, _renamed, salted_left_join, without_keys
+from tallyfold.operators.joins import lookup, lookup_stored, null_safe, renamed, without_keys
+from tallyfold.session import materialise
 
 # The open end date, the mark of a deleted row, the history columns.
 OPEN_END = dt.date(9999, 12, 31)
@@ -100,7 +101,7 @@ def delete_flag(df: DataFrame, indicator: str | None) -> Column:
 
 def new_rows(batch: DataFrame, cfg: HistoryConfig, run_date: Day | None = None) -> DataFrame:
     """Batch rows as open history rows."""
-    held = batch.schema[cfg.batch_date].dataType
+    held = batch.select(cfg.batch_date).schema[0].dataType
     start = F.col(cfg.batch_date) if isinstance(held, T.DateType) else X.batch_day(F.col(cfg.batch_date))
     return batch.withColumns(
         {
@@ -138,29 +139,26 @@ def _each_key_once(cfg: HistoryConfig) -> bool:
     return set(cfg.primary_keys) <= set(cfg.join_on)
 
 
-def _marked(rows: DataFrame, keyed: DataFrame, keys: Sequence[str], hot_free: bool) -> DataFrame:
-    """Left join to a one-row-per-key table; salted unless keys cannot be hot."""
-    if not hot_free:
-        return salted_left_join(rows, keyed, keys)
-    right, pairs = _renamed(keyed, keys)
-    return rows.join(right, _on(rows, right, pairs), "left").drop(*[r for _, r in pairs])
-
-
 def close_rows(
     current: DataFrame, batch: DataFrame, cfg: HistoryConfig, run_date: Day | None = None, close_on: str = "run_date"
 ) -> DataFrame:
     """Current rows that the batch replaces, closed. Each comes out once, however
     often the batch repeats its key."""
     keys = list(cfg.join_on)
+    replaced = batch.select(*keys).distinct()
     if _each_key_once(cfg):
-        right, pairs = _renamed(batch.select(*keys).distinct(), keys)
-        hit = current.join(right, _on(current, right, pairs), "left_semi")
+        right, pairs = renamed(replaced, keys)
+        hit = current.join(right, null_safe(current, right, pairs), "left_semi")
     else:
-        marks = batch.select(*keys).distinct().withColumn("__hit", F.lit(True))
-        hit = salted_left_join(current, marks, keys).where(F.col("__hit")).drop("__hit")
+        hit = lookup(current, replaced.withColumn("__hit", F.lit(True)), keys, "replaced")
+        hit = hit.where(F.col("__hit")).drop("__hit")
     return hit.withColumns(closing_columns(run_date, close_on))
 
 
+def _additions(batch: DataFrame, cfg: HistoryConfig, run_date: Day | None) -> DataFrame:
+    return new_rows(newest(batch, cfg.primary_keys, [cfg.batch_date, *cfg.tie_breakers]), cfg, run_date)
+
+
 def changed_rows(
     open_rows: DataFrame,
     batch: DataFrame,
@@ -175,25 +173,23 @@ def changed_rows(
     A row is identified by its key and start date, so applying a batch twice
     changes nothing: its own rows are replaced, not closed. `strict_reference`
     leaves deletions open when their key returns. `closing=False` only adds.
-    One pass over the open rows and, when their key may be hot, a salted join.
+    The rows to add are written once, as they are both a result and what open rows
+    are looked up in.
     """
-    order = [cfg.batch_date, *cfg.tie_breakers]
     keys, on = list(cfg.primary_keys), list(cfg.join_on)
-    added = new_rows(newest(batch, keys, order), cfg, run_date)
-
-    rows = open_rows
-    replaced = F.col("__again")
-    again = added.select(*keys, START).withColumn("__again", F.lit(True))
-    if closing and _each_key_once(cfg) and set(on) == set(keys):
-        # one row per key on both sides: one join answers both questions
+    added = materialise(_additions(batch, cfg, run_date), "additions")
+    once = _each_key_once(cfg)
+    if closing and set(on) == set(keys):
+        # both sides hold a key once, so one lookup answers both questions
         marks = added.select(*keys, F.col(START).alias("__start"), F.lit(True).alias("__hit"))
-        rows = _marked(rows, marks, keys, True)
+        rows = lookup_stored(open_rows, marks, keys, once)
         replaced = F.col("__hit") & F.col("__start").eqNullSafe(F.col(START))
     else:
-        rows = _marked(rows, again, [*keys, START], True)
+        again = added.select(*keys, START, F.lit(True).alias("__again"))
+        rows = lookup_stored(open_rows, again, [*keys, START], True)
+        replaced = F.col("__again")
         if closing:
-            marks = added.select(*on).distinct().withColumn("__hit", F.lit(True))
-            rows = _marked(rows, marks, on, _each_key_once(cfg))
+            rows = lookup(rows, added.select(*on).distinct().withColumn("__hit", F.lit(True)), on, "closing")
     rows = rows.where(~F.coalesce(replaced, F.lit(False)))
     if closing:
         hit = F.coalesce("__hit", F.lit(False))
@@ -209,7 +205,7 @@ def changed_rows(
 def merge(history: DataFrame | None, batch: DataFrame, cfg: HistoryConfig, run_date: Day | None = None, **how) -> DataFrame:
     """Whole history after a batch. Closed rows pass through unshuffled."""
     if history is None:
-        return new_rows(newest(batch, list(cfg.primary_keys), [cfg.batch_date, *cfg.tie_breakers]), cfg, run_date)
+        return _additions(batch, cfg, run_date)
     closed = history.where(F.col(CURRENT) == 0)
     changed = changed_rows(history.where(F.col(CURRENT) == 1), batch, cfg, run_date, **how)
     return closed.unionByName(changed, allowMissingColumns=True)

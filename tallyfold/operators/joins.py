@@ -56,7 +56,7 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Da
     )
 
 
-def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     """Null-safe equality on every pair of columns."""
     condition = F.lit(True)
     for l, r in pairs:
@@ -64,7 +64,7 @@ def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
     return condition
 
 
-def _renamed(table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
+def renamed(table: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
     names = {k: f"__key{i}" for i, k in enumerate(keys)}
     return table.withColumnsRenamed(names), list(names.items())
 
@@ -80,7 +80,7 @@ def salted_left_join(
     reducers, the copies are few as well.
     """
     hot = F.broadcast(hot_keys(rows, keys, share))  # at most `share` rows
-    right, pairs = _renamed(table, keys)
+    right, pairs = renamed(table, keys)
     dealt = (
         rows.withColumn("__h", key_hash(keys))
         .join(hot, F.col("__h") == hot["hash"], "left")
@@ -93,7 +93,7 @@ def salted_left_join(
         .withColumn("__slot", F.explode(F.sequence(F.lit(0), F.coalesce(hot["fan"], F.lit(1)) - 1)))
         .drop("__h", "hash", "fan")
     )
-    joined = dealt.join(copies, _on(dealt, copies, pairs + [("__salt", "__slot")]), "left")
+    joined = dealt.join(copies, null_safe(dealt, copies, pairs + [("__salt", "__slot")]), "left")
     return joined.drop("__salt", "__slot", *[r for _, r in pairs])
 
 
@@ -108,18 +108,23 @@ def is_small(table: DataFrame) -> bool:
     return size.n <= BROADCAST_ROWS and (size.b or 0) + 16 * size.n * len(width) <= BROADCAST_BYTES
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], name: str = "lookup") -> DataFrame:
-    """Left join wide rows to a one-row-per-key table.
+def lookup_stored(rows: DataFrame, stored: DataFrame, keys: Sequence[str], once: bool = False) -> DataFrame:
+    """Left join wide rows to a one-row-per-key table that lies in files.
 
-    The table is written and measured first. Small: broadcast, so the rows are
-    not shuffled at all. Otherwise: a shuffled join with hot keys salted.
+    Proven small: broadcast, so the rows are not shuffled at all. Otherwise a
+    shuffled join, with hot keys salted unless the rows hold each key `once`.
     """
-    stored = materialise(table, name)
-    if is_small(stored):
-        right, pairs = _renamed(stored, keys)
-        joined = rows.join(F.broadcast(right), _on(rows, right, pairs), "left")
-        return joined.drop(*[r for _, r in pairs])
-    return salted_left_join(rows, stored, keys)
+    small = is_small(stored)
+    if not small and not once:
+        return salted_left_join(rows, stored, keys)
+    right, pairs = renamed(stored, keys)
+    side = F.broadcast(right) if small else right
+    return rows.join(side, null_safe(rows, right, pairs), "left").drop(*[r for _, r in pairs])
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], name: str = "lookup") -> DataFrame:
+    """The same for a table still to be computed: it is written once and measured."""
+    return lookup_stored(rows, materialise(table, name), keys)
 
 
 def without_keys(rows: DataFrame, keys_table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -128,5 +133,5 @@ def without_keys(rows: DataFrame, keys_table: DataFrame, keys: Sequence[str]) ->
     For stored tables that hold each key once, so no key can be hot; Spark
     chooses between broadcast and shuffle by size.
     """
-    right, pairs = _renamed(keys_table.select(*keys), keys)
-    return rows.join(right, _on(rows, right, pairs), "left_anti")
+    right, pairs = renamed(keys_table.select(*keys), keys)
+    return rows.join(right, null_safe(rows, right, pairs), "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.config import HistoryConfig, Rule, TransposeConfig
+from tallyfold.config import ConfigError, HistoryConfig, Rule, TransposeConfig
 from tallyfold.operators import extract, filecheck, quality
 from tallyfold.operators.columns import clean_names, drop_outcomes, parse_dates
 from tallyfold.operators.history import history_rows
@@ -26,7 +26,9 @@ class TypeJob:
     schema: T.StructType
     rules: Sequence[Rule] = field(default=())
     history: HistoryConfig | None = None
+    history_style: str = "validity"  # or "append"
     transpose: TransposeConfig | None = None
+    wide_history: HistoryConfig | None = None
     date_columns: Sequence[str] | None = None
 
 
@@ -35,8 +37,7 @@ def segregate(lines: DataFrame, path: str, run_date: dt.date | str | None = None
     recs = extract.with_declared(extract.records(lines), extract.footer_totals(lines))
     write = sinks.write_split_text if text else sinks.write_split
     write(recs, path, run_date)
-    spark = lines.sparkSession
-    return spark.read.text(path) if text else spark.read.parquet(path)
+    return sinks.read_split(lines.sparkSession, path, text, dated=run_date is not None)
 
 
 def check_and_route(lines: DataFrame, path: str, run_ts: dt.datetime | None = None) -> DataFrame:
@@ -61,14 +62,21 @@ def check_records(recs: DataFrame, job: TypeJob, path: str, mode: str = "overwri
     return stored, rules
 
 
-def load_history(spark: SparkSession, passed: DataFrame, job: TypeJob, path: str, run_date: dt.date | str) -> int:
-    """Passed rows into the type's slowly changing history."""
-    return tables.commit_history(spark, path, clean_names(drop_outcomes(passed)), job.history, run_date)
-
+def load_history(
+    spark: SparkSession, rows: DataFrame, cfg: HistoryConfig, path: str, run_date: dt.date | str, style: str = "validity"
+) -> DataFrame:
+    """Checked rows into a history, which is returned.
 
-def append_history(spark: SparkSession, passed: DataFrame, job: TypeJob, path: str, run_date: dt.date | str) -> None:
-    """Passed rows into the type's append history."""
-    tables.upsert_append(spark, path, history_rows(passed, run_date), job.history)
+    Style "validity" closes the rows a batch replaces and keeps them; "append"
+    upserts under the run date.
+    """
+    if style == "append":
+        tables.upsert_append(spark, path, history_rows(rows, run_date), cfg)
+        return spark.read.parquet(path)
+    if style != "validity":
+        raise ConfigError(f"unknown history style: {style}")
+    tables.commit_history(spark, path, clean_names(drop_outcomes(rows)), cfg, run_date)
+    return tables.read_history(spark, path)
 
 
 def run(
@@ -84,7 +92,7 @@ def run(
     per type, as schemas differ; the loop is over the handful of configured types.
     """
     checks = check_and_route(lines, f"{out}/routed")
-    routed = spark.read.parquet(f"{out}/routed").withColumn("rec_type", F.col("rec_type").cast("string"))
+    routed = sinks.read_routed(spark, f"{out}/routed")
     good = routed.where(F.col("status") == filecheck.PASS)
 
     def count(stage: str, rec_type: str, df: DataFrame) -> DataFrame:
@@ -109,14 +117,13 @@ def run(
         summary = summary.unionByName(count("rows_fail", job.rec_type, rows.where(F.col("status") == "fail")))
         summary = summary.unionByName(count("rules_fail", job.rec_type, failed_rules))
         if job.history:
-            load_history(spark, passed, job, f"{folder}/history", run_date)
-            history = tables.read_history(spark, f"{folder}/history")
+            history = load_history(spark, passed, job.history, f"{folder}/history", run_date, job.history_style)
             summary = summary.unionByName(count("history", job.rec_type, history))
         if job.transpose:
             sinks.write_wide(transpose(passed, job.transpose), f"{folder}/wide")
-            summary = summary.unionByName(count("wide", job.rec_type, spark.read.parquet(f"{folder}/wide")))
-            if job.history:
-                append_history(spark, passed, job, f"{folder}/append_history", run_date)
-                appended = spark.read.parquet(f"{folder}/append_history")
-                summary = summary.unionByName(count("append_history", job.rec_type, appended))
+            wide = spark.read.parquet(f"{folder}/wide")
+            summary = summary.unionByName(count("wide", job.rec_type, wide))
+            if job.wide_history:
+                kept = load_history(spark, wide, job.wide_history, f"{folder}/wide_history", run_date, "append")
+                summary = summary.unionByName(count("wide_history", job.rec_type, kept))
     return summary

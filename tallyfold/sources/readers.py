@@ -54,15 +54,16 @@ def landing_files(spark: SparkSession, path: str, missing: str = "skip") -> Data
     return _or_missing(spark, read, listed, missing)
 
 
-def read_lines(spark: SparkSession, path: str, by: str = "file", missing: str = "skip") -> DataFrame:
-    """(file, value) of every line. An extract is one file, or with by="folder"
-    all files of a folder; large extracts are better landed as folders, since
-    several tasks can write them."""
+def read_lines(spark: SparkSession, path: str, folder: str | None = None, missing: str = "skip") -> DataFrame:
+    """(file, value) of every line. An extract is one file. With `folder`, it is all
+    files below one <folder>=<name> directory; large extracts are better landed
+    that way, as several tasks can write them."""
 
     def read():
-        name = F.col("_metadata.file_path")
+        if folder:
+            return spark.read.text(path).select(F.col(folder).cast("string").alias("file"), "value")
         lines = spark.read.option("recursiveFileLookup", "true").text(path)
-        return lines.select((X.folder_name(name) if by == "folder" else name).alias("file"), "value")
+        return lines.select(F.col("_metadata.file_path").alias("file"), "value")
 
     return _or_missing(spark, read, LINES, missing)
 

@@ -8,13 +8,21 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.operators.columns import OUTCOME_COLUMNS
 from tallyfold.operators.extract import split_lines
 
 
+# Schemas of what is written here. Types are spelled out on reading, so that a
+# record type such as 0900 stays the text it is.
+SPLIT = "file string, line string, declared bigint, rec_type string"
+SPLIT_TEXT = "value string, rec_type string"
+ROUTED = "file string, line string, declared bigint, status string, rec_type string"
+QUARANTINED = "value string, status string, rec_type string"
+
+
 def hour_path(run_ts: dt.datetime) -> str:
     return run_ts.strftime("%Y/%m/%d/%H")
 
@@ -47,17 +55,33 @@ def write_split(recs: DataFrame, path: str, run_date: dt.date | str | None = Non
     rows.write.mode("overwrite").partitionBy(*folders).parquet(path)
 
 
+def read_split(
+    spark: SparkSession, path: str, text: bool = False, dated: bool = False, by_file: bool = True
+) -> DataFrame:
+    schema = SPLIT_TEXT + (", extract string" if by_file else "") if text else SPLIT
+    reader = spark.read.schema(schema + (", dt date" if dated else ""))
+    return reader.text(path) if text else reader.parquet(path)
+
+
 def write_routed(recs: DataFrame, path: str, run_ts: dt.datetime | None = None) -> None:
     """Records under status=pass|fail/rec_type=...; with a run time under its hour."""
     target = f"{path.rstrip('/')}/{hour_path(run_ts)}" if run_ts else path
     recs.write.mode("overwrite").partitionBy("status", "rec_type").parquet(target)
 
 
+def read_routed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(ROUTED).parquet(path)
+
+
 def write_quarantined(rows: DataFrame, path: str) -> None:
     """Lines as text under status=good|bad/rec_type=..., replaced as a whole."""
     rows.select("status", "rec_type", "value").write.mode("overwrite").partitionBy("status", "rec_type").text(path)
 
 
+def read_quarantined(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(QUARANTINED).text(path)
+
+
 def write_outcomes(outcomes: DataFrame, path: str, mode: str = "append") -> None:
     """Row outcomes of a record check, passed and failed rows in folders of their
     own, in one pass over the data."""

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.operators import history as H
-from tallyfold.sources.readers import table_exists
 
 VERSION = "v"
 
@@ -27,22 +26,36 @@ def _folder(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
+
+
 # ---- append histories ----------------------------------------------------------
 
 
+def read_dates(spark: SparkSession, path: str, dates: list[dt.date | None]) -> DataFrame | None:
+    """Stored rows of some load dates, None if there are none."""
+    names = ["__HIVE_DEFAULT_PARTITION__" if d is None else str(d) for d in dates]
+    folders = [f"{path.rstrip('/')}/{H.LOADED}={n}" for n in names]
+    present = [f for f in folders if _exists(spark, f)]
+    if not present:
+        return None
+    rows = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*present)
+    return rows.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
+
+
 def upsert_append(
     spark: SparkSession, path: str, batch: DataFrame, cfg: HistoryConfig, compare_stored: bool = False
 ) -> None:
     """Upsert a batch within the load dates it carries.
 
-    Stored rows of other dates are neither read nor written: the semi join on
-    the partition column prunes their folders.
+    Those dates, a handful of folder names, are fetched first. Folders of other
+    dates are neither listed nor read, and the dynamic overwrite leaves them alone.
     """
     order = [cfg.batch_date, *cfg.tie_breakers]
-    stored = None
-    if table_exists(spark, path):
-        dates = batch.select(H.LOADED).distinct()
-        stored = spark.read.option("mergeSchema", "true").parquet(path).join(dates, H.LOADED, "left_semi")
+    dates = [r[0] for r in batch.select(H.LOADED).distinct().collect()]
+    stored = read_dates(spark, path, dates)
     rows = H.upsert(stored, batch, cfg.primary_keys, order, compare_stored=compare_stored)
     (
         rows.write.mode("overwrite")
@@ -70,8 +83,11 @@ def versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def _stored(spark: SparkSession, path: str, known: list[int]) -> DataFrame:
+    """All committed folders under the newest one's schema, which has every column
+    the older ones have; no file footers need merging."""
     parts = [f"{path.rstrip('/')}/{VERSION}={n}" for n in known]
-    return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*parts)
+    newest = spark.read.option("basePath", path).parquet(parts[-1])
+    return spark.read.schema(newest.schema).option("basePath", path).parquet(*parts)
 
 
 def read_history(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
@@ -99,14 +115,19 @@ def commit_history(
     run_date: dt.date | str | None = None,
     **how,
 ) -> int:
-    """Merge a batch into the stored history as the next version."""
+    """Merge a batch into the stored history as the next version.
+
+    Folders are split by the current flag alone. Open rows have load dates of all
+    ages, and a folder for each would mean a file per date and task; the rows a
+    version closes share its run date anyway.
+    """
     known = versions(spark, path)
     if known:
         rows = H.changed_rows(read_open(spark, path), batch, cfg, run_date, **how)
     else:
         rows = H.merge(None, batch, cfg, run_date)
     version = known[-1] + 1 if known else 0
-    rows.write.mode("overwrite").partitionBy(H.CURRENT, H.LOADED).parquet(f"{path.rstrip('/')}/{VERSION}={version}")
+    rows.write.mode("overwrite").partitionBy(H.CURRENT).parquet(f"{path.rstrip('/')}/{VERSION}={version}")
     return version
 
 

@@ -58,8 +58,7 @@ def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segregate_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = batch.segregate(lines(spark, sf_dir), new_folder(spark, "split"), RUN_DATE, text=True)
-    return stored.select(F.col("dt").cast("date").alias("dt"), F.col("rec_type").cast("string").alias("rec_type"), "extract", "value")
+    return batch.segregate(lines(spark, sf_dir), new_folder(spark, "split"), RUN_DATE, text=True)
 
 
 def reference_row(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +76,7 @@ def checksum_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def checksum_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, run_ts = new_folder(spark, "routed"), dt.datetime(2024, 9, 2, 7, 30)
     batch.check_and_route(lines(spark, sf_dir), path, run_ts)
-    stored = spark.read.parquet(f"{path}/{sinks.hour_path(run_ts)}")
-    return stored.select("file", F.col("rec_type").cast("string").alias("rec_type"), "line", "status")
+    return sinks.read_routed(spark, f"{path}/{sinks.hour_path(run_ts)}").drop("declared")
 
 
 def hour_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +94,7 @@ def null_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = table(spark, sf_dir, "orders").select(F.lit("orders").alias("file"), line.alias("value"))
     path = new_folder(spark, "quarantine")
     sinks.write_quarantined(filecheck.quarantined(src), path)
-    return spark.read.text(path).select("status", F.col("rec_type").cast("string").alias("rec_type"), "value")
+    return sinks.read_quarantined(spark, path)
 
 
 QUERIES = {

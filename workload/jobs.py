@@ -13,7 +13,7 @@ from tallyfold.functions import text as X
 from tallyfold.operators import history as H
 from tallyfold.plans import batch
 from tallyfold.session import new_folder
-from tallyfold.sources import catalog, readers, tables
+from tallyfold.sources import catalog, readers, sinks
 from tallyfold.streaming import arrivals
 from workload.views import ROWS_PER_EXTRACT, landing, lines, n_extracts, table, with_lines
 
@@ -126,9 +126,9 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "ingest")
     stream = arrivals.line_stream(spark, landing(spark, sf_dir), max(2, n_extracts(spark, sf_dir) // 4))
     _finish(arrivals.ingest(stream, f"{out}/data", f"{out}/checkpoint"))
-    stored = spark.read.parquet(f"{out}/data/records")
+    stored = sinks.read_routed(spark, f"{out}/data/records")
     extract = F.substring_index(X.folder_name(F.col("file")), "=", -1)
-    return stored.select(extract.alias("file"), F.col("rec_type").cast("string").alias("rec_type"), "line", "status")
+    return stored.select(extract.alias("file"), "rec_type", "line", "status")
 
 
 def arrival_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +177,8 @@ def _jobs() -> list[batch.TypeJob]:
             orders,
             rules("ColumnCount = 5", "ColumnDataType 'CUST_KEY' = 'NUMBER'", "IsUnique 'ORDER_KEY'", "IsComplete 'BRANCH'"),
             history=C.HistoryConfig("9005", ("order_key",), "batch_date"),
-            transpose=C.TransposeConfig(("CUST_KEY",), "PRIORITY", "ORDER_KEY", order_by=("ORDER_KEY",)),
+            transpose=C.TransposeConfig(("CUST_KEY", "BATCH_DATE"), "PRIORITY", "ORDER_KEY", order_by=("ORDER_KEY",)),
+            wide_history=C.HistoryConfig("9005", ("cust_key",), "batch_date"),
         ),
         batch.TypeJob("9006", items, rules("ColumnValues 'FLAG' in ['A', 'N']")),
     ]
@@ -244,9 +245,10 @@ ORACLE = {
         UNION ALL SELECT 'rows_fail', rec_type, count(*) FILTER (NOT ok) FROM passed GROUP BY ALL
         UNION ALL SELECT 'rules_fail', rec_type, 1 FROM passed GROUP BY ALL
         UNION ALL SELECT 'history', rec_type, count(*) FROM passed WHERE rec_type = '9005' GROUP BY ALL
-        UNION ALL SELECT 'append_history', rec_type, count(*) FROM passed WHERE rec_type = '9005' GROUP BY ALL
-        UNION ALL SELECT 'wide', rec_type, count(DISTINCT split_part(line, '|', 3)) FROM passed
-                  WHERE rec_type = '9005' GROUP BY ALL"""
+        UNION ALL SELECT 'wide_history', rec_type, count(DISTINCT split_part(line, '|', 3)) FROM passed
+                  WHERE rec_type = '9005' GROUP BY ALL
+        UNION ALL SELECT 'wide', rec_type, count(DISTINCT split_part(line, '|', 3) || '|' || split_part(line, '|', 5))
+                  FROM passed WHERE rec_type = '9005' GROUP BY ALL"""
     ),
     "stream_upsert": """
         SELECT CAST(ts AS DATE) AS dt, user_id, event_id, event_type, value FROM events

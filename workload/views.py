@@ -120,8 +120,7 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file, value) read back from the landing text, named by extract."""
-    read = read_lines(spark, landing(spark, sf_dir), by="folder")
-    return read.withColumn("file", F.substring_index("file", "=", -1))
+    return read_lines(spark, landing(spark, sf_dir), folder="file")
 
 
 # The same inputs in SQL.
