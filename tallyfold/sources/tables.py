@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.operators import history as H
 
-VERSION = "v"
+VERSION = "history_version"
 
 
 def _folder(spark: SparkSession, path: str):
