@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.session import materialise
 
@@ -15,44 +16,48 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Keys with more than 1/HOT_SHARE of all rows get salted; there are at most
-# HOT_SHARE of them, whatever the data size. The sketch tracks enough items
-# that no such key is missed.
+# HOT_SHARE of them, whatever the data size.
 HOT_SHARE = 2048
-SKETCH_ITEMS = 16384
+SKETCH_ITEMS = 8 * HOT_SHARE
 SKETCH_GROUPS = 256
 
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def key_hash(keys: Sequence[str], types: Sequence[T.DataType] = ()) -> Column:
+    """Hash of a key; `types` are what the other side of a join holds it as."""
+    cols = [F.col(f"`{k}`") for k in keys]
+    return F.xxhash64(*[c.cast(t) for c, t in zip(cols, types)] if types else cols)
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """(hash, fan) of the keys that hold more than 1/share of the rows.
+    """(hash, fan) of the keys that hold more than about 1/share of the rows.
 
-    Frequent-item sketches are built per task, merged in groups and then once
-    more, so no row is shuffled and no task sees more than a few hundred sketches'
-    worth of data. `fan` is the number of reducers the key's rows deserve.
+    Frequent-item sketches are built in every task and merged in groups of tasks,
+    so no row is shuffled and no reducer merges more than its group's sketches;
+    the groups' top items are then added up. The sums are written down, because a
+    sketch may come out differently when computed again. `fan` is the number of
+    reducers the key's rows deserve.
     """
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partial = (
+    spark = rows.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = (
         rows.select(key_hash(keys).alias("h"), F.spark_partition_id().alias("p"))
         .groupBy(F.pmod("p", F.lit(SKETCH_GROUPS)).alias("g"))
-        .agg(
-            F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        .agg(F.expr(f"approx_top_k(h, {2 * share}, {SKETCH_ITEMS})").alias("top"), F.count(F.lit(1)).alias("n"))
     )
-    whole = partial.agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_ITEMS}), {share})").alias("top"),
-        F.sum("n").alias("n"),
+    everything = F.struct(F.lit(None).cast("bigint").alias("item"), F.col("n").alias("count"))
+    counts = materialise(
+        groups.select(F.inline(F.concat("top", F.array(everything)))).groupBy("item").agg(F.sum("count").alias("n")),
+        "hot",
     )
+    total = counts.where(F.col("item").isNull()).head()
+    n = total.n if total else 0
+    # more salts than reducers, as hashing does not place them evenly
+    fan = F.greatest(F.lit(2), F.ceil(F.col("n") * F.lit(8 * width) / F.lit(max(n, 1)))).cast("int")
     return (
-        whole.select("n", F.explode("top").alias("t"))
-        .where(F.col("t.count") * share > F.col("n"))
-        .select(
-            F.col("t.item").alias("hash"),
-            F.greatest(F.lit(2), F.ceil(F.col("t.count") * F.lit(2 * width) / F.col("n"))).cast("int").alias("fan"),
-        )
+        counts.where(F.col("item").isNotNull() & (F.col("n") * share > n))
+        .orderBy(F.desc("n"), "item")
+        .limit(share)
+        .select(F.col("item").alias("hash"), fan.alias("fan"))
     )
 
 
@@ -88,7 +93,7 @@ def salted_left_join(
         .drop("__h", "hash", "fan")
     )
     copies = (
-        right.withColumn("__h", key_hash([r for _, r in pairs]))
+        right.withColumn("__h", key_hash([r for _, r in pairs], [rows.schema[l].dataType for l, _ in pairs]))
         .join(hot, F.col("__h") == hot["hash"], "left")
         .withColumn("__slot", F.explode(F.sequence(F.lit(0), F.coalesce(hot["fan"], F.lit(1)) - 1)))
         .drop("__h", "hash", "fan")
