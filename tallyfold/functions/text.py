@@ -102,4 +102,4 @@ def hour_folder(ts: Column) -> Column:
 
 
 def arrival_message(key: Column, bucket: Column, ts: Column) -> Column:
-    return F.format_string("%s uploaded in %s at %s", key, bucket, ts)
+    return F.concat(key, F.lit(" uploaded in "), bucket, F.lit(" at "), ts)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions import text as X
 from tallyfold.operators.extract import tagged
-from tallyfold.operators.joins import lookup
+from tallyfold.operators.joins import lookup_stored
 from tallyfold.session import materialise
 
 PASS, FAIL = "pass", "fail"
@@ -110,8 +110,11 @@ def check_split(split: DataFrame) -> DataFrame:
 
 
 def routed(recs: DataFrame, checks: DataFrame) -> DataFrame:
-    """Records with the status of their file and type, declared total included."""
-    return lookup(recs, checks.select("file", "rec_type", "declared", "status"), ["file", "rec_type"], "status")
+    """Records with the status of their file and type, declared total included.
+
+    `checks` should lie in files; it is short, so the records are not shuffled.
+    """
+    return lookup_stored(recs, checks.select("file", "rec_type", "declared", "status"), ["file", "rec_type"])
 
 
 def quarantined(lines: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from tallyfold.operators import extract, filecheck, quality
 from tallyfold.operators.columns import clean_names, drop_outcomes, parse_dates
 from tallyfold.operators.history import history_rows
 from tallyfold.operators.transpose import transpose
+from tallyfold.session import materialise
 from tallyfold.sources import readers, sinks, tables
 
 
@@ -46,7 +47,7 @@ def check_and_route(lines: DataFrame, path: str, run_ts: dt.datetime | None = No
     Two scans of the text: one tallies, one routes. The routed rows already carry
     their declared total, so no split copy is written in between.
     """
-    checks = filecheck.check_lines(lines)
+    checks = materialise(filecheck.check_lines(lines), "checks")
     sinks.write_routed(filecheck.routed(extract.records(lines), checks), path, run_ts)
     return checks
 

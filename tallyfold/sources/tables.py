@@ -54,6 +54,7 @@ def upsert_append(
     dates are neither listed nor read, and the dynamic overwrite leaves them alone.
     """
     order = [cfg.batch_date, *cfg.tie_breakers]
+    batch = batch.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
     dates = [r[0] for r in batch.select(H.LOADED).distinct().collect()]
     stored = read_dates(spark, path, dates)
     rows = H.upsert(stored, batch, cfg.primary_keys, order, compare_stored=compare_stored)
