@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,23 +71,23 @@ def row_outcomes(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     row_rules = [r for r in rules if is_row_rule(r, columns)]
     skipped = [r.text for r in rules if not is_row_rule(r, columns)]
-    holds = [F.col(flags[r.column]) if r.kind == "IsUnique" else _holds(df, r) for r in row_rules]
-    if not row_rules:
-        passed = failed = F.array().cast("array<string>")
-        result = F.lit(PASSED)
-    else:
-        passed = F.array_compact(F.array(*[F.when(h, r.text) for h, r in zip(holds, row_rules)]))
-        failed = F.array_compact(F.array(*[F.when(~h, r.text) for h, r in zip(holds, row_rules)]))
-        ok = holds[0]
-        for h in holds[1:]:
-            ok = ok & h
-        result = F.when(ok, PASSED).otherwise(FAILED)
-    return checked.select(
+    # Each rule is judged once, in a column of its own. Rows that hold all rules take
+    # ready-made lists; only the others have theirs put together.
+    marks = [f"__holds{i}" for i in range(len(row_rules))]
+    judged = checked.withColumns(
+        {m: F.col(flags[r.column]) if r.kind == "IsUnique" else _holds(df, r) for m, r in zip(marks, row_rules)}
+    )
+    ok = reduce(lambda a, b: a & b, [F.col(m) for m in marks], F.lit(True))
+    texts = lambda items: F.array(*[F.lit(t) for t in items]).cast("array<string>")
+    kept = lambda test: F.array_compact(
+        F.array(*[F.when(test(F.col(m)), r.text) for m, r in zip(marks, row_rules)]).cast("array<string>")
+    )
+    return judged.select(
         *[F.col(f"`{c}`") for c in columns],
-        passed.alias(ROWS_PASS),
-        failed.alias(ROWS_FAIL),
-        F.array(*[F.lit(s) for s in skipped]).cast("array<string>").alias(ROWS_SKIP),
-        result.alias(RESULT),
+        F.when(ok, texts(r.text for r in row_rules)).otherwise(kept(lambda h: h)).alias(ROWS_PASS),
+        F.when(ok, texts([])).otherwise(kept(lambda h: ~h)).alias(ROWS_FAIL),
+        texts(skipped).alias(ROWS_SKIP),
+        F.when(ok, PASSED).otherwise(FAILED).alias(RESULT),
     )
 
 
