@@ -16,7 +16,7 @@ from tallyfold.operators.columns import clean_names, drop_outcomes, parse_dates
 from tallyfold.operators.history import history_rows
 from tallyfold.operators.transpose import transpose
 from tallyfold.session import materialise
-from tallyfold.sources import readers, sinks, tables
+from tallyfold.sources import catalog, readers, sinks, tables
 
 
 @dataclass(frozen=True)
@@ -69,14 +69,21 @@ def load_history(
     """Checked rows into a history, which is returned.
 
     Style "validity" closes the rows a batch replaces and keeps them; "append"
-    upserts under the run date.
+    upserts under the run date. With a database configured, the table gets a name
+    there, made of style and record type.
     """
     if style == "append":
         tables.upsert_append(spark, path, history_rows(rows, run_date), cfg)
+        if cfg.database:
+            catalog.ensure_database(spark, cfg.database)
+            catalog.register(spark, cfg.database, f"append_{cfg.rec_type}", path, partitioned=True)
         return spark.read.parquet(path)
     if style != "validity":
         raise ConfigError(f"unknown history style: {style}")
     tables.commit_history(spark, path, clean_names(drop_outcomes(rows)), cfg, run_date)
+    if cfg.database:
+        catalog.ensure_database(spark, cfg.database)
+        catalog.publish_history(spark, cfg.database, f"history_{cfg.rec_type}", path)
     return tables.read_history(spark, path)
 
 

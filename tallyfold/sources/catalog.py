@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyfold.operators.history import CURRENT
+from tallyfold.sources import tables
+
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -31,6 +34,23 @@ def discover(spark: SparkSession, database: str, table: str, path: str, sep: str
     return name
 
 
+def publish_history(spark: SparkSession, database: str, table: str, path: str) -> str:
+    """Give a stored slowly changing history a name.
+
+    The folders of all versions become <table>_versions; <table> itself is a view of
+    the newest one, which still prunes older open rows by their partitions.
+    """
+    newest = tables.versions(spark, path)[-1]
+    stored = register(spark, database, f"{table}_versions", path, partitioned=True)
+    name = f"`{database}`.`{table}`"
+    shown = [f"`{c}`" for c in spark.table(stored).columns if c != tables.VERSION]
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(shown)} FROM {stored} "
+        f"WHERE ({CURRENT} = 0 AND {tables.VERSION} <= {newest}) OR {tables.VERSION} = {newest}"
+    )
+    return name
+
+
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(f"`{database}`.`{table}`")
 

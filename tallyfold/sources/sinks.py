@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.functions import text as X
 from tallyfold.operators.columns import OUTCOME_COLUMNS
 from tallyfold.operators.extract import split_lines
 
@@ -20,7 +21,6 @@ from tallyfold.operators.extract import split_lines
 SPLIT = "file string, line string, declared bigint, rec_type string"
 SPLIT_TEXT = "value string, rec_type string"
 ROUTED = "file string, line string, declared bigint, status string, rec_type string"
-QUARANTINED = "value string, status string, rec_type string"
 
 
 def hour_path(run_ts: dt.datetime) -> str:
@@ -73,13 +73,21 @@ def read_routed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ROUTED).parquet(path)
 
 
-def write_quarantined(rows: DataFrame, path: str) -> None:
-    """Lines as text under status=good|bad/rec_type=..., replaced as a whole."""
-    rows.select("status", "rec_type", "value").write.mode("overwrite").partitionBy("status", "rec_type").text(path)
+def _cells(width: int) -> list[str]:
+    return [f"_c{i}" for i in range(width)]
 
 
-def read_quarantined(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUARANTINED).text(path)
+def write_quarantined(rows: DataFrame, path: str, width: int) -> None:
+    """Quarantined lines as comma-separated text of `width` columns, under
+    status=good|bad/rec_type=...; what was there is replaced."""
+    parts = X.fields(F.col("value"))
+    cells = [F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(_cells(width))]
+    rows.select("status", "rec_type", *cells).write.mode("overwrite").partitionBy("status", "rec_type").csv(path)
+
+
+def read_quarantined(spark: SparkSession, path: str, width: int) -> DataFrame:
+    schema = ", ".join(f"{c} string" for c in [*_cells(width), "status", "rec_type"])
+    return spark.read.schema(schema).csv(path)
 
 
 def write_outcomes(outcomes: DataFrame, path: str, mode: str = "append") -> None:

@@ -183,3 +183,18 @@ def test_pivot_cells(spark, rows):
 def test_pivot_takes_the_earliest(spark, rows):
     df = spark.createDataFrame([(1, "a", 2, "late"), (1, "a", 1, "early")], "g int, p string, o int, v string")
     assert rows(transpose(df, TransposeConfig(("g",), "p", "v", order_by=("o",))), "a") == [("early",)]
+
+
+def test_named_histories(spark, rows, folder):
+    from tallyfold.plans import batch as jobs
+    from tallyfold.sources import catalog
+
+    cfg = HistoryConfig("t", ("k",), "day", database="tallyfold_test")
+    catalog.ensure_database(spark, "tallyfold_test", folder + "-db")
+    for day, v in ((D1, "a"), (D2, "b")):
+        jobs.load_history(spark, batch(spark, (1, v, day, "A")), cfg, folder + "/h", day)
+        jobs.load_history(spark, batch(spark, (1, v, day, "A")), cfg, folder + "/a", day, "append")
+    assert short(rows, catalog.read_table(spark, "tallyfold_test", "history_t")) == [(1, "a", D2, 0, 0), (1, "b", None, 1, 0)]
+    assert rows(catalog.read_table(spark, "tallyfold_test", "append_t"), "k", "v") == [(1, "a"), (1, "b")]
+    with pytest.raises(C.ConfigError):
+        jobs.load_history(spark, batch(spark, (1, "c", D3, "A")), cfg, folder + "/h", D3, "other")

@@ -87,14 +87,18 @@ def hour_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("day", "hour").agg(F.count(F.lit(1)).alias("n"))
 
 
-def null_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+def null_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines, every seventh with an empty second field, every eleventh without one."""
     key = F.col("o_orderkey")
     second = F.when(key % 7 == 0, F.lit("")).otherwise(key.cast("string"))
     line = F.when(key % 11 == 0, F.lit("9005")).otherwise(F.concat_ws("|", F.lit("9005"), second, F.col("o_orderpriority")))
-    src = table(spark, sf_dir, "orders").select(F.lit("orders").alias("file"), line.alias("value"))
+    return table(spark, sf_dir, "orders").select(F.lit("orders").alias("file"), line.alias("value"))
+
+
+def null_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "quarantine")
-    sinks.write_quarantined(filecheck.quarantined(src), path)
-    return sinks.read_quarantined(spark, path)
+    sinks.write_quarantined(filecheck.quarantined(null_lines(spark, sf_dir)), path, 3)
+    return sinks.read_quarantined(spark, path, 3)
 
 
 QUERIES = {
@@ -155,9 +159,8 @@ ORACLE = {
         FROM events GROUP BY ALL""",
     "null_split": """
         SELECT CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 7 = 0 THEN 'bad' ELSE 'good' END AS status,
-               '9005' AS rec_type,
-               CASE WHEN o_orderkey % 11 = 0 THEN '9005'
-                    ELSE concat_ws('|', '9005', CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END,
-                                   o_orderpriority) END AS value
+               '9005' AS rec_type, '9005' AS _c0,
+               CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS _c1,
+               CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS _c2
         FROM orders""",
 }

@@ -9,7 +9,7 @@ from tallyfold.config import HistoryConfig, TransposeConfig
 from tallyfold.operators import history as H
 from tallyfold.operators.transpose import transpose as pivot
 from tallyfold.session import new_folder
-from tallyfold.sources import sinks, tables
+from tallyfold.sources import catalog, sinks, tables
 from workload.views import table
 
 DAY1, DAY2 = "2024-02-01", "2024-03-01"
@@ -166,6 +166,15 @@ def history_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_history(spark, _stored(spark, sf_dir)).select(*SCD2)
 
 
+def catalog_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored history read by the name it was given."""
+    path = _stored(spark, sf_dir)
+    database, name = "tallyfold_histories", "customer_" + path[-12:]
+    catalog.ensure_database(spark, database, new_folder(spark, "warehouse"))
+    catalog.publish_history(spark, database, name, path)
+    return catalog.read_table(spark, database, name).select(*SCD2)
+
+
 def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.current_rows(tables.read_open(spark, _stored(spark, sf_dir))).select("c_custkey", "segment", "record_start_date")
 
@@ -219,6 +228,7 @@ QUERIES = {
         scd2_merge_strict,
         scd2_load_no_close,
         history_snapshot,
+        catalog_history,
         scd2_current,
         transpose,
         transpose_discovered,
@@ -288,6 +298,7 @@ ORACLE = {
         SELECT {_COLS} FROM base WHERE c_custkey % 10 <> 0 OR delete_flag = 1""",
     "scd2_load_no_close": _SCD2 + f"SELECT {_COLS} FROM base UNION ALL SELECT {_COLS} FROM added",
     "history_snapshot": _SCD2 + _MERGED,
+    "catalog_history": _SCD2 + _MERGED,
     "scd2_current": _SCD2
     + """
         SELECT c_custkey, segment, record_start_date FROM base WHERE c_custkey % 10 <> 0 AND delete_flag = 0
