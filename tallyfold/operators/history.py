@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.functions import text as X
 from tallyfold.operators.columns import align, clean_names, drop_outcomes
-from tallyfold.operators.joins import lookup, lookup_stored, null_safe, renamed, without_keys
-from tallyfold.session import materialise
+from tallyfold.operators.joins import lookup, lookup_stored, null_safe, renamed, without_keys, write_measured
 
 # The open end date, the mark of a deleted row, the history columns.
 OPEN_END = dt.date(9999, 12, 31)
@@ -177,16 +176,16 @@ def changed_rows(
     are looked up in.
     """
     keys, on = list(cfg.primary_keys), list(cfg.join_on)
-    added = materialise(_additions(batch, cfg, run_date), "additions")
+    added, small = write_measured(_additions(batch, cfg, run_date), "additions", [*keys, START])
     once = _each_key_once(cfg)
     if closing and set(on) == set(keys):
         # both sides hold a key once, so one lookup answers both questions
         marks = added.select(*keys, F.col(START).alias("__start"), F.lit(True).alias("__hit"))
-        rows = lookup_stored(open_rows, marks, keys, once)
+        rows = lookup_stored(open_rows, marks, keys, once, small)
         replaced = F.col("__hit") & F.col("__start").eqNullSafe(F.col(START))
     else:
         again = added.select(*keys, START, F.lit(True).alias("__again"))
-        rows = lookup_stored(open_rows, again, [*keys, START], True)
+        rows = lookup_stored(open_rows, again, [*keys, START], True, small)
         replaced = F.col("__again")
         if closing:
             rows = lookup(rows, added.select(*on).distinct().withColumn("__hit", F.lit(True)), on, "closing")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,24 +102,35 @@ def salted_left_join(
     return joined.drop("__salt", "__slot", *[r for _, r in pairs])
 
 
+def _size(table: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
+    """Aggregates for the length of a table and its estimated bytes in memory."""
+    chosen = [f for f in table.schema.fields if columns is None or f.name in columns]
+    row = F.lit(16 * len(chosen))
+    for f in chosen:
+        if isinstance(f.dataType, T.StringType):
+            row = row + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row), F.lit(0)).alias("b")]
+
+
+def _within_bounds(n: int, b: int) -> bool:
+    return n <= BROADCAST_ROWS and b <= BROADCAST_BYTES
+
+
 def is_small(table: DataFrame) -> bool:
     """Whether a stored table is proven short and narrow enough to broadcast."""
-    width = table.schema
-    lengths = [
-        F.octet_length(F.col(f"`{f.name}`").cast("string")) for f in width.fields if f.dataType.simpleString() == "string"
-    ]
-    text = sum((F.coalesce(l, F.lit(0)) for l in lengths), F.lit(0))
-    size = table.agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).head()
-    return size.n <= BROADCAST_ROWS and (size.b or 0) + 16 * size.n * len(width) <= BROADCAST_BYTES
+    return _within_bounds(*table.agg(*_size(table)).head())
 
 
-def lookup_stored(rows: DataFrame, stored: DataFrame, keys: Sequence[str], once: bool = False) -> DataFrame:
+def lookup_stored(
+    rows: DataFrame, stored: DataFrame, keys: Sequence[str], once: bool = False, small: bool | None = None
+) -> DataFrame:
     """Left join wide rows to a one-row-per-key table that lies in files.
 
     Proven small: broadcast, so the rows are not shuffled at all. Otherwise a
     shuffled join, with hot keys salted unless the rows hold each key `once`.
+    `small` is for tables that were measured when written.
     """
-    small = is_small(stored)
+    small = is_small(stored) if small is None else small
     if not small and not once:
         return salted_left_join(rows, stored, keys)
     right, pairs = renamed(stored, keys)
@@ -127,9 +138,21 @@ def lookup_stored(rows: DataFrame, stored: DataFrame, keys: Sequence[str], once:
     return rows.join(side, null_safe(rows, right, pairs), "left").drop(*[r for _, r in pairs])
 
 
+def write_measured(table: DataFrame, name: str, columns: Sequence[str] | None = None) -> tuple[DataFrame, bool]:
+    """Write a table once, measuring it on the way; returns it and whether it, or
+    the given columns of it, are small enough to broadcast.
+
+    A retried task can only make the table look larger than it is.
+    """
+    size = Observation()
+    stored = materialise(table.observe(size, *_size(table, columns)), name)
+    return stored, _within_bounds(size.get["n"], size.get["b"])
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], name: str = "lookup") -> DataFrame:
-    """The same for a table still to be computed: it is written once and measured."""
-    return lookup_stored(rows, materialise(table, name), keys)
+    """The same for a table still to be computed."""
+    stored, small = write_measured(table, name)
+    return lookup_stored(rows, stored, keys, small=small)
 
 
 def without_keys(rows: DataFrame, keys_table: DataFrame, keys: Sequence[str]) -> DataFrame:
