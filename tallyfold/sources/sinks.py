@@ -1,7 +1,9 @@
 """Writing split records, routed records and check results.
 
-None of the writes shuffles: every task writes its share of each target folder,
-so a type or status that holds most of the rows is written by many tasks.
+By default no write shuffles: every task writes its share of each target folder,
+so a type or status that holds most of the rows is written by many tasks. With
+`rebalance`, rows are first brought together by folder into files of ordinary size;
+Spark splits folders that are larger, so a type is still not one task's work.
 """
 
 from __future__ import annotations
@@ -49,9 +51,13 @@ def write_split_text(
     rows.select(*folders, "value").write.mode("overwrite").partitionBy(*folders).text(path)
 
 
-def write_split(recs: DataFrame, path: str, run_date: dt.date | str | None = None) -> None:
+def write_split(
+    recs: DataFrame, path: str, run_date: dt.date | str | None = None, rebalance: bool = False
+) -> None:
     """Split records as a columnar table; the extract stays a column."""
     rows, folders = _folders(recs, run_date)
+    if rebalance:
+        rows = rows.hint("rebalance", *folders)
     rows.write.mode("overwrite").partitionBy(*folders).parquet(path)
 
 
@@ -63,9 +69,13 @@ def read_split(
     return reader.text(path) if text else reader.parquet(path)
 
 
-def write_routed(recs: DataFrame, path: str, run_ts: dt.datetime | None = None) -> None:
+def write_routed(
+    recs: DataFrame, path: str, run_ts: dt.datetime | None = None, rebalance: bool = False
+) -> None:
     """Records under status=pass|fail/rec_type=...; with a run time under its hour."""
     target = f"{path.rstrip('/')}/{hour_path(run_ts)}" if run_ts else path
+    if rebalance:
+        recs = recs.hint("rebalance", "status", "rec_type")
     recs.write.mode("overwrite").partitionBy("status", "rec_type").parquet(target)
 
 

@@ -20,12 +20,21 @@ from tallyfold.operators import extract, filecheck
 from tallyfold.sources import tables
 
 
-def line_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """(file, value) of arriving extracts; a file is one extract."""
-    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
+def line_stream(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, folder: str | None = None
+) -> DataFrame:
+    """(file, value) of arriving extracts.
+
+    A file is one extract. With `folder` all files below a <folder>=<name>
+    directory are; they must then arrive together and be taken in one batch.
+    """
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    name = F.col("_metadata.file_path")
+    if folder:
+        name = F.regexp_extract(name, rf"/{folder}=([^/]+)/", 1)
+    return reader.text(path).select(name.alias("file"), "value")
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:

@@ -113,6 +113,8 @@ def test_quarantine_keeps_control_lines(lines, rows):
 
 def test_routed_by_hour(spark, lines, rows, folder):
     batch.check_and_route(lines(a=PLAIN), folder, dt.datetime(2024, 9, 2, 7, 59))
+    sinks.write_routed(sinks.read_routed(spark, folder + "/2024/09/02/07"), folder + "-even", rebalance=True)
+    assert rows(sinks.read_routed(spark, folder + "-even")) == rows(sinks.read_routed(spark, folder + "/2024/09/02/07"))
     stored = sinks.read_routed(spark, folder + "/2024/09/02/07")
     assert rows(stored.groupBy("status", "rec_type").count()) == [("fail", "9019", 1), ("pass", "9005", 2)]
 

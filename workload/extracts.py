@@ -19,10 +19,9 @@ RUN_DATE = dt.date(2024, 9, 2)
 
 def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = readers.landing_files(spark, landing(spark, sf_dir))
-    return found.select(
-        F.substring_index(X.folder_name(F.col("file")), "=", -1).alias("file"),
-        X.base_name(F.col("file")).startswith("part-").alias("is_part"),
-        "bytes",
+    name = F.substring_index(X.folder_name(F.col("file")), "=", -1)
+    return found.groupBy(name.alias("file")).agg(
+        F.bool_and(X.base_name(F.col("file")).startswith("part-")).alias("is_part"), F.sum("bytes").alias("bytes")
     )
 
 

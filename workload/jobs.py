@@ -15,7 +15,7 @@ from tallyfold.plans import batch
 from tallyfold.session import new_folder
 from tallyfold.sources import catalog, readers, sinks
 from tallyfold.streaming import arrivals
-from workload.views import ROWS_PER_EXTRACT, landing, lines, n_extracts, table, with_lines
+from workload.views import ROWS_PER_EXTRACT, landing, lines, table, with_lines
 
 RUN_DATE = "2024-09-02"
 
@@ -122,13 +122,11 @@ def _finish(query) -> None:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Extracts checked and routed as they arrive, two or more files at a time."""
+    """Extracts checked and routed as they arrive."""
     out = new_folder(spark, "ingest")
-    stream = arrivals.line_stream(spark, landing(spark, sf_dir), max(2, n_extracts(spark, sf_dir) // 4))
+    stream = arrivals.line_stream(spark, landing(spark, sf_dir), folder="file")
     _finish(arrivals.ingest(stream, f"{out}/data", f"{out}/checkpoint"))
-    stored = sinks.read_routed(spark, f"{out}/data/records")
-    extract = F.substring_index(X.folder_name(F.col("file")), "=", -1)
-    return stored.select(extract.alias("file"), "rec_type", "line", "status")
+    return sinks.read_routed(spark, f"{out}/data/records").select("file", "rec_type", "line", "status")
 
 
 def arrival_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,10 +134,9 @@ def arrival_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, path = new_folder(spark, "arrivals"), landing(spark, sf_dir)
     _finish(arrivals.log_arrivals(spark, path, f"{out}/log", f"{out}/checkpoint"))
     log = spark.read.parquet(f"{out}/log")
-    return log.select(
-        F.substring_index(F.substring_index("key", "/", 1), "=", -1).alias("file"),
-        (F.col("message") == F.concat("key", F.lit(" uploaded in "), "bucket", F.lit(" at "), "at")).alias("complete"),
-    )
+    whole = F.concat("key", F.lit(" uploaded in "), "bucket", F.lit(" at "), "at")
+    file = F.substring_index(F.substring_index("key", "/", 1), "=", -1)
+    return log.groupBy(file.alias("file")).agg(F.bool_and(F.col("message") == whole).alias("complete"))
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +144,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "stream_upsert")
     events = table(spark, sf_dir, "events").withColumn("dt", F.col("ts").cast("date"))
     pieces = max(6, events.count() // ROWS_PER_EXTRACT)
-    events.repartition(pieces, "event_id").write.parquet(f"{root}/arrivals")
+    events.repartition(pieces).write.parquet(f"{root}/arrivals")
     stream = arrivals.parquet_stream(spark, f"{root}/arrivals", events.schema, max(2, pieces // 4))
     cfg = C.HistoryConfig("events", ("user_id",), "ts", tie_breakers=("event_id",))
     _finish(arrivals.upsert_arrivals(stream, f"{root}/table", cfg, f"{root}/checkpoint"))

@@ -33,14 +33,13 @@ def n_extracts(spark: SparkSession, sf_dir: str) -> int:
 
 
 def data_lines(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    """(extract, ord, rec_type, value) of the data lines."""
+    """(extract, rec_type, value) of the data lines."""
 
     def typed(name: str, rec_type: str, deal, *fields: str) -> DataFrame:
         text = lambda f: F.date_format(f, "yyyyMMdd") if f.endswith("date") else F.col(f).cast("string")
         line = F.concat_ws("|", F.lit(rec_type), *[text(f) for f in fields])
         return table(spark, sf_dir, name).select(
             F.pmod(deal, F.lit(n)).cast("int").alias("extract"),
-            F.lit(1).alias("ord"),
             F.lit(rec_type).alias("rec_type"),
             line.alias("value"),
         )
@@ -61,34 +60,30 @@ def data_lines(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
 
 
 def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(extract, ord, value) with header, short lines and footer."""
+    """(extract, value) with header, short lines and footer."""
     n = n_extracts(spark, sf_dir)
     data = data_lines(spark, sf_dir, n)
     count = lambda t: F.count_if(F.col("rec_type") == t)
     kind = F.col("extract") % 4
-    line = lambda ord, value: F.struct(F.lit(ord).alias("ord"), value.alias("value"))
     totals = data.groupBy("extract").agg(count("9000").alias("a"), count("9005").alias("b"), count("9006").alias("c"))
     control = totals.select(
         "extract",
-        F.inline(
+        F.explode(
             F.array(
-                line(0, F.format_string("H|EXTRACT|%d", "extract")),
-                line(1, F.lit("9005")),
-                line(1, F.lit("")),
-                line(
-                    2,
-                    F.concat_ws(
-                        "|",
-                        F.lit("T"),
-                        F.when(kind != 3, F.concat(F.lit("9000~"), "a")),
-                        F.concat(F.lit("9005~"), F.when(kind == 1, F.col("b") + 1).otherwise(F.col("b"))),
-                        F.concat(F.lit("9006~"), F.when(kind == 2, F.lit("x")).otherwise(F.col("c").cast("string"))),
-                    ),
+                F.concat(F.lit("H|EXTRACT|"), F.col("extract").cast("string")),
+                F.lit("9005"),
+                F.lit(""),
+                F.concat_ws(
+                    "|",
+                    F.lit("T"),
+                    F.when(kind != 3, F.concat(F.lit("9000~"), "a")),
+                    F.concat(F.lit("9005~"), F.when(kind == 1, F.col("b") + 1).otherwise(F.col("b"))),
+                    F.concat(F.lit("9006~"), F.when(kind == 2, F.lit("x")).otherwise(F.col("c").cast("string"))),
                 ),
             )
-        ),
+        ).alias("value"),
     )
-    return data.select("extract", "ord", "value").unionByName(control)
+    return data.select("extract", "value").unionByName(control)
 
 
 def extract_name(extract):
@@ -99,21 +94,16 @@ _LANDED: dict[tuple[str, str], str] = {}
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
-    """The lines as text: one file per extract, header first, footer last.
-    Written once per session."""
+    """The lines as text, a folder per extract. Written once per session.
+
+    Rebalancing by extract gives each about one file of ordinary size and splits an
+    extract that is larger than that.
+    """
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _LANDED:
         path = new_folder(spark, "landing")
-        n = n_extracts(spark, sf_dir)
-        (
-            all_lines(spark, sf_dir)
-            .withColumn("file", extract_name(F.col("extract")))
-            .repartition(n, "file")
-            .sortWithinPartitions("file", "ord")
-            .select("file", "value")
-            .write.partitionBy("file")
-            .text(path)
-        )
+        rows = all_lines(spark, sf_dir).select(extract_name(F.col("extract")).alias("file"), "value")
+        rows.hint("rebalance", "file").write.partitionBy("file").text(path)
         _LANDED[known] = path
     return _LANDED[known]
 
