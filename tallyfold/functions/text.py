@@ -73,7 +73,8 @@ def date_or_null(c: Column, pattern: str = "yyyyMMdd") -> Column:
 def batch_day(c: Column) -> Column:
     """A batch date held as a date, or as text in either of two layouts."""
     text = c.cast("string")
-    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "yyyyMMdd"))
+    dashed = F.contains(text, F.lit("-"))
+    return F.when(dashed, F.try_to_date(text, "yyyy-MM-dd")).otherwise(F.try_to_date(text, "yyyyMMdd"))
 
 
 def base_name(path: Column) -> Column:

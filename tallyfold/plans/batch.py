@@ -52,12 +52,12 @@ def check_and_route(lines: DataFrame, path: str, run_ts: dt.datetime | None = No
     return checks
 
 
-def check_records(recs: DataFrame, job: TypeJob, path: str, mode: str = "overwrite") -> tuple[DataFrame, DataFrame]:
+def check_records(recs: DataFrame, job: TypeJob, path: str) -> tuple[DataFrame, DataFrame]:
     """Typed read and rules for one type; row outcomes are stored, then read back
     for the rule outcomes, which touch one narrow column."""
     typed = readers.typed_records(extract.of_type(recs, job.rec_type), job.schema)
     outcomes = quality.row_outcomes(parse_dates(typed, job.date_columns), job.rules)
-    sinks.write_outcomes(outcomes, path, mode)
+    sinks.write_outcomes(outcomes, path, "overwrite")
     stored = recs.sparkSession.read.schema(outcomes.withColumn("status", F.lit("")).schema).parquet(path)
     rules = quality.rule_outcomes(stored.drop("status"), job.rules, job.rec_type, len(job.schema))
     return stored, rules

@@ -61,7 +61,8 @@ def read_lines(spark: SparkSession, path: str, folder: str | None = None, missin
 
     def read():
         if folder:
-            return spark.read.text(path).select(F.col(folder).cast("string").alias("file"), "value")
+            found = spark.read.schema(f"value string, `{folder}` string").text(path)
+            return found.select(F.col(folder).alias("file"), "value")
         lines = spark.read.option("recursiveFileLookup", "true").text(path)
         return lines.select(F.col("_metadata.file_path").alias("file"), "value")
 

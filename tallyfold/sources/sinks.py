@@ -29,10 +29,9 @@ def hour_path(run_ts: dt.datetime) -> str:
     return run_ts.strftime("%Y/%m/%d/%H")
 
 
-def _folders(df: DataFrame, run_date: dt.date | str | None) -> tuple[DataFrame, list[str]]:
-    if run_date is None:
-        return df, ["rec_type"]
-    return df.withColumn("dt", F.lit(str(run_date)).cast("date")), ["dt", "rec_type"]
+def _dated(path: str, run_date: dt.date | str | None) -> str:
+    """The folder of a run date. Each write replaces its own folder and no other."""
+    return path if run_date is None else f"{path.rstrip('/')}/dt={run_date}"
 
 
 def write_split_text(
@@ -44,21 +43,19 @@ def write_split_text(
     extracts of a day do not overwrite one another.
     """
     lines = split_lines(recs) if with_total else recs.withColumn("value", F.col("line"))
-    rows, folders = _folders(lines, run_date)
+    folders = ["rec_type"]
     if by_file:
-        rows = rows.withColumn("extract", F.substring_index("file", "/", -1))
-        folders = [*folders, "extract"]
-    rows.select(*folders, "value").write.mode("overwrite").partitionBy(*folders).text(path)
+        lines = lines.withColumn("extract", X.base_name(F.col("file")))
+        folders.append("extract")
+    lines.select(*folders, "value").write.mode("overwrite").partitionBy(*folders).text(_dated(path, run_date))
 
 
 def write_split(
     recs: DataFrame, path: str, run_date: dt.date | str | None = None, rebalance: bool = False
 ) -> None:
     """Split records as a columnar table; the extract stays a column."""
-    rows, folders = _folders(recs, run_date)
-    if rebalance:
-        rows = rows.hint("rebalance", *folders)
-    rows.write.mode("overwrite").partitionBy(*folders).parquet(path)
+    rows = recs.hint("rebalance", "rec_type") if rebalance else recs
+    rows.write.mode("overwrite").partitionBy("rec_type").parquet(_dated(path, run_date))
 
 
 def read_split(

@@ -75,6 +75,21 @@ def test_two_files_of_a_day_are_both_kept(lines, rows, folder):
     assert {str(r.dt) for r in stored.collect()} == {"2024-09-02"}
 
 
+def test_days_do_not_replace_each_other(spark, lines, rows, folder):
+    batch.segregate(lines(a="0900|1\n0901|9\nT|0900~1"), folder, "2024-09-02")
+    batch.segregate(lines(a="0900|2\nT|0900~1"), folder, "2024-09-03")
+    stored = batch.segregate(lines(a="0900|3\nT|0900~1"), folder, "2024-09-02")
+    assert [(str(d), t, v) for d, t, v in rows(stored, "dt", "rec_type", "line")] == [
+        ("2024-09-02", "0900", "0900|3"),
+        ("2024-09-03", "0900", "0900|2"),
+    ]
+
+
+def test_extract_names_stay_text(spark, lines, rows, folder):
+    lines(**{"0042": "9005|1"}).write.partitionBy("file").text(folder)
+    assert rows(readers.read_lines(spark, folder, folder="file")) == [("0042", "9005|1")]
+
+
 def test_split_as_table_and_without_totals(spark, lines, rows, folder):
     src = lines(a=PLAIN)
     assert rows(batch.segregate(src, folder), "rec_type", "line", "declared") == [
