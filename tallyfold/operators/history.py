@@ -16,7 +16,15 @@ from pyspark.sql import types as T
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.functions import text as X
 from tallyfold.operators.columns import align, clean_names, drop_outcomes
-from tallyfold.operators.joins import lookup, lookup_stored, null_safe, renamed, without_keys, write_measured
+from tallyfold.operators.joins import (
+    lookup,
+    lookup_stored,
+    null_safe,
+    renamed,
+    salted_left_join,
+    without_keys,
+    write_measured,
+)
 
 # The open end date, the mark of a deleted row, the history columns.
 OPEN_END = dt.date(9999, 12, 31)
@@ -85,8 +93,8 @@ def upsert(
             batch.withColumn("__incoming", F.lit(1)), allowMissingColumns=True
         )
         return newest(both, identity, [*order, "__incoming"]).drop("__incoming")
-    incoming = newest(batch, identity, order)
-    return without_keys(stored, incoming, identity).unionByName(incoming, allowMissingColumns=True)
+    incoming, small = write_measured(newest(batch, identity, order), "incoming", identity)
+    return without_keys(stored, incoming, identity, small).unionByName(incoming, allowMissingColumns=True)
 
 
 # ---- slowly changing rows ------------------------------------------------------
@@ -101,7 +109,8 @@ def delete_flag(df: DataFrame, indicator: str | None) -> Column:
 def new_rows(batch: DataFrame, cfg: HistoryConfig, run_date: Day | None = None) -> DataFrame:
     """Batch rows as open history rows."""
     held = batch.select(cfg.batch_date).schema[0].dataType
-    start = F.col(cfg.batch_date) if isinstance(held, T.DateType) else X.batch_day(F.col(cfg.batch_date))
+    given = F.col(cfg.batch_date)
+    start = given.cast("date") if isinstance(held, T.DatetimeType) else X.batch_day(given)
     return batch.withColumns(
         {
             START: start,
@@ -144,18 +153,19 @@ def close_rows(
     """Current rows that the batch replaces, closed. Each comes out once, however
     often the batch repeats its key."""
     keys = list(cfg.join_on)
-    replaced = batch.select(*keys).distinct()
-    if _each_key_once(cfg):
+    replaced, small = write_measured(batch.select(*keys).distinct(), "replaced")
+    if small or _each_key_once(cfg):
         right, pairs = renamed(replaced, keys)
-        hit = current.join(right, null_safe(current, right, pairs), "left_semi")
+        hit = current.join(F.broadcast(right) if small else right, null_safe(current, right, pairs), "left_semi")
     else:
-        hit = lookup(current, replaced.withColumn("__hit", F.lit(True)), keys, "replaced")
+        hit = salted_left_join(current, replaced.withColumn("__hit", F.lit(True)), keys)
         hit = hit.where(F.col("__hit")).drop("__hit")
     return hit.withColumns(closing_columns(run_date, close_on))
 
 
 def _additions(batch: DataFrame, cfg: HistoryConfig, run_date: Day | None) -> DataFrame:
-    return new_rows(newest(batch, cfg.primary_keys, [cfg.batch_date, *cfg.tie_breakers]), cfg, run_date)
+    """The newest row of each key in a batch, as an open row."""
+    return newest(new_rows(batch, cfg, run_date), cfg.primary_keys, [START, cfg.batch_date, *cfg.tie_breakers])
 
 
 def changed_rows(
@@ -210,7 +220,9 @@ def merge(history: DataFrame | None, batch: DataFrame, cfg: HistoryConfig, run_d
     return closed.unionByName(changed, allowMissingColumns=True)
 
 
-def load_without_closing(history: DataFrame | None, batch: DataFrame, cfg: HistoryConfig, run_date: Day | None = None) -> DataFrame:
+def load_without_closing(
+    history: DataFrame | None, batch: DataFrame, cfg: HistoryConfig, run_date: Day | None = None
+) -> DataFrame:
     """Open rows stay as they are and the batch is added."""
     return merge(history, batch, cfg, run_date, closing=False)
 

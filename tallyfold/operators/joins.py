@@ -155,11 +155,11 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], name: str = "
     return lookup_stored(rows, stored, keys, small=small)
 
 
-def without_keys(rows: DataFrame, keys_table: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_keys(rows: DataFrame, keys_table: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
     """Rows whose key is not in the table (null keys match null keys).
 
-    For stored tables that hold each key once, so no key can be hot; Spark
-    chooses between broadcast and shuffle by size.
+    For stored tables that hold each key once, so no key can be hot. A table
+    measured as `small` is broadcast.
     """
     right, pairs = renamed(keys_table.select(*keys), keys)
-    return rows.join(right, null_safe(rows, right, pairs), "left_anti")
+    return rows.join(F.broadcast(right) if small else right, null_safe(rows, right, pairs), "left_anti")

@@ -86,6 +86,8 @@ def test_batch_date_layouts(spark, rows):
     assert rows(h, "k", H.START) == [(1, dt.date(2024, 1, 5)), (2, dt.date(2024, 1, 5)), (3, None)]
     typed = batch(spark, (1, "a", "2024-01-05", "A")).withColumn("day", F.col("day").cast("date"))
     assert rows(H.new_rows(typed, CFG, D1), H.START) == [(dt.date(2024, 1, 5),)]
+    timed = typed.withColumn("day", F.lit("2024-01-05 07:00:00").cast("timestamp"))
+    assert rows(H.new_rows(timed, CFG, D1), H.START) == [(dt.date(2024, 1, 5),)]
     assert H.new_rows(typed, CFG).head()[H.LOADED] == spark.sql("select current_date()").head()[0]
 
 

@@ -1,15 +1,9 @@
 """Every registered query against its SQL."""
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-import __spark_entry__ as entry  # noqa: E402
-from check import compare, connect  # noqa: E402
+import __spark_entry__ as entry
+from check import compare, connect
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 

@@ -142,3 +142,13 @@ def test_type_counts_read_no_more_than_the_line(spark, folder, lines):
     lines(a="9005|1").write.partitionBy("file").text(folder)
     p = plan(extract.type_counts(extract.records(readers.read_lines(spark, folder, folder="file"))))
     assert p.count("Exchange") == 1 and "partial_count" in p
+
+
+@pytest.mark.parametrize(
+    "name", ["checksum_route", "segregate_write", "row_outcomes", "scd2_merge", "scd2_close_by_group", "history_snapshot"]
+)
+def test_queries_without_broadcast(spark, sf_dir, nothing_is_small, name):
+    import __spark_entry__ as entry
+    from check import compare, connect
+
+    assert compare(spark, connect(sf_dir), sf_dir, name, entry.queries()[name], entry.oracle_sql()[name]) == ""
