@@ -109,6 +109,21 @@ def check_split(split: DataFrame) -> DataFrame:
     )
 
 
+def with_empty_files(checks: DataFrame, files: DataFrame) -> DataFrame:
+    """Checks completed by the files that gave no record at all; those fail."""
+    silent = files.select("file").distinct().join(checks.select("file").distinct(), "file", "left_anti")
+    count = F.lit(0).cast("bigint")
+    return checks.unionByName(
+        silent.select(
+            "file",
+            F.lit(None).cast("string").alias("rec_type"),
+            count.alias("actual"),
+            count.alias("declared"),
+            F.lit(FAIL).alias("status"),
+        )
+    )
+
+
 def routed(recs: DataFrame, checks: DataFrame) -> DataFrame:
     """Records with the status of their file and type, declared total included.
 

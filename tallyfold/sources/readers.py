@@ -47,23 +47,42 @@ def landing_files(spark: SparkSession, path: str, missing: str = "skip") -> Data
 
     def read():
         found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        about = lambda name: F.col(f"_metadata.{name}")
         return found.select(
-            F.col("path").alias("file"), F.col("modificationTime").alias("modified"), F.col("length").alias("bytes")
+            about("file_path").alias("file"), about("file_modification_time").alias("modified"), about("file_size").alias("bytes")
         )
 
     return _or_missing(spark, read, listed, missing)
 
 
-def read_lines(spark: SparkSession, path: str, folder: str | None = None, missing: str = "skip") -> DataFrame:
+def file_names(spark: SparkSession, path: str) -> DataFrame:
+    """(file) of everything Spark lists below a folder, files without a byte included,
+    which scans leave out. The names come from the driver's own file index."""
+    listed = spark.read.option("recursiveFileLookup", "true").text(path).inputFiles()
+    names = [(f.replace("file:///", "file:/", 1),) for f in listed]
+    return spark.createDataFrame(names, "file string")
+
+
+def read_lines(
+    spark: SparkSession, path: str, folder: str | None = None, missing: str = "skip", unreadable: str = "raise"
+) -> DataFrame:
     """(file, value) of every line. An extract is one file. With `folder`, it is all
     files below one <folder>=<name> directory; large extracts are better landed
-    that way, as several tasks can write them."""
+    that way, as several tasks can write them.
+
+    unreadable="skip" goes on without files that are corrupt or vanish meanwhile;
+    they then have too few rows or none, which the file check reports.
+    """
+    if unreadable not in ("skip", "raise"):
+        raise ValueError(f"unreadable must be skip or raise, not {unreadable}")
+    skip = str(unreadable == "skip").lower()
+    reader = spark.read.option("ignoreCorruptFiles", skip).option("ignoreMissingFiles", skip)
 
     def read():
         if folder:
-            found = spark.read.schema(f"value string, `{folder}` string").text(path)
+            found = reader.schema(f"value string, `{folder}` string").text(path)
             return found.select(F.col(folder).alias("file"), "value")
-        lines = spark.read.option("recursiveFileLookup", "true").text(path)
+        lines = reader.option("recursiveFileLookup", "true").text(path)
         return lines.select(F.col("_metadata.file_path").alias("file"), "value")
 
     return _or_missing(spark, read, LINES, missing)

@@ -150,3 +150,29 @@ def test_ragged_lines_keep_their_width(spark, lines, rows):
         ("1", "2", "3", 4),
         ("1", "2", None, 2),
     ]
+
+
+def test_empty_and_unreadable_files_fail(spark, rows, tmp_path):
+    (tmp_path / "good.txt").write_text("9005|1\nT|9005~1\n")
+    (tmp_path / "empty file.txt").write_text("")
+    (tmp_path / "good too.txt").write_text("9005|1\nT|9005~1\n")
+    (tmp_path / "broken.gz").write_bytes(b"no archive")
+    lines = readers.read_lines(spark, str(tmp_path), unreadable="skip")
+    checks = filecheck.with_empty_files(filecheck.check_lines(lines), readers.file_names(spark, str(tmp_path)))
+    names = F.regexp_replace(F.substring_index("file", "/", -1), "%20", " ")
+    got = rows(checks.select(names, "rec_type", "actual", "status"))
+    listed = readers.landing_files(spark, str(tmp_path))
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert set(listed.select("file").collect()) == set(lines.select("file").distinct().collect()) | {
+        r for r in checks.select("file").collect() if r.file.endswith("broken.gz")
+    }
+    assert got == [
+        ("broken.gz", None, 0, "fail"),
+        ("empty file.txt", None, 0, "fail"),
+        ("good too.txt", "9005", 1, "pass"),
+        ("good.txt", "9005", 1, "pass"),
+    ]
+    with pytest.raises(Exception):
+        readers.read_lines(spark, str(tmp_path)).count()
+    with pytest.raises(ValueError):
+        readers.read_lines(spark, str(tmp_path), unreadable="fix")
