@@ -29,13 +29,13 @@ def key_hash(keys: Sequence[str], types: Sequence[T.DataType] = ()) -> Column:
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """(hash, fan) of the keys that hold more than about 1/share of the rows.
+    """(__hash, __fan) of the keys that hold more than about 1/share of the rows.
 
     Frequent-item sketches are built in every task and merged in groups of tasks,
     so no row is shuffled and no reducer merges more than its group's sketches;
     the groups' top items are then added up. The sums are written down, because a
-    sketch may come out differently when computed again. `fan` is the number of
-    reducers the key's rows deserve.
+    sketch may come out differently when computed again. `__fan` is the number of
+    salts for the key's rows, in proportion to their share.
     """
     spark = rows.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -57,7 +57,7 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Da
         counts.where(F.col("item").isNotNull() & (F.col("n") * share > n))
         .orderBy(F.desc("n"), "item")
         .limit(share)
-        .select(F.col("item").alias("hash"), fan.alias("fan"))
+        .select(F.col("item").alias("__hash"), fan.alias("__fan"))
     )
 
 
@@ -79,7 +79,7 @@ def salted_left_join(
 ) -> DataFrame:
     """Left join to a one-row-per-key table with the rows of hot keys spread out.
 
-    Rows of a hot key are dealt over `fan` reducers by the partition they come
+    Rows of a hot key are dealt over `__fan` salts by the partition they come
     from, which a retried task repeats exactly. The table holds the key once per
     salt; as hot keys are few and fans add up to a small multiple of the number of
     reducers, the copies are few as well.
@@ -88,15 +88,15 @@ def salted_left_join(
     right, pairs = renamed(table, keys)
     dealt = (
         rows.withColumn("__h", key_hash(keys))
-        .join(hot, F.col("__h") == hot["hash"], "left")
-        .withColumn("__salt", F.when(hot["fan"].isNotNull(), F.pmod(F.spark_partition_id(), hot["fan"])).otherwise(0))
-        .drop("__h", "hash", "fan")
+        .join(hot, F.col("__h") == hot["__hash"], "left")
+        .withColumn("__salt", F.when(hot["__fan"].isNotNull(), F.pmod(F.spark_partition_id(), hot["__fan"])).otherwise(0))
+        .drop("__h", "__hash", "__fan")
     )
     copies = (
         right.withColumn("__h", key_hash([r for _, r in pairs], [rows.schema[l].dataType for l, _ in pairs]))
-        .join(hot, F.col("__h") == hot["hash"], "left")
-        .withColumn("__slot", F.explode(F.sequence(F.lit(0), F.coalesce(hot["fan"], F.lit(1)) - 1)))
-        .drop("__h", "hash", "fan")
+        .join(hot, F.col("__h") == hot["__hash"], "left")
+        .withColumn("__slot", F.explode(F.sequence(F.lit(0), F.coalesce(hot["__fan"], F.lit(1)) - 1)))
+        .drop("__h", "__hash", "__fan")
     )
     joined = dealt.join(copies, null_safe(dealt, copies, pairs + [("__salt", "__slot")]), "left")
     return joined.drop("__salt", "__slot", *[r for _, r in pairs])

@@ -25,7 +25,7 @@ def hot_rows(spark):
 
 
 def test_hot_keys_are_found(spark, hot_rows):
-    fans = {r.hash: r.fan for r in joins.hot_keys(hot_rows, ["k"]).collect()}
+    fans = {r[0]: r[1] for r in joins.hot_keys(hot_rows, ["k"]).collect()}
     hashes = spark.sql("select xxhash64(7) a, xxhash64(cast(null as int)) b").head()
     assert set(fans) == set(hashes) and fans[hashes.a] > fans[hashes.b] > 2
     assert joins.hot_keys(spark.range(100_000), ["id"]).isEmpty()
@@ -41,8 +41,9 @@ def test_salted_join_is_whole_and_even(spark, hot_rows, kind):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = joins.salted_left_join(hot_rows, materialise(table, "t"), ["k"])
+        joined = joins.salted_left_join(hot_rows.withColumn("hash", F.lit(1)), materialise(table, "t"), ["k"])
         want = F.when(F.col("k").isNull(), -1).when((F.col("k") == 7) | (F.col("k") % 2 == 0), F.col("k") * 3)
+        assert joined.columns == ["id", "k", "hash", "v"]
         assert joined.count() == 240_000
         assert joined.where(~F.col("v").eqNullSafe(want)).isEmpty()
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
