@@ -58,6 +58,9 @@ def upsert_append(
     dates = [r[0] for r in batch.select(H.LOADED).distinct().collect()]
     stored = read_dates(spark, path, dates)
     rows = H.upsert(stored, batch, cfg.primary_keys, order, compare_stored=compare_stored)
+    if len(dates) > 1:
+        # or every task would write a file for every date; large dates are split again
+        rows = rows.hint("rebalance", H.LOADED)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
