@@ -5,7 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from check import compare, connect
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+OWN = (entry.extracts, entry.records, entry.histories, entry.jobs)
+QUERIES = {name: query for m in OWN for name, query in m.QUERIES.items()}
+ORACLE = {name: sql for m in OWN for name, sql in m.ORACLE.items()}
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,8 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
