@@ -64,7 +64,7 @@ def identify(
     """
     spark = df.sparkSession
     kept = [c for c in df.columns if c not in (predicted, score)]
-    schema = df.select(*kept).schema.add(predicted, "string").add(score, "double")
+    schema = texts.extended(df.select(*kept).schema, **{predicted: "string", score: "double"})
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     rows = df.select(*kept, letters.alias("_letters"), F.col(text).alias("_text"))
     model = spark.sparkContext.broadcast((langs, tree))

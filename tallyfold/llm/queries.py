@@ -2,13 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import language, texts
+from tallyfold.llm import decontaminate, language, ngram_join, pii, pitman_yor, quality, texts, urls
 from tallyfold.llm.inputs import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labelled rows whose crc32 mod 5 is not 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    known = texts.learned(F.col("doc_id"), 5, 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    machine = quality.train(docs.where(known).join(labels, "doc_id"))
+    out = quality.score(docs.withColumn("held_out", ~known), machine)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of what stands there plainly, and all spans."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    plain = F.filter("spans", lambda s: ~s["added"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.listed(plain).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, learned from those whose crc32 mod 7 is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = texts.learned(F.col("doc_id"), 7, 2)
+    model, rare = pitman_yor.train(docs.where(known))
+    out = pitman_yor.score(docs.withColumn("held_out", ~known), model, rare)
+    return out.drop("text")
+
+
+RULES = (
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+)
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap with benchmark items."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: by the longest rule that fits, else by the character models."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and links of every document: five-word Jaccard of 0.8 or more."""
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from rows whose crc32 mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -18,5 +77,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
-QUERIES = {"op10_language": op10_language}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    "op1_quality": op1_quality,
+    "op4_pii": op4_pii,
+    "op5_pitman_yor": op5_pitman_yor,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_urls": op7_urls,
+    "op8_ngram_join": op8_ngram_join,
+    "op10_language": op10_language,
+}
+ORACLE = {"op6_decontaminate": decontaminate.sql()}

@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK = 1 << 21
 
@@ -70,9 +71,9 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 def blocks(column: pa.Array, limit: int = BLOCK, lead: int = 0) -> Iterator[Block]:
     """Blocks of about `limit` bytes at most, over all bytes of all rows.
 
-    Without `lead`, a long text is cut behind white space where its piece has
-    some, so that words stay whole; a word longer than a block is cut. With
-    `lead`, it is cut anywhere and each later piece repeats so many bytes.
+    Without `lead`, a long text is cut behind white space, so that words stay
+    whole; only a word longer than a block makes a longer one. With `lead`, it
+    is cut anywhere and each later piece repeats so many bytes.
     """
     data, offsets = utf8(column)
     first, n = 0, len(offsets) - 1
@@ -89,7 +90,11 @@ def blocks(column: pa.Array, limit: int = BLOCK, lead: int = 0) -> Iterator[Bloc
             stop = min(end, at + limit)
             if stop < end and not lead:
                 gaps = np.flatnonzero(SPACE[data[at:stop]])
-                stop = at + int(gaps[-1]) + 1 if len(gaps) else stop
+                if len(gaps):
+                    stop = at + int(gaps[-1]) + 1
+                else:
+                    gaps = np.flatnonzero(SPACE[data[stop:end]])
+                    stop = stop + int(gaps[0]) + 1 if len(gaps) else end
             back = min(lead, at - start)
             piece = data[at - back : stop]
             yield Block(piece, np.array([0, len(piece)]), np.array([first]), np.array([back]))
@@ -114,7 +119,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """Runs of bytes that are no white space: where they start and end, and their piece."""
+    """Runs of bytes that are no gaps: where they start and end, and their piece."""
 
     starts: np.ndarray
     ends: np.ndarray
@@ -124,8 +129,8 @@ class Words:
         return np.bincount(self.piece, minlength=n)
 
 
-def words(block: Block) -> Words:
-    solid = ~SPACE[block.data]
+def words(block: Block, gap: np.ndarray = SPACE) -> Words:
+    solid = ~gap[block.data]
     n = len(solid)
     before, behind = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], behind[:-1] = solid[:-1], solid[1:]
@@ -145,6 +150,12 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def extended(schema: T.StructType, **kinds: str) -> T.StructType:
+    """The schema with further columns, given by their DDL types."""
+    more = [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in kinds.items()]
+    return T.StructType([*schema.fields, *more])
+
+
 def learned(doc_id: Column, divisor: int, held: int) -> Column:
     """Whether a document is not held out: crc32(doc_id as text) mod divisor is not `held`; a null id is ''."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))
