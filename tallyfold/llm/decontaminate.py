@@ -3,11 +3,14 @@
 A text is the list of its lower-cased runs of letters and digits. A seed looks
 at some positions of a window of tokens and ignores the others, so that windows
 that differ in ignored positions hash alike. The hashes of all windows of all
-documents are joined with those of the benchmark, and each hit is verified: of
-the item's tokens from `pad` before the window to `pad` behind it, as far as the
-item goes, a share must equal the document's tokens on the same diagonal.
-
-Items shorter than the longest seed have no window and match nothing.
+documents are joined with those of the benchmark. Each hit proves the tokens at
+its seed's positions equal; the hits of a document and an item on one diagonal
+(the distance between their windows) are put together, and the overlap holds if
+so many proven tokens lie within `reach` tokens that they are `share` percent of
+those, or of the whole item if it is shorter. Substituted words in between are
+simply not proven.
+
+Items shorter than the seeds have no window and match nothing.
 """
 
 from __future__ import annotations
@@ -22,11 +25,10 @@ from tallyfold.session import materialise
 
 #: 1 for positions that are hashed, 0 for ignored ones; all of one length.
 SEEDS = ("1101100101", "1010011011")
-PAD = 5
-#: Matched tokens per hundred of the item's.
-SHARE = 75
-#: Windows of the benchmark that one broadcast holds (each has 21 numbers of 8 bytes at most).
-BROADCAST_ROWS = 400_000
+REACH = 20
+SHARE = 60
+#: Windows of the benchmark that one broadcast holds, some 40 bytes each.
+BROADCAST_ROWS = 1_000_000
 
 
 def tokens(text: Column) -> Column:
@@ -34,118 +36,125 @@ def tokens(text: Column) -> Column:
 
 
 def _windows(rows: DataFrame, seeds: Sequence[str]) -> DataFrame:
-    """A row for each window and seed of the token hashes `h`: `at`, where the window starts, and its `hash`."""
+    """A row for each window and seed of the token hashes `h`, without them: `at`, `seed` and `hash`."""
     span = len(seeds[0])
-    starts = F.explode(F.sequence(F.lit(0), F.size("h") - span))
-    rows = rows.where(F.size("h") >= span).select("*", starts.alias("at"))
-    hashes = [
-        F.xxhash64(F.lit(s), *[F.get("h", F.col("at") + i) for i, used in enumerate(seed) if used == "1"])
-        for s, seed in enumerate(seeds)
-    ]
-    return rows.select("*", F.explode(F.array(*hashes)).alias("hash"))
+
+    def hashes(at: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    at.alias("at"),
+                    F.lit(s).alias("seed"),
+                    F.xxhash64(F.lit(s), *[F.get("h", at + i) for i, used in enumerate(seed) if used == "1"]).alias("hash"),
+                )
+                for s, seed in enumerate(seeds)
+            ]
+        )
+
+    kept = [c for c in rows.columns if c != "h"]
+    windows = F.flatten(F.transform(F.sequence(F.lit(0), F.size("h") - span), hashes))
+    rows = rows.select(*kept, F.when(F.size("h") >= span, windows).alias("_windows"))
+    # the outer form, as filters before the other one would compute the windows a second time, word by word
+    return rows.select(*kept, F.inline_outer("_windows"))
 
 
 def _hashed(text: Column) -> Column:
     return F.transform(tokens(text), lambda x: F.xxhash64(x))
 
 
-def hits(
+def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
     seeds: Sequence[str] = SEEDS,
-    pad: int = PAD,
+    reach: int = REACH,
     share: int = SHARE,
 ) -> DataFrame:
-    """The columns of docs but the text, with _item and _matched, for each verified hit.
+    """The columns of docs but the text, with _item, _shift and _matched, for each overlap that holds.
 
-    The benchmark goes out in broadcasts of bounded size, over each of which the
-    documents are read. Null texts have no tokens; a null item id is an id.
+    _shift is the diagonal, _matched the number of proven tokens on it. Equal
+    rows of docs are one row here. The benchmark goes out in broadcasts of
+    bounded size, over each of which the documents are read. Null texts have no
+    tokens; a null item id is an id.
     """
-    span = len(seeds[0])
     items = benchmark.select(F.col(item).alias("_item"), _hashed(F.col(item_text)).alias("h"))
-    items = _windows(items, seeds)
-    low = F.greatest(F.col("at") - pad, F.lit(0))
-    high = F.least(F.col("at") + span + pad, F.size("h"))
-    items = items.select(
-        "hash",
-        "_item",
-        (F.col("at") - low).alias("_before"),
-        F.slice("h", low + 1, high - low).alias("_around"),
-    )
-    items = materialise(items, "benchmark-seeds")
-    parts = -(-items.count() // BROADCAST_ROWS)
+    items = items.withColumn("_size", F.size("h"))
+    items = _windows(items, seeds).select("hash", "_item", "_size", F.col("at").alias("_at"))
+    items = materialise(items.where(F.col("hash").isNotNull()), "benchmark-seeds")
+    parts = max(1, -(-items.count() // BROADCAST_ROWS))
     kept = [c for c in docs.columns if c != text]
     rows = _windows(docs.select(*kept, _hashed(F.col(text)).alias("h")), seeds)
-    found = []
-    for part in range(max(1, parts)):
-        mine = items.where(F.pmod(F.xxhash64("hash", "_item"), F.lit(parts)) == part) if parts > 1 else items
-        joined = rows.join(F.broadcast(mine), "hash")
-        first = F.col("at") - F.col("_before")
-        equal = F.transform(
-            "_around", lambda x, j: F.when(F.get("h", first + j) == x, 1).otherwise(0)
-        )
-        matched = F.aggregate(equal, F.lit(0), lambda a, x: a + x).alias("_matched")
-        joined = joined.select(*kept, "_item", F.size("_around").alias("_wanted"), matched)
-        found.append(joined.where(F.col("_matched") * 100 >= F.col("_wanted") * share).drop("_wanted"))
-    return reduce(DataFrame.unionAll, found)
+    hits = []
+    for part in range(parts):
+        mine = items.where(F.pmod(F.xxhash64("hash"), F.lit(parts)) == part) if parts > 1 else items
+        hits.append(rows.join(F.broadcast(mine), "hash"))
+    found = reduce(DataFrame.unionAll, hits)
+    found = found.groupBy(*kept, "_item", "_size", (F.col("at") - F.col("_at")).alias("_shift"))
+    found = found.agg(F.collect_set(F.struct("_at", "seed")).alias("_hits"))
+
+    used = F.array(*[F.array(*[F.lit(i) for i, x in enumerate(seed) if x == "1"]) for seed in seeds])
+    proven = F.transform("_hits", lambda h: F.transform(F.get(used, h["seed"]), lambda i: h["_at"] + i))
+    found = found.withColumn("_proven", F.array_sort(F.array_distinct(F.flatten(proven))))
+    need = F.ceil(F.least(F.col("_size"), F.lit(reach)) * share / 100).cast("int")
+    starts = F.sequence(F.lit(0), F.size("_proven") - need)
+    close = F.exists(starts, lambda k: F.get("_proven", k + need - 1) - F.get("_proven", k) < reach)
+    found = found.where((F.size("_proven") >= need) & close)
+    return found.select(*kept, "_item", "_shift", F.size("_proven").alias("_matched"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, item_id, n_hits, matched): documents and the items they overlap with, verified hits and most tokens matched."""
-    found = hits(docs.select(key, text), benchmark, text)
-    found = found.groupBy(key, F.col("_item").alias("item_id"))
-    return found.agg(F.count("*").alias("n_hits"), F.max("_matched").alias("matched"))
+    """(key, item_id, n_overlaps, matched): documents and the items they hold, diagonals and most tokens proven on one."""
+    rows = docs.select(key, F.xxhash64(text).alias("_hash"), text)
+    found = overlaps(rows, benchmark, text).groupBy(key, F.col("_item").alias("item_id"))
+    return found.agg(F.count("*").alias("n_overlaps"), F.max("_matched").alias("matched"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without a verified hit; rows are told apart by key and text."""
+    """The documents without an overlap; rows are told apart by key and text."""
     slim = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
-    found = hits(slim, benchmark, "_text").select("_key", "_hash").distinct()
+    found = overlaps(slim, benchmark, "_text").select("_key", "_hash").distinct()
     same = docs[key].eqNullSafe(found["_key"]) & (F.xxhash64(docs[text]) == found["_hash"])
     return docs.join(found, same, "left_anti")
 
 
-def sql(seeds: Sequence[str] = SEEDS, pad: int = PAD, share: int = SHARE) -> str:
+def sql(seeds: Sequence[str] = SEEDS, reach: int = REACH, share: int = SHARE) -> str:
     """The rows of `leaks` over documents and benchmark, for DuckDB."""
     span = len(seeds[0])
-    words = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '')"
-
-    def picked(seed: str) -> str:
-        return ", ".join(f"w[p + {i + 1}]" for i, used in enumerate(seed) if used == "1")
+    words = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 
     def windows(table: str, key: str) -> str:
-        parts = [
-            f"SELECT {key}, w, p, {s} AS seed, [{picked(seed)}] AS picked FROM {table}" for s, seed in enumerate(seeds)
-        ]
-        return " UNION ALL ".join(parts)
-
-    def starts(table: str, key: str) -> str:
-        return (
+        starts = (
             f"SELECT {key}, w, unnest(range(0, len(w) - {span - 1})) AS p "
             f"FROM (SELECT {key}, {words} AS w FROM {table}) WHERE len(w) >= {span}"
         )
+        seen = lambda seed: ", ".join(f"w[p + {i + 1}]" for i, used in enumerate(seed) if used == "1")
+        return " UNION ALL ".join(
+            f"SELECT {key}, len(w) AS size, p, {s} AS seed, [{seen(seed)}] AS seen FROM ({starts})"
+            for s, seed in enumerate(seeds)
+        )
 
+    places = ", ".join(f"({s}, {i})" for s, seed in enumerate(seeds) for i, used in enumerate(seed) if used == "1")
     return f"""
-    WITH d AS ({starts("documents", "doc_id")}),
-    b AS ({starts("benchmark", "item_id")}),
-    dw AS ({windows("d", "doc_id")}),
-    bw AS ({windows("b", "item_id")}),
-    hit AS (
-        SELECT doc_id, item_id, dw.w AS dt, bw.w AS bt, dw.p AS dp, bw.p AS bp,
-            greatest(bw.p - {pad}, 0) AS low, least(bw.p + {span + pad}, len(bw.w)) AS high
-        FROM dw JOIN bw ON dw.seed = bw.seed AND dw.picked = bw.picked
+    WITH d AS ({windows("documents", "doc_id")}),
+    b AS ({windows("benchmark", "item_id")}),
+    place(seed, i) AS (VALUES {places}),
+    proven AS (
+        SELECT DISTINCT doc_id, item_id, b.size, d.p - b.p AS shift, b.p + i AS pos
+        FROM d JOIN b ON d.seed = b.seed AND d.seen = b.seen JOIN place ON place.seed = d.seed
+    ),
+    near AS (
+        SELECT doc_id, item_id, size, shift, pos, count(*) OVER (
+            PARTITION BY doc_id, item_id, shift ORDER BY pos RANGE BETWEEN CURRENT ROW AND {reach - 1} FOLLOWING
+        ) AS n
+        FROM proven
     ),
-    around AS (
-        SELECT doc_id, item_id, high - low AS wanted, coalesce(list_sum(list_transform(
-            range(low, high),
-            j -> CASE WHEN dp + j - bp >= 0 AND dt[dp + j - bp + 1] = bt[j + 1] THEN 1 ELSE 0 END
-        )), 0) AS matched
-        FROM hit
+    overlap AS (
+        SELECT doc_id, item_id, shift, count(*) AS matched
+        FROM near GROUP BY doc_id, item_id, size, shift
+        HAVING max(n) >= ceil(least(size, {reach}) * {share} / 100.0)
     )
-    SELECT doc_id, item_id, count(*) AS n_hits, max(matched)::INTEGER AS matched
-    FROM around WHERE matched * 100 >= wanted * {share}
-    GROUP BY doc_id, item_id
+    SELECT doc_id, item_id, count(*) AS n_overlaps, max(matched)::INTEGER AS matched
+    FROM overlap GROUP BY doc_id, item_id
     """

@@ -32,7 +32,9 @@ from tallyfold.llm.components import connected
 from tallyfold.session import materialise
 
 #: Classes in a block of a tile.
-BLOCK = 64
+BLOCK = 128
+#: Bits of the largest filter of wanted ids that is sent to the tasks (16 MB).
+FILTER_BITS = 1 << 27
 
 
 def bands_for(threshold: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -129,14 +131,37 @@ def described(df: DataFrame, text: str, key: str, n: int, bands: int, rows: int)
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """(class, root): the component of every class that shares a bucket with another one."""
+    """(class, root): the component of every class that shares a bucket with another one.
+
+    A class is linked with the least head of its buckets, and so are their other
+    heads: as most classes of a group have heads in common, few links remain.
+    """
     keys = classes.select("class", F.explode("bands").alias("key"))
     heads = keys.groupBy("key").agg(F.min("class").alias("head"), F.count("*").alias("n")).where("n > 1")
-    links = keys.join(heads.select("key", "head"), "key").where("class != head")
-    found = connected(links.select(F.col("class").alias("a"), F.col("head").alias("b")).distinct())
+    found = keys.join(heads.select("key", "head"), "key").groupBy("class")
+    found = found.agg(F.min("head").alias("least"), F.collect_set("head").alias("heads"))
+    found = materialise(found, "ngram-heads")
+    others = found.select(F.explode("heads").alias("a"), F.col("least").alias("b")).distinct()
+    found = connected(found.select(F.col("class").alias("a"), F.col("least").alias("b")).union(others))
     return found.select(F.col("node").alias("class"), "root")
 
 
+def _filter(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of each id, in a table of bounded size; other ids meet few set bits while ids are few."""
+    n = ids.count()
+    size = 1 << 15
+    while size < min(32 * n, FILTER_BITS):
+        size *= 2
+    bit = F.pmod(F.xxhash64("id"), F.lit(size))
+    # the functions number buckets from 1
+    at = F.bitmap_bucket_number(bit + 1).alias("bucket")
+    parts = ids.groupBy(at).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit + 1)).alias("bits")).collect()
+    out = np.zeros((size >> 15, 1 << 15), bool)
+    for part in parts:
+        out[part["bucket"] - 1] = np.unpackbits(np.frombuffer(part["bits"], np.uint8), bitorder="little")
+    return np.packbits(out.ravel(), bitorder="little")
+
+
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets of a with all of b."""
     grams = np.concatenate([*a, *b])
@@ -191,23 +216,29 @@ def verified(df: DataFrame, text: str, key: str, found: DataFrame, reps: DataFra
     members = found.join(sizes, "root").select("class", "root", parts.alias("parts"))
     members = members.withColumn("block", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     wanted = materialise(members.join(reps.select("class", "id"), "class"), "ngram-members")
-
-    slim = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    rows = slim.join(wanted, slim["id"].eqNullSafe(wanted["id"])).select("text", "class", "root", "parts", "block")
+    sent = df.sparkSession.sparkContext.broadcast(_filter(wanted.select("id")))
+    slim = df.select(F.col(text).alias("text"), F.xxhash64(F.col(key).alias("id")).alias("hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
+        size = len(bits) * 8
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                sets = gram_sets(part.column(0), n)
-                mine = [digest(s) == c for s, c in zip(sets, part.column(1).to_pylist(), strict=True)]
-                kept = part.filter(pa.array(mine, pa.bool_()))
-                packed = pa.array([s.tobytes() for s, m in zip(sets, mine, strict=True) if m], pa.binary())
-                yield pa.RecordBatch.from_arrays([*kept.columns[1:], packed], names=["class", "root", "parts", "block", "grams"])
-
-    sets = rows.mapInArrow(run, "class binary, root binary, parts int, block int, grams binary")
-    # rows that repeat an id and a text would be members twice
-    sets = materialise(sets, "ngram-sets").dropDuplicates(["class"])
+            at = batch.column(1).to_numpy() % size
+            batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            for first in range(0, batch.num_rows, 1000):
+                sets = [s for s in gram_sets(batch.column(0).slice(first, 1000), n) if len(s)]
+                yield pa.record_batch(
+                    {
+                        "class": pa.array([digest(s) for s in sets], pa.binary()),
+                        "grams": pa.array([s.tobytes() for s in sets], pa.binary()),
+                    }
+                )
+
+    sets = slim.mapInArrow(run, "class binary, grams binary")
+    # other rows may have the wanted class too: one is enough
+    sets = sets.join(wanted.drop("id"), "class").groupBy("class").agg(
+        *[F.first(c).alias(c) for c in ("root", "parts", "block", "grams")]
+    )
     block = F.col("block")
     pairs = sets.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = pairs.withColumns({"low": F.least(block, F.col("with")), "high": F.greatest(block, F.col("with"))})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import decontaminate, language, ngram_join, pii, pitman_yor, quality, texts, urls
+from tallyfold.llm import decontaminate, language, mixing, ngram_join, pii, pitman_yor, quality, texts, urls
 from tallyfold.llm.inputs import table
 
 
@@ -19,6 +19,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document: sources weigh 3, 1, 2 in turn and share 150% of all words."""
+    out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of what stands there plainly, and all spans."""
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -79,6 +85,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_mixing": op2_mixing,
     "op4_pii": op4_pii,
     "op5_pitman_yor": op5_pitman_yor,
     "op6_decontaminate": op6_decontaminate,
