@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import decontaminate, language, mixing, ngram_join, pii, pitman_yor, quality, texts, urls
+from tallyfold.llm import decontaminate, language, mixing, ngram_join, pii, pitman_yor, quality, texts, topk, urls
 from tallyfold.llm.inputs import table
 
 
@@ -74,6 +74,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every vector whose id is divisible by 20."""
+    return topk.top(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from rows whose crc32 mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -91,6 +96,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_urls": op7_urls,
     "op8_ngram_join": op8_ngram_join,
+    "op9_topk": op9_topk,
     "op10_language": op10_language,
 }
 ORACLE = {"op6_decontaminate": decontaminate.sql()}
