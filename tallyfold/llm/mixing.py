@@ -184,3 +184,16 @@ def mix(
         "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+def mixed(df: DataFrame, text: str = "text", source: str = "source", copy: str = "copy", **settings: object) -> DataFrame:
+    """The frame's rows, each as often as the mix takes it, numbered from 1 in the column `copy`."""
+    place = "_place"
+    while place in df.columns:
+        place = "_" + place
+    placed = materialise(df.withColumn(place, F.monotonically_increasing_id()), "mix-input")
+    plan = mix(placed.select(place, F.col(source).alias("source"), F.col(text).alias("text")), **settings)
+    plan = plan.where("copies > 0").select(place, F.col("copies").cast("int").alias("_copies"))
+    rows = placed.join(plan, place).drop(place)
+    kept = [c for c in df.columns if c != copy]
+    return rows.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias(copy))

@@ -189,7 +189,7 @@ def _epoch(machine: Machine, rows: pd.DataFrame, epochs: int, rate: float, seed:
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         order = rng.permutation(len(rows))
-        for some in np.array_split(order, max(1, len(order) // 32)):
+        for some in np.array_split(order, max(1, len(order) // 16)):
             at, x, square, of = [], [], [], []
             for i, r in enumerate(some):
                 words, bins = rows["slots"].iat[r], rows["bins"].iat[r]
@@ -243,15 +243,16 @@ def train(
     sample: int = 12_000,
     bits: int = 16,
     rank: int = 8,
-    tasks: int = 8,
+    rows_per_task: int = 1500,
     rounds: int = 3,
-    epochs: int = 2,
+    visits: int = 72_000,
     rate: float = 0.1,
 ) -> Machine:
     """A machine learned from about `sample` labelled rows, picked by the hash of their key; fewer give all.
 
-    Rows without label are left out, null texts count as empty. No rows give
-    the machine that scores everything 0.5. Reruns over the same rows agree.
+    All rounds together visit about `visits` rows, whatever their number. Rows
+    without label are left out, null texts count as empty. No rows give the
+    machine that scores everything 0.5. Reruns over the same rows agree.
     """
     spark = df.sparkSession
     rows = df.where(F.col(label).isNotNull())
@@ -262,6 +263,8 @@ def train(
     steps = 1 << 24
     picked = rows.where(F.pmod(F.xxhash64(key), F.lit(steps)) < int(min(1, sample / n) * steps))
     data = materialise(features(picked, text, n_chars, label, key, bits), "quality-sample")
+    n = min(n, sample)
+    tasks, epochs = -(-n // rows_per_task), max(1, round(visits / rounds / n))
     dealt = data.groupBy(F.pmod(F.xxhash64("key"), F.lit(tasks)).alias("task"))
     for r in range(rounds):
         learn = _learner(spark.sparkContext.broadcast(machine), epochs, rate / (r + 1), 97 * r)

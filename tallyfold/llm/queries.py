@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import decontaminate, language, mixing, ngram_join, pii, pitman_yor, quality, texts, topk, urls
+from tallyfold.llm import decontaminate, language, mixing, ngram_join, pii, pitman_yor, quality, texts, topk, toxicity, urls
 from tallyfold.llm.inputs import table
 
 
@@ -25,6 +25,16 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled rows whose crc32 mod 4 is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = texts.learned(F.col("doc_id"), 4, 2)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    machine = toxicity.train(docs.where(known).join(labels, "doc_id"))
+    out = toxicity.score(docs.withColumn("held_out", ~known), machine)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of what stands there plainly, and all spans."""
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -91,6 +101,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_pii": op4_pii,
     "op5_pitman_yor": op5_pitman_yor,
     "op6_decontaminate": op6_decontaminate,
