@@ -16,7 +16,9 @@ FIELD, PAIR = "|", "~"
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Without white space at either end; only texts that have some there are walked through."""
+    blank = lambda end: F.instr(F.lit(WHITESPACE), end) > 0
+    return F.when(blank(F.left(c, F.lit(1))) | blank(F.right(c, F.lit(1))), F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
 
 
 def strip_left(c: Column) -> Column:
@@ -40,9 +42,17 @@ def last_field(arr: Column) -> Column:
     return F.element_at(arr, -1)
 
 
+def text_after_last(line: Column) -> Column:
+    """The last field of a line, without splitting it."""
+    return F.substring_index(line, FIELD, -1)
+
+
 def whole_number(c: Column) -> Column:
-    """Integer value of a text, null where it is not one."""
-    return c.try_cast("bigint")
+    """Integer value of a text, null where it is not one.
+
+    The shape is tested first: a cast that fails costs far more than one that does not.
+    """
+    return F.when(c.rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"), c.try_cast("bigint"))
 
 
 def footer_pairs(line: Column) -> Column:
@@ -67,14 +77,22 @@ def footer_pairs(line: Column) -> Column:
 
 
 def date_or_null(c: Column, pattern: str = "yyyyMMdd") -> Column:
-    return F.try_to_date(c, pattern)
+    """Date of a text in a layout, null where it is none.
+
+    Eight digits are read as dashed text, which costs less than the layout's
+    parser and far less where it fails.
+    """
+    if pattern != "yyyyMMdd":
+        return F.try_to_date(c, pattern)
+    dashed = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
+    return F.when(c.rlike("^(?!0000)[0-9]{8}$"), dashed.try_cast("date"))
 
 
 def batch_day(c: Column) -> Column:
     """A batch date held as a date, or as text in either of two layouts."""
     text = c.cast("string")
     dashed = F.contains(text, F.lit("-"))
-    return F.when(dashed, F.try_to_date(text, "yyyy-MM-dd")).otherwise(F.try_to_date(text, "yyyyMMdd"))
+    return F.when(dashed, F.try_to_date(text, "yyyy-MM-dd")).otherwise(date_or_null(text))
 
 
 def base_name(path: Column) -> Column:

@@ -83,7 +83,7 @@ def reference_row(split: DataFrame) -> DataFrame:
     """
     per_type = (
         split.select(
-            "file", "rec_type", X.whole_number(X.last_field(X.fields(F.col("value")))).alias("total")
+            "file", "rec_type", X.whole_number(X.text_after_last(F.col("value"))).alias("total")
         )
         .groupBy("file", "rec_type")
         .agg(F.min("total").alias("total"))

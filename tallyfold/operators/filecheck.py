@@ -85,7 +85,7 @@ def check_split(split: DataFrame) -> DataFrame:
     Every row of a file and type must end in the same whole number, and that
     must be the number of rows. A null or missing last field fails.
     """
-    total = X.whole_number(X.last_field(X.fields(F.col("value"))))
+    total = X.whole_number(X.text_after_last(F.col("value")))
     return (
         split.select("file", "rec_type", total.alias("total"))
         .groupBy("file", "rec_type")

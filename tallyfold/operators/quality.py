@@ -39,10 +39,11 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def with_unique_flag(df: DataFrame, column: str, flag: str) -> DataFrame:
+def with_unique_flag(df: DataFrame, column: str, flag: str, source: DataFrame | None = None) -> DataFrame:
     """Flag rows whose value occurs once. Repeated values are few when data is
-    good, then no row moves; if they are many, hot ones are salted."""
-    repeated = repeated_values(df, column).withColumnRenamed("repeated", flag)
+    good, then no row moves; if they are many, hot ones are salted. They are
+    counted on `source`, the same rows before other flags were joined to them."""
+    repeated = repeated_values(df if source is None else source, column).withColumnRenamed("repeated", flag)
     return lookup(df, repeated, [column], "repeated").withColumn(flag, F.col(flag).isNull())
 
 
@@ -67,7 +68,7 @@ def row_outcomes(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for rule in rules:
         if rule.kind == "IsUnique" and rule.column in columns and rule.column not in flags:
             flags[rule.column] = f"__unique{len(flags)}"
-            checked = with_unique_flag(checked, rule.column, flags[rule.column])
+            checked = with_unique_flag(checked, rule.column, flags[rule.column], df)
 
     row_rules = [r for r in rules if is_row_rule(r, columns)]
     skipped = [r.text for r in rules if not is_row_rule(r, columns)]

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tallyfold.config import ConfigError, HistoryConfig, Rule, TransposeConfig
 from tallyfold.operators import extract, filecheck, quality
 from tallyfold.operators.columns import clean_names, drop_outcomes, parse_dates
-from tallyfold.operators.history import history_rows
+from tallyfold.operators.history import history_rows, merge
 from tallyfold.operators.transpose import transpose
 from tallyfold.session import materialise
 from tallyfold.sources import catalog, readers, sinks, tables
@@ -41,15 +41,19 @@ def segregate(lines: DataFrame, path: str, run_date: dt.date | str | None = None
     return sinks.read_split(lines.sparkSession, path, text, dated=run_date is not None)
 
 
-def check_and_route(lines: DataFrame, path: str, run_ts: dt.datetime | None = None) -> DataFrame:
+def check_and_route(
+    lines: DataFrame, path: str, run_ts: dt.datetime | None = None, files: DataFrame | None = None
+) -> DataFrame:
     """Count check of all extracts and types, then records stored by status.
 
     Two scans of the text: one tallies, one routes. The routed rows already carry
-    their declared total, so no split copy is written in between.
+    their declared total, so no split copy is written in between. `files` names
+    all extracts that should be there (`readers.file_names`); one that gave no
+    record, being empty or unreadable, is a failed check without a type.
     """
     checks = materialise(filecheck.check_lines(lines), "checks")
     sinks.write_routed(filecheck.routed(extract.records(lines), checks), path, run_ts)
-    return checks
+    return filecheck.with_empty_files(checks, files) if files is not None else checks
 
 
 def check_records(recs: DataFrame, job: TypeJob, path: str) -> tuple[DataFrame, DataFrame]:
@@ -70,17 +74,22 @@ def load_history(
 
     Style "validity" closes the rows a batch replaces and keeps them; "append"
     upserts under the run date. With a database configured, the table gets a name
-    there, made of style and record type.
+    there, made of style and record type. A type without rows that day changes
+    nothing; before its first row there is no table, and the result is empty.
     """
     if style == "append":
-        tables.upsert_append(spark, path, history_rows(rows, run_date), cfg)
-        if cfg.database:
+        batch = history_rows(rows, run_date)
+        tables.upsert_append(spark, path, batch, cfg)
+        stored = tables.read_append(spark, path, batch.schema)
+        if cfg.database and tables.has_rows(spark, path):
             catalog.ensure_database(spark, cfg.database)
             catalog.register(spark, cfg.database, f"append_{cfg.rec_type}", path, partitioned=True)
-        return spark.read.parquet(path)
+        return stored
     if style != "validity":
         raise ConfigError(f"unknown history style: {style}")
-    tables.commit_history(spark, path, clean_names(drop_outcomes(rows)), cfg, run_date)
+    batch = clean_names(drop_outcomes(rows))
+    if tables.commit_history(spark, path, batch, cfg, run_date) < 0:
+        return merge(None, batch, cfg, run_date)
     if cfg.database:
         catalog.ensure_database(spark, cfg.database)
         catalog.publish_history(spark, cfg.database, f"history_{cfg.rec_type}", path)
@@ -93,13 +102,16 @@ def run(
     out: str,
     jobs: Sequence[TypeJob],
     run_date: dt.date | str,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Whole batch; returns (stage, rec_type, n) with the row counts of each stage.
 
+    A type of which no row passed leaves its histories as they are.
+
     Splitting, checking and routing handle all types in one job. What follows is
     per type, as schemas differ; the loop is over the handful of configured types.
     """
-    checks = check_and_route(lines, f"{out}/routed")
+    checks = check_and_route(lines, f"{out}/routed", files=files)
     routed = sinks.read_routed(spark, f"{out}/routed")
     good = routed.where(F.col("status") == filecheck.PASS)
 

@@ -14,11 +14,11 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 
 
 def register(spark: SparkSession, database: str, table: str, path: str, partitioned: bool = False) -> str:
-    """Register a parquet folder under a name; its schema and partition columns are
-    taken from the files."""
+    """Register a parquet folder under a name; its schema, with every column that any
+    file has, and partition columns are taken from the files."""
     name = f"`{database}`.`{table}`"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return name

@@ -13,11 +13,13 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.operators import history as H
 
 VERSION = "history_version"
+EXPIRED = "_EXPIRED"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -31,6 +33,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds anything but markers: writing no rows leaves just those."""
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(folder))
+
+
 # ---- append histories ----------------------------------------------------------
 
 
@@ -45,10 +53,23 @@ def read_dates(spark: SparkSession, path: str, dates: list[dt.date | None]) -> D
     return rows.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
 
 
+def read_append(spark: SparkSession, path: str, empty: T.StructType | None = None) -> DataFrame:
+    """All stored rows, with every column that any batch had; null where a batch had none.
+
+    Without stored rows the frame is empty and has the columns of `empty`, if given.
+    """
+    if not has_rows(spark, path):
+        if empty is None:
+            raise ConfigError(f"no rows stored in {path}")
+        return spark.createDataFrame([], empty)
+    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    return rows.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
+
+
 def upsert_append(
     spark: SparkSession, path: str, batch: DataFrame, cfg: HistoryConfig, compare_stored: bool = False
 ) -> None:
-    """Upsert a batch within the load dates it carries.
+    """Upsert a batch within the load dates it carries. A batch without rows changes nothing.
 
     Those dates, a handful of folder names, are fetched first. Folders of other
     dates are neither listed nor read, and the dynamic overwrite leaves them alone.
@@ -56,6 +77,8 @@ def upsert_append(
     order = [cfg.batch_date, *cfg.tie_breakers]
     batch = batch.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
     dates = [r[0] for r in batch.select(H.LOADED).distinct().collect()]
+    if not dates:
+        return
     stored = read_dates(spark, path, dates)
     rows = H.upsert(stored, batch, cfg.primary_keys, order, compare_stored=compare_stored)
     if len(dates) > 1:
@@ -97,11 +120,15 @@ def _stored(spark: SparkSession, path: str, known: list[int]) -> DataFrame:
 def read_history(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
     """Whole history at a version (default: the latest), without its version column.
 
-    Both conditions are on partition columns, so old open rows are never read.
+    Both conditions are on partition columns, so old open rows are never read. A
+    version whose open rows have expired is an error, as its closed rows alone
+    would be no history.
     """
     known = [n for n in versions(spark, path) if as_of is None or n <= as_of]
     if not known:
         raise ConfigError(f"no committed history in {path}")
+    if _exists(spark, f"{path.rstrip('/')}/{VERSION}={known[-1]}/{EXPIRED}"):
+        raise ConfigError(f"version {known[-1]} of {path} has expired")
     rows = _stored(spark, path, known)
     return rows.where((F.col(H.CURRENT) == 0) | (F.col(VERSION) == known[-1])).drop(VERSION)
 
@@ -123,9 +150,12 @@ def commit_history(
 
     Folders are split by the current flag alone. Open rows have load dates of all
     ages, and a folder for each would mean a file per date and task; the rows a
-    version closes share its run date anyway.
+    version closes share its run date anyway. A batch without rows is no commit;
+    the version is then the latest one, -1 if there is none.
     """
     known = versions(spark, path)
+    if batch.isEmpty():
+        return known[-1] if known else -1
     if known:
         rows = H.changed_rows(read_open(spark, path), batch, cfg, run_date, **how)
     else:
@@ -136,13 +166,17 @@ def commit_history(
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 7) -> list[int]:
-    """Drop the open rows of all but the newest `keep` versions; closed rows stay."""
+    """Drop the open rows of all but the newest `keep` versions; closed rows stay.
+
+    A version is marked as expired before anything of it goes.
+    """
     if keep < 1:
         raise ConfigError("at least one version must be kept")
     dropped = []
     for n in versions(spark, path)[:-keep]:
         fs, open_rows = _folder(spark, f"{path.rstrip('/')}/{VERSION}={n}/{H.CURRENT}=1")
         if fs.exists(open_rows):
+            fs.create(spark._jvm.org.apache.hadoop.fs.Path(open_rows.getParent(), EXPIRED), True).close()
             fs.delete(open_rows, True)
             dropped.append(n)
     return dropped

@@ -112,6 +112,28 @@ def test_stored_history(spark, rows, folder):
     assert short(rows, tables.read_history(spark, folder)) == whole
     with pytest.raises(C.ConfigError):
         tables.read_history(spark, folder + "-none")
+    with pytest.raises(C.ConfigError, match="expired"):
+        tables.read_history(spark, folder, as_of=1)
+
+
+def test_batches_without_rows_change_nothing(spark, rows, folder):
+    none = batch(spark, (1, "a", D1, "A")).limit(0)
+    assert tables.commit_history(spark, folder, none, CFG, D1) == -1 and tables.versions(spark, folder) == []
+    tables.commit_history(spark, folder, batch(spark, (1, "a", D1, "A")), CFG, D1)
+    assert tables.commit_history(spark, folder, none, CFG, D2) == 0
+    assert short(rows, tables.read_history(spark, folder)) == [(1, "a", None, 1, 0)]
+    path = folder + "-append"
+    tables.upsert_append(spark, path, H.history_rows(none, D1), CFG)
+    assert not tables.has_rows(spark, path)
+    with pytest.raises(C.ConfigError):
+        tables.read_append(spark, path)
+    assert tables.read_append(spark, path, H.history_rows(none, D1).schema).count() == 0
+
+
+def test_columns_that_come_later_are_kept(spark, rows, folder):
+    tables.upsert_append(spark, folder, H.history_rows(batch(spark, (1, "a", D1, "A")), D1), CFG)
+    tables.upsert_append(spark, folder, H.history_rows(batch(spark, (2, "b", D2, "A")).withColumn("w", F.lit("x")), D2), CFG)
+    assert rows(tables.read_append(spark, folder), "k", "w") == [(1, None), (2, "x")]
 
 
 def test_unfinished_commit_is_ignored(spark, rows, folder):

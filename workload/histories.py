@@ -35,7 +35,16 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = orders.where(key % 2 == 1).withColumn("batch-no", F.lit(3))
     for batch, day in ((first, DAY1), (again, DAY1), (rest, DAY2)):
         tables.upsert_append(spark, path, H.history_rows(batch, day), ORDERS)
-    return spark.read.parquet(path)
+    return tables.read_append(spark, path)
+
+
+def append_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that comes with the second day's batch is null for the rows of the first."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), F.lit(1).alias("batch_no"))
+    path, even = new_folder(spark, "append_column"), F.col("order_key") % 2 == 0
+    tables.upsert_append(spark, path, H.history_rows(orders.where(even), DAY1), ORDERS)
+    tables.upsert_append(spark, path, H.history_rows(orders.where(~even).withColumn("note", F.lit("new")), DAY2), ORDERS)
+    return tables.read_append(spark, path).select("order_key", "batch_no", "note", "dt")
 
 
 EVENTS = ["event_id", "ts", "user_id", "event_type", "value"]
@@ -55,11 +64,10 @@ def upsert_batch_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Even events stored, odd ones incoming, save users divisible by 5, who only have the first."""
+    """Odd events incoming, the others stored; users divisible by 5 have all of theirs stored."""
     events = _events(spark, sf_dir)
-    return events.where(F.col("event_id") % 2 == 0), events.where(
-        (F.col("event_id") % 2 == 1) & (F.col("user_id") % 5 > 0)
-    )
+    incoming = (F.col("event_id") % 2 == 1) & (F.col("user_id") % 5 > 0)
+    return events.where(~incoming), events.where(incoming)
 
 
 def _upserted(spark: SparkSession, sf_dir: str, scope: str, compare: bool = False) -> DataFrame:
@@ -166,6 +174,23 @@ def history_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_history(spark, _stored(spark, sf_dir)).select(*SCD2)
 
 
+def history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored history as the first batch left it; a version that has expired is refused."""
+    path = new_folder(spark, "scd2_as_of")
+    for batch, day in ((_base(spark, sf_dir), DAY1), (_delta(spark, sf_dir), DAY2)):
+        tables.commit_history(spark, path, batch, CUSTOMERS, day)
+    return tables.read_history(spark, path, as_of=0).select(*SCD2)
+
+
+def history_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches without rows, before the first one and between two, are no commits."""
+    path = new_folder(spark, "scd2_empty")
+    none = _base(spark, sf_dir).where("c_custkey is null")
+    for batch, day in ((none, DAY1), (_base(spark, sf_dir), DAY1), (none, DAY2), (_delta(spark, sf_dir), DAY2)):
+        tables.commit_history(spark, path, batch, CUSTOMERS, day)
+    return tables.read_history(spark, path).select(*SCD2)
+
+
 def catalog_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored history read by the name it was given."""
     path = _stored(spark, sf_dir)
@@ -216,6 +241,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         history_append,
+        append_new_column,
         upsert_batch_dedupe,
         upsert_partition_scope,
         upsert_table_scope,
@@ -228,6 +254,8 @@ QUERIES = {
         scd2_merge_strict,
         scd2_load_no_close,
         history_snapshot,
+        history_as_of,
+        history_empty_batch,
         catalog_history,
         scd2_current,
         transpose,
@@ -241,7 +269,7 @@ def _upsert_sql(keys: str, compare: bool = False) -> str:
     order = "ts DESC, event_id DESC" if compare else "incoming DESC, ts DESC, event_id DESC"
     return f"""
         SELECT CAST(ts AS DATE) AS dt, user_id, event_id, event_type, value
-        FROM (SELECT *, event_id % 2 AS incoming FROM events WHERE event_id % 2 = 0 OR user_id % 5 > 0)
+        FROM (SELECT *, event_id % 2 = 1 AND user_id % 5 > 0 AS incoming FROM events)
         QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1"""
 
 
@@ -298,6 +326,11 @@ ORACLE = {
         SELECT {_COLS} FROM base WHERE c_custkey % 10 <> 0 OR delete_flag = 1""",
     "scd2_load_no_close": _SCD2 + f"SELECT {_COLS} FROM base UNION ALL SELECT {_COLS} FROM added",
     "history_snapshot": _SCD2 + _MERGED,
+    "history_as_of": _SCD2 + f"SELECT {_COLS} FROM base",
+    "history_empty_batch": _SCD2 + _MERGED,
+    "append_new_column": """
+        SELECT o_orderkey AS order_key, 1 AS batch_no, CASE WHEN o_orderkey % 2 = 1 THEN 'new' END AS note,
+               CASE WHEN o_orderkey % 2 = 0 THEN DATE '2024-02-01' ELSE DATE '2024-03-01' END AS dt FROM orders""",
     "catalog_history": _SCD2 + _MERGED,
     "scd2_current": _SCD2
     + """

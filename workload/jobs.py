@@ -13,7 +13,7 @@ from tallyfold.functions import text as X
 from tallyfold.operators import history as H
 from tallyfold.plans import batch
 from tallyfold.session import new_folder
-from tallyfold.sources import catalog, readers, sinks
+from tallyfold.sources import catalog, readers, sinks, tables
 from tallyfold.streaming import arrivals
 from workload.views import ROWS_PER_EXTRACT, landing, lines, table, with_lines
 
@@ -148,7 +148,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = arrivals.parquet_stream(spark, f"{root}/arrivals", events.schema, max(2, pieces // 4))
     cfg = C.HistoryConfig("events", ("user_id",), "ts", tie_breakers=("event_id",))
     _finish(arrivals.upsert_arrivals(stream, f"{root}/table", cfg, f"{root}/checkpoint"))
-    return spark.read.parquet(f"{root}/table").select("dt", "user_id", "event_id", "event_type", "value")
+    return tables.read_append(spark, f"{root}/table").select("dt", "user_id", "event_id", "event_type", "value")
 
 
 # ---- the whole batch -----------------------------------------------------------------------------
