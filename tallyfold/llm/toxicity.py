@@ -67,7 +67,7 @@ class Units:
 
     @property
     def starts(self) -> np.ndarray:
-        return np.concatenate([[0], self.ends[:-1]])
+        return np.concatenate([[0], self.ends]).astype(np.int64)[:-1]
 
     def bytes(self) -> list[bytes]:
         flat = self.symbols.astype(np.uint8).tobytes()

@@ -107,7 +107,7 @@ class Tree:
         """Natural log probabilities, a column for each model."""
         index, logs = self.grams[-1]
         rows = index.find(suffix(keys, self.order))
-        out = logs[rows]
+        out = logs[rows] if len(logs) else np.zeros((len(keys), self.models), np.float32)
         todo = np.flatnonzero(rows < 0)
         out[todo] = 0
         for order in range(self.order, -1, -1):

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 TEXTS = [
@@ -26,3 +28,9 @@ def odd_docs(spark):
 @pytest.fixture(scope="session")
 def tables(spark, sf_dir):
     return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@pytest.fixture(scope="session")
+def larger(sf_dir):
+    """Tables with enough held-out labels to measure accuracy on."""
+    return "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else sf_dir

@@ -21,8 +21,9 @@ def _by_id(df):
 
 
 @pytest.mark.parametrize("name, column, mod, at, least", [("op1_quality", "quality", 5, 0, 0.9), ("op3_toxicity", "toxic", 4, 2, 0.9)])
-def test_scores_tell_held_out_labels(spark, sf_dir, tables, name, column, mod, at, least):
-    out = _by_id(queries.QUERIES[name](spark, sf_dir))
+def test_scores_tell_held_out_labels(spark, larger, name, column, mod, at, least):
+    tables = lambda t: spark.read.parquet(f"{larger}/{t}.parquet")
+    out = _by_id(queries.QUERIES[name](spark, larger))
     assert len(out) == tables("documents").count()
     assert all(r.held_out == _held(i, mod, at) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for i, r in out.items())
     labels = {r.doc_id: r[column] for r in tables("labels").collect() if r.doc_id in out and out[r.doc_id].held_out}
