@@ -42,7 +42,11 @@ def segregate(lines: DataFrame, path: str, run_date: dt.date | str | None = None
 
 
 def check_and_route(
-    lines: DataFrame, path: str, run_ts: dt.datetime | None = None, files: DataFrame | None = None
+    lines: DataFrame,
+    path: str,
+    run_ts: dt.datetime | None = None,
+    files: DataFrame | None = None,
+    rebalance: bool = True,
 ) -> DataFrame:
     """Count check of all extracts and types, then records stored by status.
 
@@ -50,9 +54,11 @@ def check_and_route(
     their declared total, so no split copy is written in between. `files` names
     all extracts that should be there (`readers.file_names`); one that gave no
     record, being empty or unreadable, is a failed check without a type.
+    `rebalance` shuffles the records by folder, so that there are as many files as
+    the data need and not one for each task, status and type.
     """
     checks = materialise(filecheck.check_lines(lines), "checks")
-    sinks.write_routed(filecheck.routed(extract.records(lines), checks), path, run_ts)
+    sinks.write_routed(filecheck.routed(extract.records(lines), checks), path, run_ts, rebalance)
     return filecheck.with_empty_files(checks, files) if files is not None else checks
 
 

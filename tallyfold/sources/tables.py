@@ -1,7 +1,9 @@
 """Stored histories on plain parquet folders.
 
 Append histories are partitioned by load date; an upsert rewrites only the load
-dates it touches. Slowly changing histories keep one folder per commit: it holds
+dates it touches: it writes them aside as one commit and then moves them into
+place, and whoever comes after a writer that was lost in between finishes the
+moves or reads the rows where they lie. Slowly changing histories keep one folder per commit: it holds
 all rows open after it and the rows it closed. Closed rows are thus written once
 and never again, and a commit is one Spark write that counts when its _SUCCESS
 marker is there.
@@ -10,6 +12,8 @@ marker is there.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,16 +57,57 @@ def read_dates(spark: SparkSession, path: str, dates: list[dt.date | None]) -> D
     return rows.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
 
 
+STAGED = "_staged"
+
+
+def _staged(spark: SparkSession, path: str) -> list[str]:
+    """Commits that are written but not all moved into place; torn ones do not count."""
+    fs, folder = _folder(spark, f"{path.rstrip('/')}/{STAGED}")
+    if not fs.exists(folder):
+        return []
+    found = [str(s.getPath().toString()) for s in fs.listStatus(folder)]
+    return [f for f in sorted(found) if _exists(spark, f"{f}/_SUCCESS")]
+
+
+def _days(spark: SparkSession, path: str) -> list[str]:
+    """Names of the load date folders in a folder."""
+    fs, folder = _folder(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(n for n in names if n.startswith(f"{H.LOADED}="))
+
+
+def _publish(spark: SparkSession, path: str) -> None:
+    """Move the load dates of written commits into place.
+
+    What a date held before is part of what replaces it, so losing the writer at
+    any point loses no row: the rest is moved by the next one.
+    """
+    for commit in _staged(spark, path):
+        for day in _days(spark, commit):
+            fs, old = _folder(spark, f"{path.rstrip('/')}/{day}")
+            fs.delete(old, True)
+            fs.rename(_folder(spark, f"{commit}/{day}")[1], old)
+        fs, folder = _folder(spark, commit)
+        fs.delete(folder, True)
+
+
 def read_append(spark: SparkSession, path: str, empty: T.StructType | None = None) -> DataFrame:
     """All stored rows, with every column that any batch had; null where a batch had none.
 
     Without stored rows the frame is empty and has the columns of `empty`, if given.
     """
-    if not has_rows(spark, path):
+    moving = {day: commit for commit in _staged(spark, path) for day in _days(spark, commit)}
+    in_place = [f"{path.rstrip('/')}/{day}" for day in _days(spark, path) if day not in moving]
+    parts = [(path, in_place)] if in_place and moving else [(path, [path])] if in_place else []
+    for commit in dict.fromkeys(moving.values()):
+        parts.append((commit, [f"{commit}/{day}" for day, of in moving.items() if of == commit]))
+    if not parts:
         if empty is None:
             raise ConfigError(f"no rows stored in {path}")
         return spark.createDataFrame([], empty)
-    rows = spark.read.option("mergeSchema", "true").parquet(path)
+    reader = spark.read.option("mergeSchema", "true")
+    frames = [reader.option("basePath", base).parquet(*folders) for base, folders in parts]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return rows.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
 
 
@@ -72,8 +117,9 @@ def upsert_append(
     """Upsert a batch within the load dates it carries. A batch without rows changes nothing.
 
     Those dates, a handful of folder names, are fetched first. Folders of other
-    dates are neither listed nor read, and the dynamic overwrite leaves them alone.
+    dates are neither listed nor read.
     """
+    _publish(spark, path)
     order = [cfg.batch_date, *cfg.tie_breakers]
     batch = batch.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
     dates = [r[0] for r in batch.select(H.LOADED).distinct().collect()]
@@ -84,12 +130,8 @@ def upsert_append(
     if len(dates) > 1:
         # or every task would write a file for every date; large dates are split again
         rows = rows.hint("rebalance", H.LOADED)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(H.LOADED)
-        .parquet(path)
-    )
+    rows.write.partitionBy(H.LOADED).parquet(f"{path.rstrip('/')}/{STAGED}/{uuid.uuid4().hex}")
+    _publish(spark, path)
 
 
 # ---- slowly changing histories -------------------------------------------------

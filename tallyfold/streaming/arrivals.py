@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyfold.config import HistoryConfig
 from tallyfold.functions import text as X
 from tallyfold.operators import extract, filecheck
-from tallyfold.sources import tables
+from tallyfold.sources import sinks, tables
 
 
 def line_stream(
@@ -62,7 +62,7 @@ def ingest(stream: DataFrame, out: str, checkpoint: str, every: str | None = Non
         checks.write.mode("overwrite").parquet(f"{out}/checks/batch={batch}")
         stored = lines.sparkSession.read.schema(checks.schema).parquet(f"{out}/checks/batch={batch}")
         recs = filecheck.routed(extract.records(lines), stored)
-        recs.write.mode("overwrite").partitionBy("status", "rec_type").parquet(f"{out}/records/batch={batch}")
+        sinks.write_routed(recs, f"{out}/records/batch={batch}", rebalance=True)
 
     return _start(stream, work, checkpoint, every)
 

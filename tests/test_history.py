@@ -222,3 +222,27 @@ def test_named_histories(spark, rows, folder):
     assert rows(catalog.read_table(spark, "tallyfold_test", "append_t"), "k", "v") == [(1, "a"), (1, "b")]
     with pytest.raises(C.ConfigError):
         jobs.load_history(spark, batch(spark, (1, "c", D3, "A")), cfg, folder + "/h", D3, "other")
+
+
+def test_a_lost_writer_loses_no_row(spark, rows, folder):
+    cfg = HistoryConfig("t", ("k",), "n")
+    load = lambda *cells: loaded(spark, *cells)
+    tables.upsert_append(spark, folder, load((1, "a", 1, D1), (2, "b", 1, D2)), cfg)
+    shown = lambda: rows(tables.read_append(spark, folder), "k", "v", H.LOADED)
+    before = shown()
+    # written aside without its marker: does not count
+    torn = load((9, "torn", 2, D1))
+    quiet = torn.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    quiet.partitionBy(H.LOADED).parquet(f"{folder}/{tables.STAGED}/torn")
+    assert shown() == before
+    # written, but only one of two dates was moved before the writer was lost
+    staged = load((1, "a2", 2, D1), (3, "c", 2, D3))
+    staged.write.partitionBy(H.LOADED).parquet(f"{folder}/{tables.STAGED}/x")
+    after = [r for r in before if r[0] != 1] + [(r.k, r.v, r[H.LOADED]) for r in staged.collect()]
+    assert shown() == sorted(after, key=repr)
+    fs, old = tables._folder(spark, f"{folder}/{H.LOADED}={D1}")
+    fs.delete(old, True)
+    assert shown() == sorted(after, key=repr)
+    tables.upsert_append(spark, folder, load((4, "d", 3, D3)), cfg)
+    assert [r[:2] for r in shown()] == [(1, "a2"), (2, "b"), (3, "c"), (4, "d")]
+    assert tables._staged(spark, folder) == []

@@ -78,6 +78,16 @@ def checksum_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_routed(spark, f"{path}/{sinks.hour_path(run_ts)}").drop("declared")
 
 
+def empty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check of a landing folder in which one extract came as a file without a byte."""
+    path = new_folder(spark, "landing_empty")
+    lines(spark, sf_dir).write.partitionBy("file").text(path)
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/file=extract_none")
+    name = F.substring_index(X.folder_name(F.col("file")), "=", -1)
+    files = readers.file_names(spark, path).select(name.alias("file"))
+    return batch.check_and_route(readers.read_lines(spark, path, folder="file"), new_folder(spark, "routed"), files=files)
+
+
 def hour_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts")
     path = new_folder(spark, "hours")
@@ -113,6 +123,7 @@ QUERIES = {
     "checksum_status": checksum_status,
     "checksum_split": checksum_split,
     "checksum_route": checksum_route,
+    "empty_files": empty_files,
     "hour_partition": hour_partition,
     "null_split": null_split,
 }
@@ -143,6 +154,10 @@ ORACLE = {
         + """SELECT file, max(rec_type) AS rec_type, CAST(arg_max(declared, rec_type) AS BIGINT) AS reference_count
              FROM declared GROUP BY file"""
     ),
+    "empty_files": with_lines(
+        """SELECT file, rec_type, actual, declared, status FROM checked
+           UNION ALL SELECT 'extract_none', NULL, 0, 0, 'fail'"""
+    ),
     "checksum_status": with_lines(
         "SELECT file, rec_type, actual, CAST(declared AS BIGINT) AS declared, status FROM checked"
     ),

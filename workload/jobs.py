@@ -15,7 +15,7 @@ from tallyfold.plans import batch
 from tallyfold.session import new_folder
 from tallyfold.sources import catalog, readers, sinks, tables
 from tallyfold.streaming import arrivals
-from workload.views import ROWS_PER_EXTRACT, landing, lines, table, with_lines
+from workload.views import KEYS_PER_STEP, landing, lines, table, with_lines
 
 RUN_DATE = "2024-09-02"
 
@@ -136,16 +136,18 @@ def arrival_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = spark.read.parquet(f"{out}/log")
     whole = F.concat("key", F.lit(" uploaded in "), "bucket", F.lit(" at "), "at")
     file = F.substring_index(F.substring_index("key", "/", 1), "=", -1)
-    return log.groupBy(file.alias("file")).agg(F.bool_and(F.col("message") == whole).alias("complete"))
+    named = F.col("key").rlike("^file=extract_[0-9]+/part-[^/]+$") & (F.col("bucket") == X.base_name(F.lit(path)))
+    return log.groupBy(file.alias("file")).agg(
+        F.bool_and(F.col("message") == whole).alias("complete"), F.bool_and(named).alias("named")
+    )
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events arriving in several files; the newest one per user and day is kept."""
     root = new_folder(spark, "stream_upsert")
     events = table(spark, sf_dir, "events").withColumn("dt", F.col("ts").cast("date"))
-    pieces = max(6, events.count() // ROWS_PER_EXTRACT)
-    events.repartition(pieces).write.parquet(f"{root}/arrivals")
-    stream = arrivals.parquet_stream(spark, f"{root}/arrivals", events.schema, max(2, pieces // 4))
+    events.repartition(6).write.option("maxRecordsPerFile", KEYS_PER_STEP).parquet(f"{root}/arrivals")
+    stream = arrivals.parquet_stream(spark, f"{root}/arrivals", events.schema, 2)
     cfg = C.HistoryConfig("events", ("user_id",), "ts", tie_breakers=("event_id",))
     _finish(arrivals.upsert_arrivals(stream, f"{root}/table", cfg, f"{root}/checkpoint"))
     return tables.read_append(spark, f"{root}/table").select("dt", "user_id", "event_id", "event_type", "value")
@@ -228,7 +230,7 @@ ORACLE = {
     "stream_ingest": with_lines(
         "SELECT r.file, r.rec_type, r.line, c.status FROM recs r JOIN checked c USING (file, rec_type)"
     ),
-    "arrival_log": with_lines("SELECT DISTINCT file, true AS complete FROM recs"),
+    "arrival_log": with_lines("SELECT DISTINCT file, true AS complete, true AS named FROM recs"),
     "whole_batch": with_lines(
         """, good AS (SELECT r.*, c.status FROM recs r JOIN checked c USING (file, rec_type)),
         passed AS (

@@ -17,29 +17,21 @@ from pyspark.sql import functions as F
 from tallyfold.session import new_folder
 from tallyfold.sources.readers import read_lines
 
-ROWS_PER_EXTRACT = 1_000_000
-MIN_EXTRACTS = 4
+KEYS_PER_STEP = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def n_extracts(spark: SparkSession, sf_dir: str) -> int:
-    """Parquet footers answer these counts."""
-    rows = sum(table(spark, sf_dir, t).count() for t in ("customer", "orders", "lineitem"))
-    return max(MIN_EXTRACTS, rows // ROWS_PER_EXTRACT)
-
-
-def data_lines(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+def data_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(extract, rec_type, value) of the data lines."""
 
     def typed(name: str, rec_type: str, deal, *fields: str) -> DataFrame:
         text = lambda f: F.date_format(f, "yyyyMMdd") if f.endswith("date") else F.col(f).cast("string")
         line = F.concat_ws("|", F.lit(rec_type), *[text(f) for f in fields])
         return table(spark, sf_dir, name).select(
-            F.pmod(deal, F.lit(n)).cast("int").alias("extract"),
+            (4 * F.floor(deal / KEYS_PER_STEP) + deal % 4).cast("int").alias("extract"),
             F.lit(rec_type).alias("rec_type"),
             line.alias("value"),
         )
@@ -61,8 +53,7 @@ def data_lines(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
 
 def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(extract, value) with header, short lines and footer."""
-    n = n_extracts(spark, sf_dir)
-    data = data_lines(spark, sf_dir, n)
+    data = data_lines(spark, sf_dir)
     count = lambda t: F.count_if(F.col("rec_type") == t)
     kind = F.col("extract") % 4
     totals = data.groupBy("extract").agg(count("9000").alias("a"), count("9005").alias("b"), count("9006").alias("c"))
@@ -115,19 +106,15 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The same inputs in SQL.
 LINES_SQL = """
-nx AS (
-  SELECT greatest(4, ((SELECT count(*) FROM customer) + (SELECT count(*) FROM orders)
-                      + (SELECT count(*) FROM lineitem)) // 1000000) AS n
-),
 data AS (
-  SELECT c_custkey % n AS extract, '9000' AS rec_type, CAST(c_custkey AS VARCHAR) AS k,
-         concat_ws('|', '9000', c_custkey, c_name, c_mktsegment) AS line FROM customer, nx
+  SELECT 4 * (c_custkey // 1000000) + c_custkey % 4 AS extract, '9000' AS rec_type, CAST(c_custkey AS VARCHAR) AS k,
+         concat_ws('|', '9000', c_custkey, c_name, c_mktsegment) AS line FROM customer
   UNION ALL
-  SELECT o_orderkey % n, '9005', CAST(o_orderkey AS VARCHAR),
-         concat_ws('|', '9005', o_orderkey, o_custkey, o_orderpriority, strftime(o_orderdate, '%Y%m%d')) FROM orders, nx
+  SELECT 4 * (o_orderkey // 1000000) + o_orderkey % 4, '9005', CAST(o_orderkey AS VARCHAR),
+         concat_ws('|', '9005', o_orderkey, o_custkey, o_orderpriority, strftime(o_orderdate, '%Y%m%d')) FROM orders
   UNION ALL
-  SELECT (l_orderkey + l_linenumber) % n, '9006', CAST(l_orderkey AS VARCHAR),
-         concat_ws('|', '9006', l_orderkey, l_linenumber, l_returnflag) FROM lineitem, nx
+  SELECT 4 * ((l_orderkey + l_linenumber) // 1000000) + (l_orderkey + l_linenumber) % 4, '9006',
+         CAST(l_orderkey AS VARCHAR), concat_ws('|', '9006', l_orderkey, l_linenumber, l_returnflag) FROM lineitem
 ),
 recs AS (SELECT 'extract_' || extract AS file, extract, rec_type, k, line FROM data),
 counts AS (SELECT file, extract, rec_type, count(*) AS n FROM recs GROUP BY ALL),
