@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.session import materialise
+from tallyfold.session import discard, materialise
 
 
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,7 +18,7 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     both = links.select(F.col(a).alias("node"), F.col(b).alias("other"))
     both = materialise(both.union(both.select("other", "node")).where("node != other").distinct(), "links")
     labels = both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root"))
-    labels = materialise(labels, "labels")
+    labels = old = materialise(labels, "labels")
     while True:
         reached = both.join(labels.select(F.col("node").alias("other"), F.col("root").alias("near")), "other")
         reached = reached.groupBy("node").agg(F.min("near").alias("near"))
@@ -27,6 +27,8 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         step = step.join(far, "label", "left")
         step = step.select("node", F.least("label", F.coalesce("far", "label")).alias("root"), F.col("root").alias("was"))
         step = materialise(step, "labels")
-        labels = step.select("node", "root")
+        discard(old)
+        labels, old = step.select("node", "root"), step
         if step.where("root != was").isEmpty():
+            discard(both)
             return labels

@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.inputs import sent
 from tallyfold.session import materialise
 
 #: 1 for positions that are hashed, 0 for ignored ones; all of one length.
@@ -114,7 +115,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without an overlap; rows are told apart by key and text."""
     slim = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
-    found = overlaps(slim, benchmark, "_text").select("_key", "_hash").distinct()
+    found = materialise(overlaps(slim, benchmark, "_text").select("_key", "_hash").distinct(), "leaks")
+    found = sent(found)
     same = docs[key].eqNullSafe(found["_key"]) & (F.xxhash64(docs[text]) == found["_hash"])
     return docs.join(found, same, "left_anti")
 

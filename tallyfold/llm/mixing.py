@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm import texts
-from tallyfold.session import materialise
+from tallyfold.llm.inputs import sent
+from tallyfold.session import discard, materialise
 
 #: Documents of a source that are rounded together, about.
 GROUP = 512
@@ -76,7 +77,7 @@ def tilts(histogram: DataFrame, goals: DataFrame, most: int, tolerance: float =
         F.lit(float("-inf")).alias("low"),
         F.lit(float("inf")).alias("high"),
     )
-    state = materialise(state, "mix-duals")
+    state = stored = materialise(state, "mix-duals")
     histogram = histogram.where("size > 0").withColumnRenamed("source", "_source")
     for _ in range(steps):
         rows = histogram.join(state, histogram["_source"].eqNullSafe(state["source"]))
@@ -106,7 +107,8 @@ def tilts(histogram: DataFrame, goals: DataFrame, most: int, tolerance: float =
             "source", "target", "mean", step.alias("tilt"), F.col("above").alias("low"), F.col("below").alias("high"), "off"
         )
         kept = materialise(kept, "mix-duals")
-        state = kept.drop("off")
+        discard(stored)
+        state, stored = kept.drop("off"), kept
         if kept.where(F.col("off") > tolerance).isEmpty():
             break
     return state.select("source", "tilt")
@@ -194,6 +196,6 @@ def mixed(df: DataFrame, text: str = "text", source: str = "source", copy: str =
     placed = materialise(df.withColumn(place, F.monotonically_increasing_id()), "mix-input")
     plan = mix(placed.select(place, F.col(source).alias("source"), F.col(text).alias("text")), **settings)
     plan = plan.where("copies > 0").select(place, F.col("copies").cast("int").alias("_copies"))
-    rows = placed.join(plan, place).drop(place)
+    rows = placed.join(sent(materialise(plan, "mix-plan")), place).drop(place)
     kept = [c for c in df.columns if c != copy]
     return rows.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias(copy))

@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import texts
 from tallyfold.llm.components import connected
-from tallyfold.session import materialise
+from tallyfold.llm.inputs import sent
+from tallyfold.session import discard, materialise
 
 #: Classes in a block of a tile.
 BLOCK = 128
@@ -142,8 +143,9 @@ def candidates(classes: DataFrame) -> DataFrame:
     found = found.agg(F.min("head").alias("least"), F.collect_set("head").alias("heads"))
     found = materialise(found, "ngram-heads")
     others = found.select(F.explode("heads").alias("a"), F.col("least").alias("b")).distinct()
-    found = connected(found.select(F.col("class").alias("a"), F.col("least").alias("b")).union(others))
-    return found.select(F.col("node").alias("class"), "root")
+    roots = connected(found.select(F.col("class").alias("a"), F.col("least").alias("b")).union(others))
+    discard(found)
+    return roots.select(F.col("node").alias("class"), "root")
 
 
 def _filter(ids: DataFrame) -> np.ndarray:
@@ -216,11 +218,11 @@ def verified(df: DataFrame, text: str, key: str, found: DataFrame, reps: DataFra
     members = found.join(sizes, "root").select("class", "root", parts.alias("parts"))
     members = members.withColumn("block", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     wanted = materialise(members.join(reps.select("class", "id"), "class"), "ngram-members")
-    sent = df.sparkSession.sparkContext.broadcast(_filter(wanted.select("id")))
+    wanted_bits = df.sparkSession.sparkContext.broadcast(_filter(wanted.select("id")))
     slim = df.select(F.col(text).alias("text"), F.xxhash64(F.col(key).alias("id")).alias("hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
+        bits = wanted_bits.value
         size = len(bits) * 8
         for batch in batches:
             at = batch.column(1).to_numpy() % size
@@ -251,13 +253,15 @@ def verified(df: DataFrame, text: str, key: str, found: DataFrame, reps: DataFra
         return out[out["links"] > 0]
 
     schema = "class binary, other binary, links long"
-    return materialise(pairs.groupBy("root", "low", "high").applyInPandas(compare, schema), "ngram-links")
+    links = materialise(pairs.groupBy("root", "low", "high").applyInPandas(compare, schema), "ngram-links")
+    discard(wanted)
+    return links
 
 
 def groups(
     df: DataFrame, text: str, key: str, n: int, threshold: str, recall: float, hashes: int
 ) -> tuple[DataFrame, DataFrame]:
-    """The stored rows (row, id, class, bands) and (class, root, links) of every linked class."""
+    """The stored rows (row, id, class) and the stored (class, root, links) of every linked class."""
     limit = Fraction(threshold)
     bands, rows = bands_for(float(limit), recall, hashes)
     stored = described(df, text, key, n, bands, rows)
@@ -268,7 +272,10 @@ def groups(
     links = verified(df, text, key, found, reps, n, limit)
     roots = connected(links.select(F.col("class").alias("a"), F.col("other").alias("b")))
     counts = links.groupBy("class").agg(F.sum("links").alias("links"))
-    return stored, counts.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+    linked = materialise(counts.join(roots.select(F.col("node").alias("class"), "root"), "class", "left"), "ngram-roots")
+    slim = materialise(stored.drop("bands"), "ngram-rows")
+    discard(stored, reps, links)
+    return slim, linked
 
 
 def join(
@@ -325,4 +332,6 @@ def keep_one(
     rooted = materialise(rooted.select("id", F.coalesce("root", "class").alias("root")), "ngram-groups")
     first = rooted.groupBy("root").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     dropped = rooted.join(first, "root").where("id != first").select(F.col(f"id.{place}").alias(place))
-    return placed.join(dropped, place, "left_anti").drop(place)
+    dropped = materialise(dropped, "ngram-dropped")
+    discard(stored, linked, rooted)
+    return placed.join(sent(dropped), place, "left_anti").drop(place)

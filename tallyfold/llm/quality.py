@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm import texts
-from tallyfold.session import materialise
+from tallyfold.session import discard, materialise
 
 #: Upper ends of the bins of each structure statistic; the last bin is open.
 BINS = {
@@ -274,6 +274,7 @@ def train(
         mean = (mean / sum(p["rows"] for p in parts)).astype(np.float32)
         size = len(machine.weight)
         machine = Machine(bits, float(mean[-1]), mean[:size], mean[size:-1].reshape(size, rank))
+    discard(data)
     return machine
 
 
