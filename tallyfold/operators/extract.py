@@ -64,15 +64,32 @@ def footer_totals(lines: DataFrame) -> DataFrame:
     return pairs.groupBy("file", "rec_type").agg(F.max_by("declared", "position").alias("declared"))
 
 
-def with_declared(recs: DataFrame, totals: DataFrame) -> DataFrame:
-    """Attach the declared total; 0 where the footer does not name the type."""
+def flagged_files(lines: DataFrame) -> DataFrame:
+    """(file) of files that have a malformed footer pair, or footers that differ."""
+    footers = tagged(lines).where(F.col("rec_type") == X.FOOTER)
+    bad = F.exists(X.footer_pairs(F.col("line")), lambda p: p["bad"] == 1).cast("int")
+    found = footers.select("file", F.xxhash64("line").alias("id"), bad.alias("bad")).groupBy("file")
+    found = found.agg(F.max("bad").alias("bad"), F.min("id").alias("first"), F.max("id").alias("last"))
+    return found.where((F.col("bad") == 1) | (F.col("first") != F.col("last"))).select("file")
+
+
+def with_declared(recs: DataFrame, totals: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
+    """Attach the declared total; 0 where the footer does not name the type.
+
+    Files in `flagged` have no total that counts; theirs are null, and fail.
+    """
     joined = lookup(recs, totals, ["file", "rec_type"], "declared")
-    return joined.withColumn("declared", F.coalesce("declared", F.lit(0).cast("bigint")))
+    joined = joined.withColumn("declared", F.coalesce("declared", F.lit(0).cast("bigint")))
+    if flagged is None:
+        return joined
+    joined = lookup(joined, flagged.withColumn("__flagged", F.lit(True)), ["file"], "flagged")
+    return joined.withColumn("declared", F.when(F.col("__flagged").isNull(), F.col("declared"))).drop("__flagged")
 
 
 def split_lines(recs: DataFrame) -> DataFrame:
-    """Records as they appear in split files: the line and its declared total."""
-    return recs.withColumn("value", F.concat_ws(X.FIELD, "line", F.col("declared").cast("string")))
+    """Records as they appear in split files: the line and its declared total, empty if there is none that counts."""
+    total = F.coalesce(F.col("declared").cast("string"), F.lit(""))
+    return recs.withColumn("value", F.concat_ws(X.FIELD, "line", total))
 
 
 def reference_row(split: DataFrame) -> DataFrame:

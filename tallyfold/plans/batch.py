@@ -35,7 +35,7 @@ class TypeJob:
 
 def segregate(lines: DataFrame, path: str, run_date: dt.date | str | None = None, text: bool = False) -> DataFrame:
     """Split lines by record type and store them; returns what was stored."""
-    recs = extract.with_declared(extract.records(lines), extract.footer_totals(lines))
+    recs = extract.with_declared(extract.records(lines), extract.footer_totals(lines), extract.flagged_files(lines))
     write = sinks.write_split_text if text else sinks.write_split
     write(recs, path, run_date)
     return sinks.read_split(lines.sparkSession, path, text, dated=run_date is not None)

@@ -176,3 +176,12 @@ def test_empty_and_unreadable_files_fail(spark, rows, tmp_path):
         readers.read_lines(spark, str(tmp_path)).count()
     with pytest.raises(ValueError):
         readers.read_lines(spark, str(tmp_path), unreadable="fix")
+
+
+def test_split_route_agrees_with_the_file_check(spark, lines, rows):
+    """A malformed or contradicting footer fails all types of its file on either route."""
+    src = lines(good="9005|1\nT|9005~1", bad="9005|1\n9006|1\nT|9005~1|9006~x", two="9005|1\nT|9005~1\nT|9005~2")
+    recs = extract.with_declared(extract.records(src), extract.footer_totals(src), extract.flagged_files(src))
+    by_split = rows(filecheck.check_split(extract.split_lines(recs)), "file", "rec_type", "status")
+    assert by_split == rows(filecheck.check_lines(src), "file", "rec_type", "status")
+    assert [r[2] for r in by_split] == ["fail", "fail", "pass", "fail"]
