@@ -36,7 +36,7 @@ from tallyfold.llm import texts
 DECAY, SPAN = 0.7, 7
 SYMBOLS = 64
 START, END = 59, 60
-#: Longer units are cut: no insult is as long, and subsequences span SPAN symbols at most.
+#: Longer units are read as several that overlap by SPAN symbols, so that no subsequence is lost.
 LONGEST = 40
 
 #: The symbol of each byte, 0 for bytes that are skipped.
@@ -121,6 +121,10 @@ def units(block: texts.Block) -> tuple[Units, np.ndarray, np.ndarray]:
     place = np.cumsum(kept) - kept
     symbols = symbol[kept].astype(np.uint8)
     a, b = place[starts] if len(starts) else starts, solid[ends]
+    parts = 1 + np.maximum(0, -(-(b - a - LONGEST) // (LONGEST - SPAN)))
+    whole = np.repeat(np.arange(len(a)), parts)
+    part = np.arange(len(whole)) - np.repeat(np.cumsum(parts) - parts, parts)
+    a, b, piece = a[whole] + part * (LONGEST - SPAN), b[whole], piece[whole]
     b = np.minimum(b, a + LONGEST)
     keys = texts.hashes(symbols, a, b) if len(a) else np.zeros(0, np.uint64)
     _, first, of = np.unique(keys, return_index=True, return_inverse=True)

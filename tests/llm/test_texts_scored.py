@@ -95,6 +95,17 @@ def test_kernel_equals_enumeration():
     assert got == pytest.approx(np.array(want))
 
 
+def test_long_units_keep_all_their_subsequences():
+    import pyarrow as pa
+
+    word = "".join(chr(97 + i * 7 % 26) for i in range(150))
+    found, of, piece = toxicity.units(next(toxicity.texts.blocks(pa.array([word + " a"]))))
+    inside = [u.strip(bytes([toxicity.START, toxicity.END])) for u in (found.bytes()[i] for i in of[:-1])]
+    symbols = bytes(toxicity.SYMBOL[list(word.encode())].astype("uint8"))
+    assert all(len(u) <= toxicity.LONGEST for u in inside) and len(set(piece)) == 1
+    assert all(any(symbols[i : i + toxicity.SPAN] in u for u in inside) for i in range(len(symbols) - toxicity.SPAN + 1))
+
+
 def test_inserted_characters_weaken_but_do_not_hide_an_insult():
     units = lambda *t: toxicity.Units.of([bytes([toxicity.START, *toxicity.SYMBOL[list(x.encode())], toxicity.END]) for x in t])
     clean = ["house", "river", "garden", "window", "letter", "planet", "summer", "idea", "riot", "into"]
