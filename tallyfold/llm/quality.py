@@ -181,38 +181,38 @@ def features(df: DataFrame, text: str, n_chars: str, label: str, key: str, bits:
     return rows.mapInArrow(run, "key string, label int, slots array<int>, bins array<int>")
 
 
+def _terms(words: np.ndarray, bins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slots of a text, each once, the sum of the weights of its terms, and that of their squares."""
+    slot, n = np.unique(words, return_counts=True)
+    share, one = 1 / max(1, len(words)), np.ones(len(bins))
+    at = np.concatenate([slot, bins]).astype(np.int64)
+    return at, np.concatenate([n * share, one]), np.concatenate([n * share**2, one])
+
+
 def _epoch(machine: Machine, rows: pd.DataFrame, epochs: int, rate: float, seed: int) -> Machine:
     """AdaGrad over the rows of a task in mini-batches."""
     weight, factors, bias = machine.weight.astype(np.float64), machine.factors.astype(np.float64), machine.bias
     g_weight, g_factors, g_bias = np.full(len(weight), 1e-2), np.full(factors.shape, 1e-2), 1e-2
     labels = rows["label"].to_numpy(float)
+    terms = [_terms(words, bins) for words, bins in zip(rows["slots"], rows["bins"], strict=True)]
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for some in np.array_split(order, max(1, len(order) // 16)):
-            at, x, square, of = [], [], [], []
-            for i, r in enumerate(some):
-                words, bins = rows["slots"].iat[r], rows["bins"].iat[r]
-                slot, n = np.unique(words, return_counts=True)
-                share = 1 / max(1, len(words))
-                at += [slot, bins]
-                x += [n * share, np.ones(len(bins))]
-                square += [n * share**2, np.ones(len(bins))]
-                of.append(np.full(len(slot) + len(bins), i))
-            at, x, square, of = (np.concatenate(parts) for parts in (at, x, square, of))
-            at, n = at.astype(np.int64), len(some)
-            total = np.zeros((n, factors.shape[1]))
-            np.add.at(total, of, factors[at] * x[:, None])
+            at, x, square = (np.concatenate(parts) for parts in zip(*[terms[r] for r in some], strict=True))
+            n, size = len(some), np.array([len(terms[r][0]) for r in some])
+            of = np.repeat(np.arange(n), size)
+            total = np.add.reduceat(factors[at] * x[:, None], np.cumsum(size) - size, axis=0)
             margin = bias + np.bincount(of, weight[at] * x, n) + 0.5 * (total**2).sum(axis=1)
             margin -= 0.5 * np.bincount(of, (factors[at] ** 2).sum(axis=1) * square, n)
             error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - labels[some]) / n
             slope = error[of] * x
             d_factors = error[of][:, None] * (x[:, None] * total[of] - square[:, None] * factors[at])
-            used, back = np.unique(at, return_inverse=True)
-            d_weight, d_used = np.bincount(back, slope), np.zeros((len(used), factors.shape[1]))
-            np.add.at(d_used, back, d_factors)
-            d_weight += 1e-5 * weight[used]
-            d_used += 1e-5 * factors[used]
+            by_slot = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.diff(at[by_slot], prepend=-1))
+            used = at[by_slot[first]]
+            d_weight = np.add.reduceat(slope[by_slot], first) + 1e-5 * weight[used]
+            d_used = np.add.reduceat(d_factors[by_slot], first, axis=0) + 1e-5 * factors[used]
             g_weight[used] += d_weight**2
             g_factors[used] += d_used**2
             weight[used] -= rate * d_weight / np.sqrt(g_weight[used])
