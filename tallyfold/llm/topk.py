@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tallyfold.session import materialise
 
 PIVOTS = 32
-SAMPLE = 2048
+SAMPLE = 8192
 BLOCK = 2048
 CELL = 128
 
