@@ -226,7 +226,8 @@ def _sampled(df: DataFrame, text: str, label: str, key: str, toxic: int, clean:
     steps = 1 << 24
     share = {k: min(1.0, most / max(1, sizes.get(k, 0))) for k, most in ((0, clean), (1, toxic))}
     spot = F.pmod(F.xxhash64("key"), F.lit(steps))
-    picked = rows.where(spot < F.when(F.col("label") == 1, int(share[1] * steps)).otherwise(int(share[0] * steps)))
+    # the first condition is on the key alone, so that it goes below a join with the labels
+    picked = rows.where(spot < int(max(share.values()) * steps)).where(spot < F.when(F.col("label") == 1, int(share[1] * steps)).otherwise(int(share[0] * steps)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
