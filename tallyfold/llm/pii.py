@@ -165,19 +165,27 @@ _FOREIGN = re.compile(r"[^\x00-\x7f]")
 _BRACKET_AT = re.compile(r"(?i)\s*[\[({<]\s*(?:at|arroba)\s*[\])}>]\s*")
 _BRACKET_DOT = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|punto|point|punkt)\s*[\])}>]\s*")
 _NAME = r"[A-Za-z0-9-]+"
-_BARE_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9])\s+at\s+(?={_NAME}(?:\.{_NAME})*\s+dot\s+{_NAME})")
+_BARE_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9])\s+at\s+(?=({_NAME}(?:(?:\.|\s+dot\s+){_NAME})+))")
 _BARE_DOT = re.compile(r"(?i)(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])")
 _NUMBER = rf"(?:{'|'.join(SPELLED)}|[0-9]+)"
 _NUMBERS = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:plus\s+)?{_NUMBER}(?:(?:\s+|-|\.){_NUMBER})+(?![A-Za-z0-9])")
 _NUMBER_WORD = re.compile(r"(?i)[a-z]+|[0-9]+|\.")
 
 
+def _disguised(source: str, out: Rewritten, start: int, end: int) -> bool:
+    """Whether a dot of the domain out.text[start:end] stands there as a word or was something else in the source."""
+    if re.search(r"\s", out.text[start:end]):
+        return True
+    dots = (i for i in range(start, end) if out.text[i] == ".")
+    return any(source[out.starts[i] : out.ends[i]] != "." for i in dots)
+
+
 def rewritten(text: str) -> Rewritten:
     out = Rewritten(text)
     out.apply(_FOREIGN, _plain)
     out.apply(_BRACKET_AT, lambda m: "@")
     out.apply(_BRACKET_DOT, lambda m: ".")
-    out.apply(_BARE_AT, lambda m: "@")
+    out.apply(_BARE_AT, lambda m: "@" if _disguised(text, out, *m.span(1)) else None)
     out.apply(_BARE_DOT, lambda m: ".")
     out.spell(_NUMBERS, _NUMBER_WORD, lambda w: "+" if w.lower() == "plus" else SPELLED.get(w.lower(), w))
     return out
@@ -200,8 +208,13 @@ def spans_of(text: str) -> list[tuple[str, int, int, bool]]:
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
-_BRACKETS = np.zeros(256, bool)
-_BRACKETS[[ord(c) for c in "[({<"]] = True
+_OPENING, _CLOSING, _FIRST, _BLANK = (np.zeros(256, bool) for _ in range(4))
+_OPENING[[ord(c) for c in "[({<"]] = True
+_CLOSING[[ord(c) for c in "])}>"]] = True
+# first letters of the words for at and dot
+_FIRST[[ord(c) for c in "adp"]] = True
+# what \s takes in ASCII; other white space begins with a byte of _SIGN
+_BLANK[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[48:58] = _SIGN[64] = _SIGN[43] = True
 # first bytes, in UTF-8, of the characters that _plain rewrites; those of accented Latin letters are not among them
@@ -215,17 +228,29 @@ def _number_words() -> trees.Index:
     return trees.Index(texts.hashes(data, np.concatenate([[0], ends[:-1]]), ends))
 
 
+def _bracketed(low: np.ndarray) -> np.ndarray:
+    """Opening brackets before a short run of bytes, white space aside, that begins like a word for at or dot and is closed."""
+    solid = np.flatnonzero(~_BLANK[low])
+    # "at" takes two bytes, "arroba", and "point" with a dotless i, six
+    there = np.append(low[solid], np.zeros(8, np.uint8))
+    at = np.flatnonzero(_OPENING[there])
+    at = at[_FIRST[there[at + 1]]]
+    closed = np.zeros(len(at), bool)
+    for size in range(2, 7):
+        closed |= _CLOSING[there[at + 1 + size]]
+    return solid[at[closed]]
+
+
 def suspects(column: pa.Array) -> np.ndarray:
-    """Which rows could hold a span. False is certain."""
+    """Which rows could hold a span. False is certain. Texts that come in several pieces are suspects."""
     out = np.zeros(len(column), bool)
+    pieces = np.zeros(len(column), np.int64)
     numbers = _number_words()
     for block in texts.blocks(column):
         signs = np.flatnonzero(_SIGN[block.data])
         out[block.rows[np.searchsorted(block.offsets, signs, "right") - 1]] = True
         low = texts.LOWER[block.data]
-        # "at" behind an opening bracket, with a space between or not
-        at = np.flatnonzero((low[:-1] == 97) & (low[1:] == 116)) if len(low) > 1 else np.zeros(0, np.int64)
-        at = at[_BRACKETS[low[np.maximum(at - 1, 0)]] | _BRACKETS[low[np.maximum(at - 2, 0)]]]
+        pieces[block.rows] += 1
         found = texts.words(block, ~_LETTER)
         keys = texts.hashes(low, found.starts, found.ends)
         number = numbers.find(keys) >= 0
@@ -233,9 +258,9 @@ def suspects(column: pa.Array) -> np.ndarray:
         length = found.ends - found.starts
         dots = np.flatnonzero(length == 3)
         dots = dots[(low[found.starts[dots]] == 100) & (low[found.starts[dots] + 1] == 111) & (low[found.starts[dots] + 2] == 116)]
-        for positions in (at, found.starts[three], found.starts[dots]):
+        for positions in (_bracketed(low), found.starts[three], found.starts[dots]):
             out[block.rows[np.searchsorted(block.offsets, positions, "right") - 1]] = True
-    return out
+    return out | (pieces > 1)
 
 
 def find(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:

@@ -179,6 +179,29 @@ def test_disguises_map_back_to_the_source(text, kind, span):
     assert pii.suspects(pa.array([text, "nothing here at all"])).tolist() == [True, False]
 
 
+def test_every_disguised_address_is_suspected_and_found():
+    import pyarrow as pa
+
+    blanks = ("", " ", "  ", "\n", "\t \x1f")
+    around = [f"{a}{o}{b}%s{b}{c}{a}" for a in ("", " ") for b in blanks for o, c in ("[]", "()", "{}", "<>")]
+    ats = [" at ", "  AT\n", *(form % word for form in around for word in ("at", "At", "arroba"))]
+    dots = [" dot ", *(form % word for form in around for word in ("dot", "punto", "Point", "punkt"))]
+    some = [f"juan{at}ejemplo{dot}com" for at in ats for dot in dots]
+    some += [f"juan{at}ejemplo.com" for at in ats[2:]]
+    some += [f"one{dot}one{dot}one{dot}one" for dot in dots]
+    column = pa.array([f"mas en {text} hoy" for text in some])
+    assert pii.suspects(column).all()
+    for text in column.to_pylist():
+        kind, word = ("ip", "one") if "one" in text else ("email", "juan")
+        assert pii.rewritten(text).text != text
+        assert pii.spans_of(text) == [(kind, text.index(word), len(text) - 4, True)], text
+    plain = ["we met at example.com once", "seen (as above) at home (and away) [a, b]", "juan at ejemplo", "(about) [people]"]
+    assert not any(pii.spans_of(text) for text in plain)
+    assert not pii.suspects(pa.array(plain[::2])).any()
+    long = "word " * 419_430 + "juan (  at ) ejemplo.com"
+    assert len(long) > pii.texts.BLOCK and pii.suspects(pa.array([long])).all()
+
+
 def test_masking(odd_docs):
     out = pii.mask(odd_docs)
     assert out.schema == odd_docs.schema
