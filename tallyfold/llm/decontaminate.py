@@ -3,12 +3,12 @@
 A text is the list of its lower-cased runs of letters and digits. A seed looks
 at some positions of a window of tokens and ignores the others, so that windows
 that differ in ignored positions hash alike. The hashes of all windows of all
-documents are joined with those of the benchmark. Each hit proves the tokens at
-its seed's positions equal; the hits of a document and an item on one diagonal
-(the distance between their windows) are put together, and the overlap holds if
-so many proven tokens lie within `reach` tokens that they are `share` percent of
-those, or of the whole item if it is shorter. Substituted words in between are
-simply not proven.
+documents are joined with those of the benchmark. The hits of a document and an
+item on one diagonal (the distance between their windows) are put together, and
+the tokens of both from `reach` before the first hit to `reach` behind the last
+are compared one by one. The overlap holds if so many equal ones lie within
+`reach` tokens that they are `share` percent of those, or of the whole item if
+it is shorter. Substituted words in between do not count.
 
 Items shorter than the seeds have no window and match nothing.
 """
@@ -26,9 +26,11 @@ from tallyfold.session import materialise
 
 #: 1 for positions that are hashed, 0 for ignored ones; all of one length.
 SEEDS = ("1101100101", "1010011011")
+#: Looks at no offset of 2 mod 5, so it hits though every fifth token is substituted; the others look at all residues.
+FIFTH = "1101010011"
 REACH = 20
 SHARE = 60
-#: Windows of the benchmark that one broadcast holds, some 40 bytes each.
+#: Windows, or tokens, of the benchmark that one broadcast holds, some 40 bytes each.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -59,6 +61,14 @@ def _windows(rows: DataFrame, seeds: Sequence[str]) -> DataFrame:
     return rows.select(*kept, F.inline_outer("_windows"))
 
 
+def _parts(stored: DataFrame, by: str, n: int) -> list[DataFrame]:
+    """The table in parts by the hash of a column, each small enough to send if the table has n windows or tokens."""
+    parts = max(1, -(-n // BROADCAST_ROWS))
+    if parts == 1:
+        return [stored]
+    return [stored.where(F.pmod(F.xxhash64(by), F.lit(parts)) == part) for part in range(parts)]
+
+
 def _hashed(text: Column) -> Column:
     return F.transform(tokens(text), lambda x: F.xxhash64(x))
 
@@ -69,44 +79,53 @@ def overlaps(
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
-    seeds: Sequence[str] = SEEDS,
+    seeds: Sequence[str] = (*SEEDS, FIFTH),
     reach: int = REACH,
     share: int = SHARE,
 ) -> DataFrame:
     """The columns of docs but the text, with _item, _shift and _matched, for each overlap that holds.
 
-    _shift is the diagonal, _matched the number of proven tokens on it. Equal
-    rows of docs are one row here. The benchmark goes out in broadcasts of
+    _shift is the diagonal, _matched the number of equal tokens compared on it.
+    Equal rows of docs are one row here. The benchmark goes out in broadcasts of
     bounded size, over each of which the documents are read. Null texts have no
     tokens; a null item id is an id.
     """
+    span = len(seeds[0])
     items = benchmark.select(F.col(item).alias("_item"), _hashed(F.col(item_text)).alias("h"))
-    items = items.withColumn("_size", F.size("h"))
-    items = _windows(items, seeds).select("hash", "_item", "_size", F.col("at").alias("_at"))
+    items = items.withColumn("_size", F.size("h")).withColumn("_words", F.xxhash64("h"))
+    whole = items.where(F.col("_size") >= span).select("_words", "_size", F.col("h").alias("_tokens"))
+    whole = materialise(whole.dropDuplicates(["_words"]), "benchmark-tokens")
+    items = _windows(items, seeds).select("hash", "_item", "_size", "_words", F.col("at").alias("_at"))
     items = materialise(items.where(F.col("hash").isNotNull()), "benchmark-seeds")
-    parts = max(1, -(-items.count() // BROADCAST_ROWS))
     kept = [c for c in docs.columns if c != text]
-    rows = _windows(docs.select(*kept, _hashed(F.col(text)).alias("h")), seeds)
-    hits = []
-    for part in range(parts):
-        mine = items.where(F.pmod(F.xxhash64("hash"), F.lit(parts)) == part) if parts > 1 else items
-        hits.append(rows.join(F.broadcast(mine), "hash"))
+    docs = docs.withColumn("_doc", F.xxhash64(*kept, text))
+    rows = _windows(docs.select("_doc", _hashed(F.col(text)).alias("h")), seeds)
+    hits = [rows.join(F.broadcast(mine), "hash") for mine in _parts(items, "hash", items.count())]
     found = reduce(DataFrame.unionAll, hits)
-    found = found.groupBy(*kept, "_item", "_size", (F.col("at") - F.col("_at")).alias("_shift"))
-    found = found.agg(F.collect_set(F.struct("_at", "seed")).alias("_hits"))
-
-    used = F.array(*[F.array(*[F.lit(i) for i, x in enumerate(seed) if x == "1"]) for seed in seeds])
-    proven = F.transform("_hits", lambda h: F.transform(F.get(used, h["seed"]), lambda i: h["_at"] + i))
-    found = found.withColumn("_proven", F.array_sort(F.array_distinct(F.flatten(proven))))
+    found = found.groupBy("_doc", "_item", "_size", "_words", (F.col("at") - F.col("_at")).alias("_shift"))
+    found = found.agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    found = materialise(found, "benchmark-hits")
+
+    # the texts that were hit are split into tokens a second time, each once
+    hit = docs.join(sent(materialise(found.select("_doc").distinct(), "benchmark-docs")), "_doc", "left_semi")
+    hit = hit.select("_doc", *kept, _hashed(F.col(text)).alias("h")).join(sent(found), "_doc")
+    n_tokens = whole.agg(F.sum("_size")).first()[0] or 0
+    whole = whole.drop("_size")
+    compared = [hit.join(F.broadcast(mine), "_words") for mine in _parts(whole, "_words", n_tokens)]
+    shift = F.col("_shift")
+    start = F.greatest(F.lit(0), -shift, F.col("_first") - reach)
+    end = F.least(F.col("_size"), F.size("h") - shift, F.col("_last") + span + reach)
+    equal = F.filter(F.sequence(start, end - 1), lambda i: F.get("_tokens", i) == F.get("h", i + shift))
+    found = reduce(DataFrame.unionAll, compared).select(*kept, "_item", "_size", "_shift", equal.alias("_equal"))
     need = F.ceil(F.least(F.col("_size"), F.lit(reach)) * share / 100).cast("int")
-    starts = F.sequence(F.lit(0), F.size("_proven") - need)
-    close = F.exists(starts, lambda k: F.get("_proven", k + need - 1) - F.get("_proven", k) < reach)
-    found = found.where((F.size("_proven") >= need) & close)
-    return found.select(*kept, "_item", "_shift", F.size("_proven").alias("_matched"))
+    starts = F.sequence(F.lit(0), F.size("_equal") - need)
+    close = F.exists(starts, lambda k: F.get("_equal", k + need - 1) - F.get("_equal", k) < reach)
+    found = found.where((F.size("_equal") >= need) & close)
+    return found.select(*kept, "_item", "_shift", F.size("_equal").alias("_matched")).distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, item_id, n_overlaps, matched): documents and the items they hold, diagonals and most tokens proven on one."""
+    """(key, item_id, n_overlaps, matched): documents and the items they hold, diagonals and most equal tokens on one."""
     rows = docs.select(key, F.xxhash64(text).alias("_hash"), text)
     found = overlaps(rows, benchmark, text).groupBy(key, F.col("_item").alias("item_id"))
     return found.agg(F.count("*").alias("n_overlaps"), F.max("_matched").alias("matched"))
@@ -122,7 +141,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
 
 def sql(seeds: Sequence[str] = SEEDS, reach: int = REACH, share: int = SHARE) -> str:
-    """The rows of `leaks` over documents and benchmark, for DuckDB."""
+    """For DuckDB, the rows of `leaks` over documents and benchmark if the seeds prove all tokens equal that are."""
     span = len(seeds[0])
     words = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 

@@ -1,6 +1,7 @@
 """Near duplicates, decontamination and top-k search against brute force."""
 
 import itertools
+import random
 
 import numpy as np
 import pytest
@@ -112,6 +113,34 @@ def test_substituted_words_are_tolerated(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_every_token_around_a_hit_is_compared(spark):
+    rng = random.Random(6)
+    items, texts, want = {}, [], set()
+    seeds = [[i for i, x in enumerate(seed) if x == "1"] for seed in (*decontaminate.SEEDS, decontaminate.FIFTH)]
+    for n in range(120):
+        size = rng.choice((15, 20, 25, 30))
+        other = set(range(n % 5, size, 5)) if n < 20 else set(rng.sample(range(size), rng.randint(2, size // 2)))
+        items[n] = [f"w{n}x{i}" for i in range(size)]
+        passage = [f"other{n}y{i}" if i in other else x for i, x in enumerate(items[n])]
+        texts.append((n, " ".join(["before"] * (n % 7) + passage + ["behind"] * (n % 3))))
+        hit = any(all(at + i not in other for i in seed) for seed in seeds for at in range(size - 9))
+        need = -(-min(size, 20) * 60 // 100)
+        if hit and any(sum(i not in other for i in range(at, min(at + 20, size))) >= need for at in range(max(1, size - 19))):
+            want.add((n, n, 1, size - len(other)))
+    assert {(n, n, 1) for n in range(20)} <= {w[:3] for w in want} and len(want) < 110
+    docs = spark.createDataFrame(texts * 2, "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in items.items()], "item_id long, text string")
+    assert {tuple(r) for r in decontaminate.leaks(docs, bench).collect()} == want
+    assert {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()} == set(items) - {w[0] for w in want}
+
+
+def test_a_benchmark_in_parts_finds_the_same(spark, sf_dir, tables, monkeypatch):
+    whole = decontaminate.leaks(tables("documents"), tables("benchmark")).collect()
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 2000)
+    parts = decontaminate.leaks(tables("documents"), tables("benchmark")).collect()
+    assert sorted(whole) == sorted(parts) and whole
+
+
 def test_decontamination_of_odd_rows(odd_docs):
     bench = odd_docs.where("doc_id = 7").selectExpr("n as item_id", "text")
     left = decontaminate.drop_leaks(odd_docs, bench)
