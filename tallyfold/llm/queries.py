@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import decontaminate, language, mixing, ngram_join, pii, pitman_yor, quality, texts, topk, toxicity, urls
+from tallyfold.llm import decontaminate, language, middle, mixing, ngram_join, pii, pitman_yor, quality, texts, topk, toxicity, urls
 from tallyfold.llm.inputs import table
 
 
@@ -98,6 +98,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
+def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in its fill-in-the-middle form, and digests of the output and of the text rebuilt from it."""
+    made = middle.restore(middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -109,5 +116,6 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_topk": op9_topk,
     "op10_language": op10_language,
+    "op11_middle": op11_middle,
 }
-ORACLE = {"op6_decontaminate": decontaminate.sql()}
+ORACLE = {"op6_decontaminate": decontaminate.sql(), "op11_middle": middle.sql()}
