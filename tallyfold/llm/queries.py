@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import decontaminate, language, middle, mixing, ngram_join, pii, pitman_yor, quality, texts, topk, toxicity, urls
+from tallyfold.llm import (
+    decontaminate,
+    language,
+    lexical,
+    middle,
+    mixing,
+    ngram_join,
+    pii,
+    pitman_yor,
+    quality,
+    texts,
+    topk,
+    toxicity,
+    urls,
+)
 from tallyfold.llm.inputs import table
 
 
@@ -105,6 +119,11 @@ def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for the terms of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -117,5 +136,6 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_language": op10_language,
     "op11_middle": op11_middle,
+    "op12_lexical": op12_lexical,
 }
-ORACLE = {"op6_decontaminate": decontaminate.sql(), "op11_middle": middle.sql()}
+ORACLE = {"op6_decontaminate": decontaminate.sql(), "op11_middle": middle.sql(), "op12_lexical": lexical.sql()}
