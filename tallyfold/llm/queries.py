@@ -15,6 +15,7 @@ from tallyfold.llm import (
     pii,
     pitman_yor,
     quality,
+    substrings,
     texts,
     topk,
     toxicity,
@@ -124,6 +125,12 @@ def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when sequences of 13 words that an earlier one holds are removed."""
+    out = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -137,5 +144,11 @@ QUERIES = {
     "op10_language": op10_language,
     "op11_middle": op11_middle,
     "op12_lexical": op12_lexical,
+    "op13_substrings": op13_substrings,
+}
+ORACLE = {
+    "op6_decontaminate": decontaminate.sql(),
+    "op11_middle": middle.sql(),
+    "op12_lexical": lexical.sql(),
+    "op13_substrings": substrings.sql(),
 }
-ORACLE = {"op6_decontaminate": decontaminate.sql(), "op11_middle": middle.sql(), "op12_lexical": lexical.sql()}
