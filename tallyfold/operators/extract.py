@@ -6,6 +6,8 @@ extract the line belongs to.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from tallyfold.functions import text as X
 from tallyfold.operators.joins import lookup
 
 
-def tagged(lines: DataFrame, keep_short: bool = False) -> DataFrame:
-    """(file, rec_type, line) of every usable line, control lines included.
+def tagged(lines: DataFrame, keep_short: bool = False, kept: Sequence[str] = ()) -> DataFrame:
+    """(file, rec_type, line) of every usable line, control lines included, and the columns to keep.
 
     A line needs two fields; `keep_short` keeps the others too, an empty line
     then has the empty type.
@@ -22,11 +24,11 @@ def tagged(lines: DataFrame, keep_short: bool = False) -> DataFrame:
     value = F.col("value")
     line = X.strip(value)
     if keep_short:
-        return lines.select("file", X.record_type(line).alias("rec_type"), line.alias("line"))
+        return lines.select("file", *kept, X.record_type(line).alias("rec_type"), line.alias("line"))
     # With a separator in the line its end does not matter for the type, and filters
     # on the type then cost no full strip.
     return lines.where(F.contains(value, F.lit(X.FIELD))).select(
-        "file", X.record_type(X.strip_left(value)).alias("rec_type"), line.alias("line")
+        "file", *kept, X.record_type(X.strip_left(value)).alias("rec_type"), line.alias("line")
     )
 
 

@@ -17,15 +17,14 @@ def _status(ok: Column) -> Column:
     return F.when(F.coalesce(ok, F.lit(False)), PASS).otherwise(FAIL)
 
 
-def check_lines(lines: DataFrame, include_absent: bool = False) -> DataFrame:
-    """(file, rec_type, actual, declared, status) straight from landing lines.
+def entries(lines: DataFrame, *kept: str, silent: bool = False) -> DataFrame:
+    """(file, rec_type, is_row, declared, position, bad, footer_id) of tagged lines, and the columns to keep.
 
-    One scan of the text. A data line counts 1 for its type; a footer line
-    unfolds into one entry per pair, plus one for the footer as a whole, so rows
-    and totals meet in the same aggregate. It holds numbers only, runs as a hash
-    aggregate and combines before the shuffle. A file fails as a whole when a pair
-    is malformed or when it has footers that differ.
+    A data line counts 1 for its type; a footer line unfolds into one entry per
+    pair, plus one without a type for the footer as a whole. Header lines give
+    none; with `silent` they, and lines without a type, give one that counts nothing.
     """
+    lines = lines.withColumn("rec_type", F.nullif("rec_type", F.lit(X.HEADER))) if silent else lines.where(F.col("rec_type") != X.HEADER)
     line = F.col("line")
     whole = F.struct(
         F.lit(None).cast("string").alias("rec_type"),
@@ -34,25 +33,36 @@ def check_lines(lines: DataFrame, include_absent: bool = False) -> DataFrame:
         F.lit(0).alias("bad"),
     )
     footer = F.col("rec_type") == X.FOOTER
-    unfolded = (
-        tagged(lines)
-        .where(F.col("rec_type") != X.HEADER)
-        .select(
+    return (
+        lines.select(
             "file",
+            *kept,
             F.col("rec_type").alias("line_type"),
             F.when(footer, F.xxhash64(line)).alias("footer_id"),
             F.explode_outer(F.when(footer, F.concat(X.footer_pairs(line), F.array(whole)))).alias("pair"),
         )
         .select(
             "file",
+            *kept,
             F.when(F.col("footer_id").isNull(), F.col("line_type")).otherwise(F.col("pair.rec_type")).alias("rec_type"),
-            F.col("footer_id").isNull().cast("bigint").alias("is_row"),
+            (F.col("footer_id").isNull() & F.col("line_type").isNotNull()).cast("bigint").alias("is_row"),
             F.col("pair.declared").alias("declared"),
             F.col("pair.position").alias("position"),
             F.col("pair.bad").alias("bad"),
             F.when(F.col("pair.position") == -1, F.col("footer_id")).alias("footer_id"),
         )
     )
+
+
+def check_lines(lines: DataFrame, include_absent: bool = False) -> DataFrame:
+    """(file, rec_type, actual, declared, status) straight from landing lines.
+
+    One scan of the text. Data lines and footer pairs are entries of the same
+    aggregate. It holds numbers only, runs as a hash aggregate and combines before
+    the shuffle. A file fails as a whole when a pair is malformed or when it has
+    footers that differ.
+    """
+    unfolded = entries(tagged(lines))
     tallies = materialise(
         unfolded.groupBy("file", "rec_type").agg(
             F.sum("is_row").alias("actual"),

@@ -63,6 +63,11 @@ def file_names(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(names, "file string")
 
 
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file) of files below a folder that have no byte: all that are listed but not read."""
+    return file_names(spark, path).join(landing_files(spark, path).select("file"), "file", "left_anti")
+
+
 def read_lines(
     spark: SparkSession, path: str, folder: str | None = None, missing: str = "skip", unreadable: str = "raise"
 ) -> DataFrame:

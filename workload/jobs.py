@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,8 @@ from tallyfold.operators import history as H
 from tallyfold.plans import batch
 from tallyfold.session import new_folder
 from tallyfold.sources import catalog, readers, sinks, tables
-from tallyfold.streaming import arrivals
-from workload.views import KEYS_PER_STEP, landing, lines, table, with_lines
+from tallyfold.streaming import arrivals, assembly, deliveries
+from workload.views import KEYS_PER_STEP, all_lines, extract_name, landing, lines, table, with_lines
 
 RUN_DATE = "2024-09-02"
 
@@ -129,6 +130,68 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_routed(spark, f"{out}/data/records").select("file", "rec_type", "line", "status")
 
 
+def _touch(spark: SparkSession, path: str, seconds: int) -> None:
+    """Let the files of a folder have arrived so many seconds from now."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(p):
+        fs.setTimes(status.getPath(), int(1000 * (time.time() + seconds)), -1)
+
+
+def _marker(spark: SparkSession, landed: str, name: str, seconds: int) -> None:
+    """An extract of one header line that arrives at another time."""
+    spark.createDataFrame([("H|" + name,)], "value string").coalesce(1).write.text(f"{landed}/file={name}")
+    _touch(spark, f"{landed}/file={name}", seconds)
+
+
+def stream_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts in four parts or more, taken six files at a time: checks, and records routed under them.
+
+    Complete ones are judged on arrival, the others when a file comes two days
+    later, after the stream was started again.
+    """
+    root = new_folder(spark, "assembly")
+    parts = all_lines(spark, sf_dir).select(
+        extract_name(F.col("extract")).alias("file"), F.pmod(F.xxhash64("value"), F.lit(4)).alias("part"), "value"
+    )
+    parts.hint("rebalance", "file", "part").write.partitionBy("file", "part").text(f"{root}/landing")
+    for again in (False, True):
+        if again:
+            _marker(spark, f"{root}/landing", "later", 2 * 86400)
+        stream = assembly.part_stream(spark, f"{root}/landing", "file", 6)
+        _finish(assembly.assemble(stream, f"{root}/out", f"{root}/checkpoint", "file", 3600))
+    checks = spark.read.schema(assembly.CHECKS).parquet(f"{root}/out/checks")
+    routed = sinks.read_routed(spark, f"{root}/out/records").groupBy("file", "rec_type", "status")
+    routed = routed.agg(F.count(F.lit(1)).alias("routed"))
+    cells = ("file", "rec_type", "actual", "declared", "status", "reason", "routed")
+    return checks.join(routed, ["file", "rec_type", "status"], "left").select(*cells)
+
+
+def stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts delivered twice under two names, one of them late: what became of each file, and the lines taken."""
+    root, within = new_folder(spark, "deliveries"), "1 day"
+    landed, ledger = f"{root}/landing", f"{root}/ledger"
+    all_lines(spark, sf_dir).select(extract_name(F.col("extract")).alias("file"), "value").hint("rebalance", "file").write.partitionBy(
+        "file"
+    ).text(landed)
+    _finish(deliveries.log_deliveries(spark, landed, ledger, f"{root}/cp_ledger", within))
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(landed).getFileSystem(spark._jsc.hadoopConfiguration())
+    again = [s.getPath().getName() for s in fs.listStatus(p(landed)) if s.getPath().getName().startswith("file=")]
+    for name in again:
+        source, target = p(f"{landed}/{name}"), p(f"{landed}/{name}_again")
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, target, False, spark._jsc.hadoopConfiguration())
+    _marker(spark, landed, "late", -3 * 86400)
+    _finish(deliveries.log_deliveries(spark, landed, ledger, f"{root}/cp_ledger", within))
+    _finish(deliveries.ingest_ledger(spark, ledger, f"{root}/out", f"{root}/cp_out", "file"))
+    name = F.regexp_extract("file", "/file=([^/]+)/", 1)
+    files = deliveries.report(spark, landed, ledger, within).where(~F.col("file").contains("/_"))
+    files = files.groupBy(name.alias("delivery"), "status").agg(F.max(F.regexp_extract("like", "/file=([^/]+)/", 1)).alias("like"))
+    taken = sinks.read_routed(spark, f"{root}/out/records").groupBy(F.col("file").alias("delivery"))
+    taken = taken.agg(F.count(F.lit(1)).alias("n_records"))
+    return files.join(taken, "delivery", "left").select("delivery", "status", "like", F.coalesce("n_records", F.lit(0)).alias("n_records"))
+
+
 def arrival_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per arriving file. Its time is left out, which no SQL can know."""
     out, path = new_folder(spark, "arrivals"), landing(spark, sf_dir)
@@ -197,6 +260,8 @@ QUERIES = {
         catalog_read,
         catalog_sql,
         stream_ingest,
+        stream_assembly,
+        stream_deliveries,
         arrival_log,
         stream_upsert,
         whole_batch,
@@ -230,6 +295,16 @@ ORACLE = {
     "stream_ingest": with_lines(
         "SELECT r.file, r.rec_type, r.line, c.status FROM recs r JOIN checked c USING (file, rec_type)"
     ),
+    "stream_assembly": with_lines(
+        """SELECT file, rec_type, actual, declared, status, CASE WHEN status = 'pass' THEN 'complete'
+               WHEN CAST(split_part(file, '_', 2) AS BIGINT) % 4 = 2 THEN 'bad footer' ELSE 'counts differ' END AS reason,
+               actual AS routed FROM checked"""
+    ),
+    "stream_deliveries": with_lines(
+        """SELECT file AS delivery, 'taken' AS status, CAST(NULL AS VARCHAR) AS "like", count(*) AS n_records FROM recs GROUP BY file
+        UNION ALL SELECT DISTINCT file || '_again', 'repeated', file, 0 FROM recs
+        UNION ALL SELECT 'late', 'late', NULL, 0"""
+    ),
     "arrival_log": with_lines("SELECT DISTINCT file, true AS complete, true AS named FROM recs"),
     "whole_batch": with_lines(
         """, good AS (SELECT r.*, c.status FROM recs r JOIN checked c USING (file, rec_type)),
