@@ -3,40 +3,36 @@
 Append histories are partitioned by load date; an upsert rewrites only the load
 dates it touches: it writes them aside as one commit and then moves them into
 place, and whoever comes after a writer that was lost in between finishes the
-moves or reads the rows where they lie. Slowly changing histories keep one folder per commit: it holds
-all rows open after it and the rows it closed. Closed rows are thus written once
-and never again, and a commit is one Spark write that counts when its _SUCCESS
-marker is there.
+moves or reads the rows where they lie. Slowly changing histories keep one folder
+per commit: it holds all rows open after it and the rows it closed. Closed rows
+are thus written once and never again, and a commit is one Spark write that
+counts when its _SUCCESS marker is there.
+
+Commits are numbered. Several writers may work at once: who finds the number
+taken that follows on what was read starts again from there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.operators import history as H
+from tallyfold.sources import commits
+from tallyfold.sources.commits import exists as _exists
+from tallyfold.sources.commits import folder_of as _folder
 
 VERSION = "history_version"
 EXPIRED = "_EXPIRED"
 
 
-def _folder(spark: SparkSession, path: str):
-    """A folder and its file system, through the session's Hadoop settings."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _folder(spark, path)
-    return fs.exists(folder)
-
-
 def has_rows(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds anything but markers: writing no rows leaves just those."""
     fs, folder = _folder(spark, path)
@@ -58,37 +54,46 @@ def read_dates(spark: SparkSession, path: str, dates: list[dt.date | None]) -> D
 
 
 STAGED = "_staged"
+REPLACED = "_replaced"
+
+
+def _days(spark: SparkSession, path: str) -> list[str]:
+    """Names of the load date folders in a folder."""
+    return [n for n in commits.children(spark, path) if n.startswith(f"{H.LOADED}=")]
 
 
 def _staged(spark: SparkSession, path: str) -> list[str]:
-    """Commits that are written but not all moved into place; torn ones do not count."""
-    fs, folder = _folder(spark, f"{path.rstrip('/')}/{STAGED}")
-    if not fs.exists(folder):
-        return []
-    found = [str(s.getPath().toString()) for s in fs.listStatus(folder)]
-    return [f for f in sorted(found) if _exists(spark, f"{f}/_SUCCESS")]
+    """Commits that are written but not all moved into place, oldest first; torn ones do not count."""
+    root = f"{path.rstrip('/')}/{STAGED}"
+    found = [f"{root}/{name}" for name in commits.children(spark, root)]
+    return [f for f in found if _days(spark, f) and _exists(spark, f"{f}/_SUCCESS")]
 
 
-def _days(spark: SparkSession, path: str) -> list[str]:
-    """Names of the load date folders in a folder."""
-    fs, folder = _folder(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-    return sorted(n for n in names if n.startswith(f"{H.LOADED}="))
+def _latest(spark: SparkSession, path: str) -> int:
+    """Number of the last commit, 0 if there is none. Commits keep their folder when their rows have moved."""
+    numbers = [n for n in commits.children(spark, f"{path.rstrip('/')}/{STAGED}") if n.isdigit()]
+    return int(numbers[-1]) if numbers else 0
 
 
 def _publish(spark: SparkSession, path: str) -> None:
     """Move the load dates of written commits into place.
 
     What a date held before is part of what replaces it, so losing the writer at
-    any point loses no row: the rest is moved by the next one.
+    any point loses no row: the rest is moved by the next one. Old rows go to a
+    folder of the commit and date that is never empty again, so that of several
+    writers at this none takes new rows for old ones.
     """
     for commit in _staged(spark, path):
+        name = commit.rsplit("/", 1)[1]
         for day in _days(spark, commit):
-            fs, old = _folder(spark, f"{path.rstrip('/')}/{day}")
-            fs.delete(old, True)
-            fs.rename(_folder(spark, f"{commit}/{day}")[1], old)
-        fs, folder = _folder(spark, commit)
-        fs.delete(folder, True)
+            here, aside = f"{path.rstrip('/')}/{day}", f"{path.rstrip('/')}/{REPLACED}/{name}/{day}"
+            if not _exists(spark, aside) and not (_exists(spark, here) and commits.claim(spark, here, aside)):
+                commits.mark(spark, aside, "_REPLACED")
+            commits.claim(spark, f"{commit}/{day}", here)
+            commits.mark(spark, aside, "_REPLACED")
+            for old in commits.children(spark, aside):
+                if old != "_REPLACED":
+                    commits.delete(spark, f"{aside}/{old}")
 
 
 def read_append(spark: SparkSession, path: str, empty: T.StructType | None = None) -> DataFrame:
@@ -119,19 +124,29 @@ def upsert_append(
     Those dates, a handful of folder names, are fetched first. Folders of other
     dates are neither listed nor read.
     """
-    _publish(spark, path)
     order = [cfg.batch_date, *cfg.tie_breakers]
     batch = batch.withColumn(H.LOADED, F.col(H.LOADED).cast("date"))
     dates = [r[0] for r in batch.select(H.LOADED).distinct().collect()]
     if not dates:
         return
-    stored = read_dates(spark, path, dates)
-    rows = H.upsert(stored, batch, cfg.primary_keys, order, compare_stored=compare_stored)
-    if len(dates) > 1:
-        # or every task would write a file for every date; large dates are split again
-        rows = rows.hint("rebalance", H.LOADED)
-    rows.write.partitionBy(H.LOADED).parquet(f"{path.rstrip('/')}/{STAGED}/{uuid.uuid4().hex}")
-    _publish(spark, path)
+    for _ in range(commits.ATTEMPTS):
+        base, aside = _latest(spark, path), commits.new_aside(path)
+        try:
+            _publish(spark, path)
+            stored = read_dates(spark, path, dates)
+            rows = H.upsert(stored, batch, cfg.primary_keys, order, compare_stored=compare_stored)
+            if len(dates) > 1:
+                # or every task would write a file for every date; large dates are split again
+                rows = rows.hint("rebalance", H.LOADED)
+            rows.write.partitionBy(H.LOADED).parquet(aside)
+        except (Py4JJavaError, PySparkException):
+            if _latest(spark, path) == base:
+                raise
+            continue  # another writer replaced the files while they were read
+        if commits.claim(spark, aside, f"{path.rstrip('/')}/{STAGED}/{base + 1:012d}"):
+            return _publish(spark, path)
+        commits.delete(spark, aside)
+    raise commits.ConflictError(f"gave up on {path}")
 
 
 # ---- slowly changing histories -------------------------------------------------
@@ -193,18 +208,27 @@ def commit_history(
     Folders are split by the current flag alone. Open rows have load dates of all
     ages, and a folder for each would mean a file per date and task; the rows a
     version closes share its run date anyway. A batch without rows is no commit;
-    the version is then the latest one, -1 if there is none.
+    the version is then the latest one, -1 if there is none. Of several writers at
+    once, each merges into what the one before it committed.
     """
-    known = versions(spark, path)
     if batch.isEmpty():
-        return known[-1] if known else -1
-    if known:
-        rows = H.changed_rows(read_open(spark, path), batch, cfg, run_date, **how)
-    else:
-        rows = H.merge(None, batch, cfg, run_date)
-    version = known[-1] + 1 if known else 0
-    rows.write.mode("overwrite").partitionBy(H.CURRENT).parquet(f"{path.rstrip('/')}/{VERSION}={version}")
-    return version
+        return next(iter(versions(spark, path)[-1:]), -1)
+    for _ in range(commits.ATTEMPTS):
+        known, aside = versions(spark, path), commits.new_aside(path)
+        if known:
+            rows = H.changed_rows(read_open(spark, path), batch, cfg, run_date, **how)
+        else:
+            rows = H.merge(None, batch, cfg, run_date)
+        version = known[-1] + 1 if known else 0
+        target = f"{path.rstrip('/')}/{VERSION}={version}"
+        rows.write.partitionBy(H.CURRENT).parquet(aside)
+        if _exists(spark, target) and not _exists(spark, f"{target}/_SUCCESS"):
+            # what a writer left that wrote in place and was lost
+            commits.claim(spark, target, commits.new_aside(path))
+        if commits.claim(spark, aside, target):
+            return version
+        commits.delete(spark, aside)
+    raise commits.ConflictError(f"gave up on {path}")
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 7) -> list[int]:
