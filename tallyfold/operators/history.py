@@ -211,8 +211,66 @@ def changed_rows(
     return kept.unionByName(added, allowMissingColumns=True)
 
 
-def merge(history: DataFrame | None, batch: DataFrame, cfg: HistoryConfig, run_date: Day | None = None, **how) -> DataFrame:
-    """Whole history after a batch. Closed rows pass through unshuffled."""
+PREVIOUS = "__previous"
+
+
+def placed(stored: DataFrame | None, batch: DataFrame, cfg: HistoryConfig, run_date: Day | None = None) -> DataFrame:
+    """Rows of a key and the batch's, each valid until the next one's start, whatever came first.
+
+    `stored` are all rows, open and closed, of the keys in the batch. A key and
+    start date is one row, the one with the greatest batch date and tie breakers,
+    of equal ones the incoming; so rows that are told apart by these come out the
+    same in any order of batches, but for the load date, which is that of the last
+    change. `__previous` holds the end date that a stored row had, `__kept`
+    whether it is as it was.
+    """
+    keys = list(cfg.primary_keys)
+    incoming = new_rows(batch, cfg, run_date).withColumn("__incoming", F.lit(1))
+    if stored is not None:
+        was = stored.withColumn("__incoming", F.lit(0)).withColumn(PREVIOUS, F.col(END))
+        incoming = was.unionByName(incoming, allowMissingColumns=True)
+    else:
+        incoming = incoming.withColumn(PREVIOUS, F.lit(None).cast("date"))
+    once = newest(incoming, [*keys, START], [cfg.batch_date, *cfg.tie_breakers, "__incoming"])
+    along = Window.partitionBy(*keys).orderBy(F.asc_nulls_first(START))
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc_nulls_last(START))) == 1
+    rows = once.withColumns({"__end": F.lead(START).over(along), "__last": last})
+    end = F.when(F.col("__last"), F.lit(OPEN_END)).otherwise(F.col("__end"))
+    current = F.col("__last").cast("int")
+    kept = (F.col("__incoming") == 0) & F.col(END).eqNullSafe(end) & (F.col(CURRENT) == current)
+    rows = rows.withColumns({"__kept": kept, END: end, CURRENT: current, LOADED: F.when(kept, F.col(LOADED)).otherwise(day(run_date))})
+    return rows.drop("__end", "__last", "__incoming")
+
+
+def of_keys(history: DataFrame, batch: DataFrame, cfg: HistoryConfig) -> tuple[DataFrame, DataFrame]:
+    """The rows of a history whose key is in a batch, and the others."""
+    keys = list(cfg.primary_keys)
+    marked = lookup(history, batch.select(*keys).distinct().withColumn("__hit", F.lit(True)), keys, "keys")
+    hit = F.coalesce("__hit", F.lit(False))
+    return marked.where(hit).drop("__hit"), marked.where(~hit).drop("__hit")
+
+
+def merge(
+    history: DataFrame | None,
+    batch: DataFrame,
+    cfg: HistoryConfig,
+    run_date: Day | None = None,
+    out_of_order: bool = False,
+    **how,
+) -> DataFrame:
+    """Whole history after a batch. Closed rows pass through unshuffled.
+
+    With `out_of_order` every row of the batch gets its place among its key's rows
+    by its start date, see `placed`; without, the newest one of each key closes
+    what is open.
+    """
+    if out_of_order:
+        if how:
+            raise ConfigError(f"not with out_of_order: {', '.join(how)}")
+        if history is None:
+            return placed(None, batch, cfg, run_date).drop(PREVIOUS, "__kept")
+        mine, others = of_keys(history, batch, cfg)
+        return others.unionByName(placed(mine, batch, cfg, run_date).drop(PREVIOUS, "__kept"), allowMissingColumns=True)
     if history is None:
         return _additions(batch, cfg, run_date)
     closed = history.where(F.col(CURRENT) == 0)

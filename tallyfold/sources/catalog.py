@@ -40,14 +40,18 @@ def publish_history(spark: SparkSession, database: str, table: str, path: str) -
     The folders of all versions become <table>_versions; <table> itself is a view of
     the newest one, which still prunes older open rows by their partitions.
     """
-    newest = tables.versions(spark, path)[-1]
+    known = tables.versions(spark, path)
+    newest, gone = known[-1], tables.superseded(spark, path, known)
     stored = register(spark, database, f"{table}_versions", path, partitioned=True)
     name = f"`{database}`.`{table}`"
-    shown = [f"`{c}`" for c in spark.table(stored).columns if c != tables.VERSION]
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(shown)} FROM {stored} "
-        f"WHERE ({CURRENT} = 0 AND {tables.VERSION} <= {newest}) OR {tables.VERSION} = {newest}"
-    )
+    shown = [f"h.`{c}`" for c in spark.table(stored).columns if c != tables.VERSION]
+    valid = f"((h.{CURRENT} = 0 AND h.{tables.VERSION} <= {newest}) OR h.{tables.VERSION} = {newest})"
+    left_out = ""
+    if gone is not None:
+        same = " AND ".join(f"h.`{c}` <=> g.`{c}`" for c in gone.columns)
+        folders = f"{path.rstrip('/')}/{tables.VERSION}=*/{tables.SUPERSEDED}"
+        left_out = f" LEFT ANTI JOIN parquet.`{folders}` g ON h.{CURRENT} = 0 AND {same}"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(shown)} FROM {stored} h{left_out} WHERE {valid}")
     return name
 
 

@@ -84,3 +84,21 @@ def mark(spark: SparkSession, path: str, name: str) -> None:
 def children(spark: SparkSession, path: str) -> list[str]:
     fs, folder = folder_of(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, file = folder_of(spark, path)
+    stream = fs.create(file, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, file = folder_of(spark, path)
+    stream = fs.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

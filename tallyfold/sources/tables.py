@@ -25,12 +25,16 @@ from pyspark.sql import types as T
 
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.operators import history as H
+from tallyfold.operators.joins import is_small, without_keys
+from tallyfold.session import materialise
 from tallyfold.sources import commits
 from tallyfold.sources.commits import exists as _exists
 from tallyfold.sources.commits import folder_of as _folder
 
 VERSION = "history_version"
 EXPIRED = "_EXPIRED"
+#: Folder of a version that lists the closed rows of older ones that it replaces.
+SUPERSEDED = "_superseded"
 
 
 def has_rows(spark: SparkSession, path: str) -> bool:
@@ -186,8 +190,26 @@ def read_history(spark: SparkSession, path: str, as_of: int | None = None) -> Da
         raise ConfigError(f"no committed history in {path}")
     if _exists(spark, f"{path.rstrip('/')}/{VERSION}={known[-1]}/{EXPIRED}"):
         raise ConfigError(f"version {known[-1]} of {path} has expired")
+    return _valid(spark, path, known).drop(VERSION)
+
+
+def superseded(spark: SparkSession, path: str, known: list[int]) -> DataFrame | None:
+    """(keys, start date, version) of closed rows that later versions replace, None if there are none."""
+    folders = [f"{path.rstrip('/')}/{VERSION}={n}/{SUPERSEDED}" for n in known]
+    folders = [f for f in folders if _exists(spark, f)]
+    return spark.read.parquet(*folders) if folders else None
+
+
+def _valid(spark: SparkSession, path: str, known: list[int]) -> DataFrame:
+    """The rows valid at the last of some versions, with the version that holds them."""
     rows = _stored(spark, path, known)
-    return rows.where((F.col(H.CURRENT) == 0) | (F.col(VERSION) == known[-1])).drop(VERSION)
+    rows = rows.where((F.col(H.CURRENT) == 0) | (F.col(VERSION) == known[-1]))
+    gone = superseded(spark, path, known)
+    if gone is None:
+        return rows
+    # open rows are never listed, and only they can be many
+    closed = without_keys(rows.where(F.col(H.CURRENT) == 0), gone, gone.columns, is_small(gone))
+    return closed.unionByName(rows.where(F.col(H.CURRENT) == 1))
 
 
 def read_open(spark: SparkSession, path: str) -> DataFrame:
@@ -195,16 +217,40 @@ def read_open(spark: SparkSession, path: str) -> DataFrame:
     return read_history(spark, path).where(F.col(H.CURRENT) == 1)
 
 
+def _placed(
+    spark: SparkSession, path: str, known: list[int], batch: DataFrame, cfg: HistoryConfig, run_date: dt.date | str | None, aside: str
+) -> DataFrame:
+    """Rows open after a batch that may be late, and rows it closes or changes; lists the closed rows that this replaces."""
+    keys = list(cfg.primary_keys)
+    mine, others = H.of_keys(_valid(spark, path, known), batch, cfg)
+    mine = materialise(mine, "placed-before")
+    after = materialise(H.placed(mine.drop(VERSION), batch, cfg, run_date), "placed-after")
+    # a closed row stays where it is only if nothing of it changed
+    closed = mine.where(F.col(H.CURRENT) == 0).select(*keys, H.START, VERSION)
+    as_it_was = after.where(F.col("__kept") & (F.col(H.CURRENT) == 0)).select(*keys, H.START)
+    gone = without_keys(closed, as_it_was, [*keys, H.START], is_small(as_it_was))
+    if not gone.isEmpty():
+        gone.write.parquet(f"{aside}/{SUPERSEDED}")
+    open_rows = others.where(F.col(H.CURRENT) == 1).drop(VERSION)
+    changed = after.where(~F.col("__kept") | (F.col(H.CURRENT) == 1)).drop("__kept", H.PREVIOUS)
+    return open_rows.unionByName(changed, allowMissingColumns=True)
+
+
 def commit_history(
     spark: SparkSession,
     path: str,
     batch: DataFrame,
     cfg: HistoryConfig,
     run_date: dt.date | str | None = None,
+    out_of_order: bool = False,
     **how,
 ) -> int:
     """Merge a batch into the stored history as the next version.
 
+    With `out_of_order` rows may be older than those stored (`history.placed`).
+    Closed rows they change are written anew and listed as replaced; reading then
+    leaves the old ones out.
+
     Folders are split by the current flag alone. Open rows have load dates of all
     ages, and a folder for each would mean a file per date and task; the rows a
     version closes share its run date anyway. A batch without rows is no commit;
@@ -215,13 +261,15 @@ def commit_history(
         return next(iter(versions(spark, path)[-1:]), -1)
     for _ in range(commits.ATTEMPTS):
         known, aside = versions(spark, path), commits.new_aside(path)
-        if known:
+        if known and out_of_order:
+            rows = _placed(spark, path, known, batch, cfg, run_date, aside)
+        elif known:
             rows = H.changed_rows(read_open(spark, path), batch, cfg, run_date, **how)
         else:
-            rows = H.merge(None, batch, cfg, run_date)
+            rows = H.merge(None, batch, cfg, run_date, out_of_order)
         version = known[-1] + 1 if known else 0
         target = f"{path.rstrip('/')}/{VERSION}={version}"
-        rows.write.partitionBy(H.CURRENT).parquet(aside)
+        rows.write.mode("append").partitionBy(H.CURRENT).parquet(aside)
         if _exists(spark, target) and not _exists(spark, f"{target}/_SUCCESS"):
             # what a writer left that wrote in place and was lost
             commits.claim(spark, target, commits.new_aside(path))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tallyfold.config import HistoryConfig, TransposeConfig
 from tallyfold.operators import history as H
 from tallyfold.operators.transpose import transpose as pivot
 from tallyfold.session import new_folder
-from tallyfold.sources import catalog, sinks, tables
+from tallyfold.sources import buckets, catalog, sinks, tables
 from workload.views import table
 
 DAY1, DAY2 = "2024-02-01", "2024-03-01"
@@ -191,6 +193,54 @@ def history_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_history(spark, path).select(*SCD2)
 
 
+def scd2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch comes first; the base, older than all of it, finds its place behind it."""
+    path = new_folder(spark, "scd2_late")
+    for batch, day in ((_delta(spark, sf_dir), DAY1), (_base(spark, sf_dir), DAY2)):
+        tables.commit_history(spark, path, batch, CUSTOMERS, day, out_of_order=True)
+    return tables.read_history(spark, path).select(*SCD2)
+
+
+def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Halves of orders and of customers, each written by two writers at once to one table."""
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    orders = orders.select(key.alias("order_key"), F.col("o_orderstatus").alias("status"), F.lit(1).alias("batch_no"))
+    customers = _base(spark, sf_dir)
+    appended, valid = new_folder(spark, "writers_append"), new_folder(spark, "writers_valid")
+
+    def write(half: int) -> None:
+        mine = H.history_rows(orders.where(F.col("order_key") % 2 == half), DAY1)
+        tables.upsert_append(spark, appended, mine, ORDERS)
+        tables.commit_history(spark, valid, customers.where(F.col("c_custkey") % 2 == half), CUSTOMERS, DAY1)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, range(2)))
+    rows = tables.read_append(spark, appended).select(F.lit("append").alias("style"), F.col("order_key").alias("key"), "status")
+    customers = tables.read_history(spark, valid).where(F.col(H.CURRENT) == 1)
+    return rows.unionByName(customers.select(F.lit("valid").alias("style"), F.col("c_custkey").alias("key"), F.col("segment").alias("status")))
+
+
+BUCKETS = 16
+
+
+def scd2_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history in hash buckets: all customers, then the changes, then those of one customer in a hundred."""
+    path = new_folder(spark, "scd2_buckets")
+    few = _delta(spark, sf_dir).where(F.col("c_custkey") % 100 == 0).withColumn("batch_date", F.lit("20240310"))
+    buckets.commit(spark, path, _base(spark, sf_dir), CUSTOMERS, DAY1, n_buckets=BUCKETS)
+    buckets.commit(spark, path, _delta(spark, sf_dir), CUSTOMERS, DAY2)
+    buckets.commit(spark, path, few, CUSTOMERS, "2024-03-11")
+    return buckets.read(spark, path).select(*SCD2)
+
+
+def scd2_buckets_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bucketed history as its first commit left it."""
+    path = new_folder(spark, "scd2_buckets")
+    buckets.commit(spark, path, _base(spark, sf_dir), CUSTOMERS, DAY1, n_buckets=BUCKETS)
+    buckets.commit(spark, path, _delta(spark, sf_dir), CUSTOMERS, DAY2)
+    return buckets.read(spark, path, as_of=0).select(*SCD2)
+
+
 def catalog_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored history read by the name it was given."""
     path = _stored(spark, sf_dir)
@@ -256,6 +306,10 @@ QUERIES = {
         history_snapshot,
         history_as_of,
         history_empty_batch,
+        scd2_late,
+        two_writers,
+        scd2_buckets,
+        scd2_buckets_as_of,
         catalog_history,
         scd2_current,
         transpose,
@@ -331,6 +385,31 @@ ORACLE = {
     "append_new_column": """
         SELECT o_orderkey AS order_key, 1 AS batch_no, CASE WHEN o_orderkey % 2 = 1 THEN 'new' END AS note,
                CASE WHEN o_orderkey % 2 = 0 THEN DATE '2024-02-01' ELSE DATE '2024-03-01' END AS dt FROM orders""",
+    "scd2_late": _SCD2
+    + """, placed AS (
+        SELECT c_custkey, segment, record_start_date, delete_flag, DATE '2024-03-01' AS dt FROM base UNION ALL
+        SELECT c_custkey, segment, record_start_date, delete_flag, DATE '2024-02-01' FROM added UNION ALL
+        SELECT c_custkey, 'STALE', DATE '2024-02-15', 0, DATE '2024-02-01' FROM base WHERE c_custkey % 10 = 0
+    )
+    SELECT c_custkey, segment, record_start_date,
+           coalesce(lead(record_start_date) OVER (PARTITION BY c_custkey ORDER BY record_start_date), DATE '9999-12-31')
+               AS record_end_date,
+           CASE WHEN lead(record_start_date) OVER (PARTITION BY c_custkey ORDER BY record_start_date) IS NULL THEN 1 ELSE 0 END
+               AS current_record_flag, delete_flag, dt
+    FROM placed""",
+    "two_writers": """
+        SELECT 'append' AS style, o_orderkey AS key, o_orderstatus AS status FROM orders
+        UNION ALL SELECT 'valid', c_custkey, c_mktsegment FROM customer""",
+    "scd2_buckets": _SCD2
+    + f"""
+        SELECT {_COLS} FROM added WHERE c_custkey % 100 <> 0 OR segment <> 'CHANGED' UNION ALL
+        SELECT {_CLOSED} FROM base WHERE c_custkey % 10 = 0 UNION ALL
+        SELECT {_COLS} FROM base WHERE c_custkey % 10 <> 0 UNION ALL
+        SELECT c_custkey, segment, record_start_date, DATE '2024-03-11', 0, delete_flag, DATE '2024-03-11'
+        FROM added WHERE c_custkey % 100 = 0 AND segment = 'CHANGED' UNION ALL
+        SELECT c_custkey, segment, DATE '2024-03-10', DATE '9999-12-31', 1, delete_flag, DATE '2024-03-11'
+        FROM added WHERE c_custkey % 100 = 0 AND segment = 'CHANGED'""",
+    "scd2_buckets_as_of": _SCD2 + f"SELECT {_COLS} FROM base",
     "catalog_history": _SCD2 + _MERGED,
     "scd2_current": _SCD2
     + """
