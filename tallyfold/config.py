@@ -131,9 +131,22 @@ _RULE_SHAPES = [
 ]
 
 
-def rules_of(config: dict, rec_type: str) -> list[Rule]:
-    """Rules of one type, from its bracketed list; a type without rules has none."""
-    text = config.get(rec_type, "").strip().removeprefix("[").removesuffix("]")
+def type_key(config: dict, rec_type: str) -> str:
+    """The name a config has for a record type, which may be spelled out; unknown types are errors."""
+    for name in (rec_type, f"rec_type_{rec_type}", rec_type.removeprefix("rec_type_")):
+        if name in config:
+            return name
+    raise ConfigError(f"{rec_type} is not configured; known: {', '.join(sorted(config))}")
+
+
+def rules_of(config: dict, rec_type: str, required: bool = False) -> list[Rule]:
+    """Rules of one type, from its bracketed list; a type without rules has none.
+
+    With `required` a type that is not listed is an error, so that a misspelled one
+    does not go unchecked; an empty list says that there are no rules.
+    """
+    name = type_key(config, rec_type) if required else rec_type
+    text = config.get(name, "").strip().removeprefix("[").removesuffix("]")
     rules = []
     for item in filter(None, (t.strip() for t in re.split(r",(?![^\[]*\])", text))):
         found = [(re.fullmatch(shape, item), build) for shape, build in _RULE_SHAPES]

@@ -29,12 +29,17 @@ def clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def date_columns(names: Sequence[str], chosen: Sequence[str] | None = None) -> list[str]:
+    """The columns that hold dates: those of a list, or those whose name contains the date mark."""
+    return [c for c in names if (c in chosen if chosen is not None else DATE_MARK in c)]
+
+
 def parse_dates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """yyyyMMdd text to dates, null where unreadable.
 
     Without a list, every column whose name contains the date mark is taken.
     """
-    chosen = set(columns if columns is not None else (c for c in df.columns if DATE_MARK in c))
+    chosen = set(date_columns(df.columns, columns))
 
     def shaped(f: T.StructField):
         c = F.col(f"`{f.name}`")

@@ -7,18 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.config import Rule
 from tallyfold.functions import predicates as P
-from tallyfold.operators.joins import lookup
+from tallyfold.operators.columns import OUTCOME_COLUMNS
+from tallyfold.operators.joins import lookup_stored, write_measured
 
 PASSED, FAILED = "Passed", "Failed"
-ROWS_PASS, ROWS_FAIL, ROWS_SKIP, RESULT = (
-    "DataQualityRulesPass",
-    "DataQualityRulesFail",
-    "DataQualityRulesSkip",
-    "DataQualityEvaluationResult",
-)
+ROWS_PASS, ROWS_FAIL, ROWS_SKIP, RESULT = OUTCOME_COLUMNS
 
 
 def is_row_rule(rule: Rule, columns: Sequence[str]) -> bool:
@@ -26,25 +23,41 @@ def is_row_rule(rule: Rule, columns: Sequence[str]) -> bool:
     return rule.column is not None and rule.column in columns
 
 
-def repeated_values(df: DataFrame, column: str) -> DataFrame:
-    """Values of a column that occur more than once, nulls being one value.
+def _value(df: DataFrame, column: str) -> Column:
+    """A value as text, so that values of several columns fit into one; equal values give equal texts."""
+    c = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        c = c + F.lit(0.0)  # there are two zeros
+    return c.cast("string")
+
 
-    Counting combines before the shuffle, so a value held by a third of the rows
-    is one partial count per task. Only the checked column is read.
+def repeated_values(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+    """(place, value): values that occur more than once in a column, nulls being one value; place numbers the columns.
+
+    One aggregate for all columns. Counting combines before the shuffle, so a
+    value held by a third of the rows is one partial count per task. Only the
+    checked columns are read.
     """
-    c = F.col(f"`{column}`")
-    return (
-        df.groupBy(c.alias(column)).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-        .select(F.col(f"`{column}`"), F.lit(True).alias("repeated"))
-    )
+    columns = [columns] if isinstance(columns, str) else columns
+    cells = [F.struct(F.lit(i).alias("place"), _value(df, c).alias("value")) for i, c in enumerate(columns)]
+    stacked = df.select(F.inline(F.array(*cells)))
+    return stacked.groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+
 
+def with_unique_flags(df: DataFrame, flags: dict[str, str]) -> DataFrame:
+    """Flag rows whose value occurs once, for several columns; `flags` names the flag of each.
 
-def with_unique_flag(df: DataFrame, column: str, flag: str, source: DataFrame | None = None) -> DataFrame:
-    """Flag rows whose value occurs once. Repeated values are few when data is
-    good, then no row moves; if they are many, hot ones are salted. They are
-    counted on `source`, the same rows before other flags were joined to them."""
-    repeated = repeated_values(df if source is None else source, column).withColumnRenamed("repeated", flag)
-    return lookup(df, repeated, [column], "repeated").withColumn(flag, F.col(flag).isNull())
+    Repeated values are few when data is good, then no row moves; if they are
+    many, hot ones are salted. They are counted once, for all columns together.
+    """
+    if not flags:
+        return df
+    repeated, small = write_measured(repeated_values(df, list(flags)), "repeated")
+    for place, (column, flag) in enumerate(flags.items()):
+        mine = repeated.where(F.col("place") == place).select(F.col("value").alias("__value"), F.lit(True).alias(flag))
+        df = lookup_stored(df.withColumn("__value", _value(df, column)), mine, ["__value"], small=small).drop("__value")
+        df = df.withColumn(flag, F.col(flag).isNull())
+    return df
 
 
 def _holds(df: DataFrame, rule: Rule) -> Column:
@@ -63,13 +76,9 @@ def _holds(df: DataFrame, rule: Rule) -> Column:
 def row_outcomes(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Data columns plus the rules each row passes, fails and skips, and its result."""
     columns = df.columns
-    flags: dict[str, str] = {}
-    checked = df
-    for rule in rules:
-        if rule.kind == "IsUnique" and rule.column in columns and rule.column not in flags:
-            flags[rule.column] = f"__unique{len(flags)}"
-            checked = with_unique_flag(checked, rule.column, flags[rule.column], df)
-
+    unique = dict.fromkeys(r.column for r in rules if r.kind == "IsUnique" and r.column in columns)
+    flags = {c: f"__unique{i}" for i, c in enumerate(unique)}
+    checked = with_unique_flags(df, flags)
     row_rules = [r for r in rules if is_row_rule(r, columns)]
     skipped = [r.text for r in rules if not is_row_rule(r, columns)]
     # Each rule is judged once, in a column of its own. Rows that hold all rules take

@@ -21,6 +21,8 @@ def local_session(cpus: int | str = "*", name: str = "tallyfold") -> SparkSessio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # types of a batch run side by side, each in a pool
+        .config("spark.scheduler.mode", "FAIR")
         # partitioned writes keep a writer per folder open instead of sorting first
         .config("spark.sql.maxConcurrentOutputFileWriters", "64")
         .getOrCreate()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,15 +128,41 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType, missing: st
     )
 
 
-def typed_records(recs: DataFrame, schema: T.StructType) -> DataFrame:
+def typed_records(
+    recs: DataFrame, schema: T.StructType, malformed: str | None = None, dates: Sequence[str] = ()
+) -> DataFrame:
     """Records of one type to typed columns, in the same plan as the split.
 
     Works on the bare line, before the declared total is appended, so widths
-    agree. Unreadable values are null and the row is kept.
+    agree. Unreadable values are null and the row is kept. With `malformed` a
+    column of that name tells of them: null for a sound line, else the line and the
+    reason, being its number of fields or the names of columns with unreadable values;
+    `dates` are text columns that are to hold dates.
     """
     options = {"sep": SEP, "quote": QUOTE, "mode": "PERMISSIVE"}
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return recs.select(F.from_csv("line", ddl, options).alias("r")).select("r.*")
+    ddl = lambda fields: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    if malformed is None:
+        return recs.select(F.from_csv("line", ddl(schema.fields), options).alias("r")).select("r.*")
+    if malformed in schema.names:
+        raise ValueError(f"{malformed} is a column of the records")
+    texts = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+    whole = ddl([*schema.fields, T.StructField(malformed, T.StringType())])
+    read = F.from_csv("line", whole, {**options, "columnNameOfCorruptRecord": malformed})
+    rows = recs.select("line", read.alias("r"))
+    # only lines that are not sound are read a second time, as texts
+    plain = F.from_csv("line", ddl(texts) + ", `__more` string", options)
+    cells = F.filter(F.split("line", r"\|", -1), lambda c: c.isNotNull())
+    r = F.col("r")
+    no_date = {c: r[c].isNotNull() & X.date_or_null(r[c]).isNull() for c in dates}
+    lost = lambda c: no_date.get(c, plain[c].isNotNull() & r[c].isNull())
+    bad = F.array_compact(F.array(*[F.when(lost(f.name), f.name) for f in schema.fields]))
+    few = F.size(cells) != len(schema)
+    reason = F.when(F.size(bad) > 0, F.concat(F.lit("unreadable: "), F.array_join(bad, ", ")))
+    width = F.when(few, F.concat(F.size(cells).cast("string"), F.lit(f" fields, not {len(schema)}")))
+    why = F.coalesce(F.concat_ws("; ", width, reason), F.lit(""))
+    unsound = reduce(lambda a, b: a | b, no_date.values(), r[malformed].isNotNull())
+    found = F.when(unsound, F.struct("line", why.alias("reason")))
+    return rows.select(*[r[f.name].alias(f.name) for f in schema.fields], found.alias(malformed))
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None, missing: str = "raise") -> DataFrame:

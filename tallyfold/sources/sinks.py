@@ -97,13 +97,26 @@ def read_quarantined(spark: SparkSession, path: str, width: int) -> DataFrame:
     return spark.read.schema(schema).csv(path)
 
 
-def write_outcomes(outcomes: DataFrame, path: str, mode: str = "append") -> None:
+#: Column that tells of lines the typed read could not take as they are.
+MALFORMED = "malformed_record"
+
+
+def write_outcomes(outcomes: DataFrame, path: str, mode: str = "append", quarantine: bool = False) -> None:
     """Row outcomes of a record check, passed and failed rows in folders of their
-    own, in one pass over the data."""
+    own, in one pass over the data. With `quarantine` rows that have a malformed
+    record go to a third one, whatever the rules say of them."""
     result = F.col(OUTCOME_COLUMNS[3])
     status = F.when(result == "Passed", "pass").otherwise("fail")
+    if quarantine:
+        status = F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(status)
     outcomes.withColumn("status", status).write.mode(mode).partitionBy("status").parquet(path)
 
 
+def read_malformed(spark: SparkSession, path: str) -> DataFrame:
+    """(line, reason, status) of the malformed records among stored outcomes."""
+    schema = f"{MALFORMED} struct<line: string, reason: string>, status string"
+    return spark.read.schema(schema).parquet(path).where(F.col(MALFORMED).isNotNull()).select(f"{MALFORMED}.*", "status")
+
+
 def write_wide(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from tallyfold import config as C
 from tallyfold.functions import text as X
+from tallyfold.operators import extract
 from tallyfold.operators import history as H
 from tallyfold.plans import batch
 from tallyfold.session import new_folder
@@ -251,6 +253,94 @@ def whole_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.run(spark, lines(spark, sf_dir), new_folder(spark, "batch"), _jobs(), RUN_DATE)
 
 
+# ---- the batch from its configs -------------------------------------------------------------------
+
+#: Lines of orders by line number are types of their own; the last one's history names a column that is not there.
+ITEM_TYPES = [f"901{n}" for n in range(1, 8)]
+
+
+def _config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, value) of ten record types in four extracts, with right footers. Some orders have a broken key, some
+    no priority field, and some a day that is none."""
+    text = lambda c: F.col(c).cast("string")
+    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    key = F.col("o_orderkey")
+    order = F.concat_ws(
+        "|",
+        F.lit("9005"),
+        F.when(key % 11 == 0, F.concat(text("o_orderkey"), F.lit("x"))).otherwise(text("o_orderkey")),
+        text("o_custkey"),
+        F.when(key % 13 > 0, F.col("o_orderpriority")),
+        F.when(key % 7 == 0, F.lit("20240230")).otherwise(F.date_format("o_orderdate", "yyyyMMdd")),
+    )
+    cells = [
+        table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.lit("9000").alias("t"), F.concat_ws("|", F.lit("9000"), text("c_custkey"), "c_mktsegment").alias("value")),
+        table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.lit("9020").alias("t"), F.concat_ws("|", F.lit("9020"), text("s_suppkey"), "s_name").alias("value")),
+        orders.select(key.alias("k"), F.lit("9005").alias("t"), order.alias("value")),
+        items.select(
+            F.col("l_orderkey").alias("k"),
+            F.concat(F.lit("901"), text("l_linenumber")).alias("t"),
+            F.concat_ws("|", F.concat(F.lit("901"), text("l_linenumber")), text("l_orderkey"), "l_returnflag", text("l_suppkey")).alias("value"),
+        ),
+    ]
+    rows = reduce(DataFrame.unionByName, cells).select(F.concat(F.lit("extract_"), (F.col("k") % 4).cast("string")).alias("file"), "t", "value")
+    totals = rows.groupBy("file", "t").agg(F.count(F.lit(1)).alias("n"))
+    pairs = F.array_join(F.collect_list(F.concat_ws("~", "t", F.col("n").cast("string"))), "|")
+    footers = totals.groupBy("file").agg(F.concat(F.lit("T|"), pairs).alias("value"))
+    return rows.select("file", "value").unionByName(footers)
+
+
+def _write_configs(spark: SparkSession, root: str) -> dict[str, str]:
+    column = lambda x: dict(zip(("name", "type"), x.split(":")))
+    schema = lambda *names: {"columns": [column(x) for x in ("REC_TYPE:string", *names)]}
+    item = schema("ORDER_KEY:integer", "FLAG:string", "SUPP_KEY:integer")
+    keyed = lambda keys, day, **more: {"primary_keys": keys, "Batch_date": day, **more}
+    configs = {
+        "schemas": {
+            "9000": schema("CUST_KEY:integer", "SEGMENT:string"),
+            "9005": schema("ORDER_KEY:integer", "CUST_KEY:integer", "PRIORITY:string", "BATCH_DATE:date"),
+            "rec_type_9020": schema("SUPP_KEY:integer", "NAME:string"),
+            **{t: item for t in ITEM_TYPES},
+        },
+        "rules": {
+            "9000": "[IsUnique 'CUST_KEY', IsUnique 'SEGMENT', ColumnLength 'SEGMENT' = 9]",
+            "9005": "[ColumnCount = 5, IsComplete 'PRIORITY']",
+            "rec_type_9020": "[]",
+            **{f"rec_type_{t}": "[ColumnValues 'FLAG' in ['A', 'N']]" for t in ITEM_TYPES},
+        },
+        "histories": {
+            "9005": keyed("ORDER_KEY", "BATCH_DATE"),
+            "9011": keyed(["ORDER_KEY"], "SUPP_KEY", style="append"),
+            ITEM_TYPES[-1]: keyed(["NOT_THERE"], "SUPP_KEY", style="append"),
+        },
+        "transposes": {"9005": {"group_by_cols": ["CUST_KEY"], "pivot_cols": ["PRIORITY"], "agg_cols": ["ORDER_KEY"]}},
+    }
+    for name, config in configs.items():
+        spark.createDataFrame([(json.dumps(config),)], "value string").coalesce(1).write.text(f"{root}/{name}")
+    return {name: f"{root}/{name}" for name in configs}
+
+
+def batch_from_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten types, side by side, as their JSON configs say; one fails, malformed records are set aside."""
+    root = new_folder(spark, "configured")
+    lines = _config_lines(spark, sf_dir)
+    lines.hint("rebalance", "file").write.partitionBy("file").text(f"{root}/landing")
+    jobs = batch.jobs_of(spark, **_write_configs(spark, root))
+    landed = readers.read_lines(spark, f"{root}/landing", folder="file")
+    return batch.run(spark, landed, f"{root}/out", jobs, RUN_DATE, on_error="report")
+
+
+def malformed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's line as the typed read found it: sound, or set aside with the reason."""
+    root = new_folder(spark, "malformed")
+    jobs = batch.jobs_of(spark, **_write_configs(spark, root), types=["9005"])
+    recs = extract.records(_config_lines(spark, sf_dir))
+    stored, _ = batch.check_records(recs, jobs[0], f"{root}/outcomes")
+    sound = stored.select(F.col("ORDER_KEY").cast("string").alias("key"), F.lit(None).cast("string").alias("reason"))
+    bad = sinks.read_malformed(spark, f"{root}/outcomes")
+    return sound.unionByName(bad.select(F.get(F.split("line", r"\|", -1), F.lit(1)).alias("key"), "reason"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -265,10 +355,50 @@ QUERIES = {
         arrival_log,
         stream_upsert,
         whole_batch,
+        batch_from_configs,
+        malformed_records,
     )
 }
 
+_CONFIGURED = """
+    WITH o AS (
+      SELECT *, o_orderkey % 11 = 0 AS broken, o_orderkey % 13 = 0 AS short, o_orderkey % 7 = 0 AS no_day FROM orders
+    ),
+    bad AS (
+      SELECT o_orderkey || CASE WHEN broken THEN 'x' ELSE '' END AS key,
+             nullif(concat_ws('; ', CASE WHEN short THEN '4 fields, not 5' END,
+               CASE WHEN broken OR no_day AND NOT short
+                 THEN 'unreadable: ' || concat_ws(', ', CASE WHEN broken THEN 'ORDER_KEY' END,
+                                                        CASE WHEN no_day AND NOT short THEN 'BATCH_DATE' END) END), '') AS reason,
+             o_custkey FROM o
+    )
+"""
+
 ORACLE = {
+    "malformed_records": _CONFIGURED + "SELECT key, reason FROM bad",
+    "batch_from_configs": _CONFIGURED
+    + """, recs AS (
+        SELECT c_custkey % 4 AS e, '9000' AS rec_type, length(c_mktsegment) = 9 AND false AS ok FROM customer
+        UNION ALL SELECT s_suppkey % 4, '9020', true FROM supplier
+        UNION ALL SELECT o_orderkey % 4, '9005', true FROM orders
+        UNION ALL SELECT l_orderkey % 4, '901' || l_linenumber, l_returnflag IN ('A', 'N') FROM lineitem
+    ),
+    sound AS (SELECT * FROM bad WHERE reason IS NULL)
+    SELECT 'route_pass' AS stage, rec_type, count(*) AS n FROM recs GROUP BY ALL
+    UNION ALL SELECT 'check_pass', rec_type, count(DISTINCT e) FROM recs GROUP BY ALL
+    UNION ALL SELECT 'rows_pass', rec_type, count(*) FILTER (ok) FROM recs WHERE rec_type NOT IN ('9005', '9017') GROUP BY ALL
+    UNION ALL SELECT 'rows_fail', rec_type, count(*) FILTER (NOT ok) FROM recs WHERE rec_type NOT IN ('9005', '9017') GROUP BY ALL
+    UNION ALL SELECT 'rows_malformed', rec_type, 0 FROM recs WHERE rec_type NOT IN ('9005', '9017') GROUP BY ALL
+    UNION ALL SELECT 'rules_fail', rec_type, CASE rec_type WHEN '9000' THEN 2 WHEN '9020' THEN 0 ELSE 1 END
+              FROM recs WHERE rec_type NOT IN ('9005', '9017') GROUP BY ALL
+    UNION ALL SELECT 'rows_pass', '9005', count(*) FROM sound
+    UNION ALL SELECT 'rows_fail', '9005', 0
+    UNION ALL SELECT 'rows_malformed', '9005', count(*) FROM bad WHERE reason IS NOT NULL
+    UNION ALL SELECT 'rules_fail', '9005', 0
+    UNION ALL SELECT 'history', '9005', count(*) FROM sound
+    UNION ALL SELECT 'history', '9011', count(DISTINCT l_orderkey) FROM lineitem WHERE l_linenumber = 1 AND l_returnflag IN ('A', 'N')
+    UNION ALL SELECT 'wide', '9005', count(DISTINCT o_custkey) FROM sound
+    UNION ALL SELECT 'error', '9017', 1""",
     "scalar_functions": """
         WITH s AS (
           SELECT *, CAST(o_orderkey AS VARCHAR) AS k,
