@@ -75,6 +75,34 @@ def flagged_files(lines: DataFrame) -> DataFrame:
     return found.where((F.col("bad") == 1) | (F.col("first") != F.col("last"))).select("file")
 
 
+def footers(lines: DataFrame) -> DataFrame:
+    """(file, totals, flagged): all that the footers of a file say, from one scan of the text.
+
+    totals holds the declared total of each type; flagged files have a malformed
+    pair, or footers that differ.
+    """
+    found = tagged(lines).where(F.col("rec_type") == X.FOOTER)
+    pairs = found.select("file", F.xxhash64("line").alias("id"), F.inline(X.footer_pairs(F.col("line"))))
+    types = pairs.groupBy("file", "rec_type").agg(
+        F.max_by("declared", "position").alias("declared"),
+        F.max("bad").alias("bad"),
+        F.min("id").alias("first"),
+        F.max("id").alias("last"),
+    )
+    return types.groupBy("file").agg(
+        F.map_from_entries(F.collect_list(F.struct("rec_type", "declared"))).alias("totals"),
+        ((F.max("bad") == 1) | (F.min("first") != F.max("last"))).alias("flagged"),
+    )
+
+
+def with_footers(recs: DataFrame, found: DataFrame) -> DataFrame:
+    """Attach the declared total; 0 where the footer does not name the type, null where the file is flagged."""
+    joined = lookup(recs, found, ["file"], "footers")
+    total = F.coalesce(F.try_element_at("totals", F.col("rec_type")), F.lit(0).cast("bigint"))
+    sound = ~F.coalesce("flagged", F.lit(False))
+    return joined.withColumn("declared", F.when(sound, total)).drop("totals", "flagged")
+
+
 def with_declared(recs: DataFrame, totals: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
     """Attach the declared total; 0 where the footer does not name the type.
 

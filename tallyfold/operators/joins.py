@@ -109,6 +109,8 @@ def _size(table: DataFrame, columns: Sequence[str] | None = None) -> list[Column
     for f in chosen:
         if isinstance(f.dataType, T.StringType):
             row = row + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        if isinstance(f.dataType, (T.MapType, T.ArrayType)):
+            row = row + 48 * F.coalesce(F.size(F.col(f"`{f.name}`")), F.lit(0))
     return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row), F.lit(0)).alias("b")]
 
 

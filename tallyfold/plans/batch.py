@@ -18,7 +18,7 @@ from tallyfold.operators import extract, filecheck, quality
 from tallyfold.operators.columns import clean_names, date_columns, drop_outcomes, parse_dates
 from tallyfold.operators.history import history_rows, merge
 from tallyfold.operators.transpose import transpose
-from tallyfold.session import materialise
+from tallyfold.session import materialise, scratch
 from tallyfold.sources import catalog, readers, sinks, tables
 
 
@@ -40,9 +40,9 @@ class TypeJob:
 
 def segregate(lines: DataFrame, path: str, run_date: dt.date | str | None = None, text: bool = False) -> DataFrame:
     """Split lines by record type and store them; returns what was stored."""
-    recs = extract.with_declared(extract.records(lines), extract.footer_totals(lines), extract.flagged_files(lines))
     write = sinks.write_split_text if text else sinks.write_split
-    write(recs, path, run_date)
+    with scratch():
+        write(extract.with_footers(extract.records(lines), extract.footers(lines)), path, run_date)
     return sinks.read_split(lines.sparkSession, path, text, dated=run_date is not None)
 
 
@@ -62,7 +62,9 @@ def check_and_route(
     `rebalance` shuffles the records by folder, so that there are as many files as
     the data need and not one for each task, status and type.
     """
-    checks = materialise(filecheck.check_lines(lines), "checks")
+    with scratch() as made:
+        checks = materialise(filecheck.check_lines(lines), "checks")
+        made.remove(checks)
     sinks.write_routed(filecheck.routed(extract.records(lines), checks), path, run_ts, rebalance)
     return filecheck.with_empty_files(checks, files) if files is not None else checks
 
@@ -78,8 +80,9 @@ def check_records(recs: DataFrame, job: TypeJob, path: str) -> tuple[DataFrame,
     dates = [c for c in date_columns(job.schema.names, job.date_columns) if isinstance(job.schema[c].dataType, T.StringType)]
     typed = readers.typed_records(extract.of_type(recs, job.rec_type), job.schema, sinks.MALFORMED, dates)
     rows = parse_dates(typed, job.date_columns)
-    outcomes = quality.row_outcomes(rows, job.rules)
-    sinks.write_outcomes(outcomes, path, "overwrite", job.quarantine)
+    with scratch():
+        outcomes = quality.row_outcomes(rows, job.rules)
+        sinks.write_outcomes(outcomes, path, "overwrite", job.quarantine)
     schema = outcomes.drop(sinks.MALFORMED).withColumn("status", F.lit("")).schema
     stored = recs.sparkSession.read.schema(schema).parquet(path)
     if job.quarantine:
@@ -201,8 +204,9 @@ def run(
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
     with ThreadPoolExecutor(max(1, min(parallel, len(jobs)))) as pool:
-        # tasks get the caller's job group, description and other local properties
-        done = list(pool.map(inheritable_thread_target(spark)(work), jobs))
+        # each job has a copy of the caller's local properties
+        started = [pool.submit(inheritable_thread_target(spark)(work), job) for job in jobs]
+        done = [s.result() for s in started]
     failures = {job.rec_type: f"{type(e).__name__}: {e}" for job, e in zip(jobs, done) if isinstance(e, Exception)}
     if failures and on_error == "raise":
         raise BatchError(failures) from next(e for e in done if isinstance(e, Exception))

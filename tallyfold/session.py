@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +55,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SCOPES = threading.local()
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Delete the tables that materialise() stores inside, at the end; those taken off the list stay.
+
+    For work whose result is written elsewhere by then.
+    """
+    stack = _SCOPES.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield stack[-1]
+    finally:
+        discard(*stack.pop())
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once and read it back.
 
@@ -64,6 +84,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored.stored_at = path
+    if _SCOPES.__dict__.get("stack"):
+        _SCOPES.stack[-1].append(stored)
     return stored
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.operators import history as H
 from tallyfold.operators.joins import is_small, without_keys
-from tallyfold.session import materialise
+from tallyfold.session import materialise, scratch
 from tallyfold.sources import commits
 from tallyfold.sources.commits import exists as _exists
 from tallyfold.sources.commits import folder_of as _folder
@@ -138,11 +138,12 @@ def upsert_append(
         try:
             _publish(spark, path)
             stored = read_dates(spark, path, dates)
-            rows = H.upsert(stored, batch, cfg.primary_keys, order, compare_stored=compare_stored)
-            if len(dates) > 1:
-                # or every task would write a file for every date; large dates are split again
-                rows = rows.hint("rebalance", H.LOADED)
-            rows.write.partitionBy(H.LOADED).parquet(aside)
+            with scratch():
+                rows = H.upsert(stored, batch, cfg.primary_keys, order, compare_stored=compare_stored)
+                if len(dates) > 1:
+                    # or every task would write a file for every date; large dates are split again
+                    rows = rows.hint("rebalance", H.LOADED)
+                rows.write.partitionBy(H.LOADED).parquet(aside)
         except (Py4JJavaError, PySparkException):
             if _latest(spark, path) == base:
                 raise
@@ -261,15 +262,16 @@ def commit_history(
         return next(iter(versions(spark, path)[-1:]), -1)
     for _ in range(commits.ATTEMPTS):
         known, aside = versions(spark, path), commits.new_aside(path)
-        if known and out_of_order:
-            rows = _placed(spark, path, known, batch, cfg, run_date, aside)
-        elif known:
-            rows = H.changed_rows(read_open(spark, path), batch, cfg, run_date, **how)
-        else:
-            rows = H.merge(None, batch, cfg, run_date, out_of_order)
         version = known[-1] + 1 if known else 0
         target = f"{path.rstrip('/')}/{VERSION}={version}"
-        rows.write.mode("append").partitionBy(H.CURRENT).parquet(aside)
+        with scratch():
+            if known and out_of_order:
+                rows = _placed(spark, path, known, batch, cfg, run_date, aside)
+            elif known:
+                rows = H.changed_rows(read_open(spark, path), batch, cfg, run_date, **how)
+            else:
+                rows = H.merge(None, batch, cfg, run_date, out_of_order)
+            rows.write.mode("append").partitionBy(H.CURRENT).parquet(aside)
         if _exists(spark, target) and not _exists(spark, f"{target}/_SUCCESS"):
             # what a writer left that wrote in place and was lost
             commits.claim(spark, target, commits.new_aside(path))

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyfold.config import HistoryConfig
 from tallyfold.functions import text as X
 from tallyfold.operators import extract, filecheck
+from tallyfold.session import scratch
 from tallyfold.sources import sinks, tables
 
 
@@ -58,8 +59,9 @@ def ingest(stream: DataFrame, out: str, checkpoint: str, every: str | None = Non
     """
 
     def work(lines: DataFrame, batch: int) -> None:
-        checks = filecheck.check_lines(lines)
-        checks.write.mode("overwrite").parquet(f"{out}/checks/batch={batch}")
+        with scratch():
+            checks = filecheck.check_lines(lines)
+            checks.write.mode("overwrite").parquet(f"{out}/checks/batch={batch}")
         stored = lines.sparkSession.read.schema(checks.schema).parquet(f"{out}/checks/batch={batch}")
         recs = filecheck.routed(extract.records(lines), stored)
         sinks.write_routed(recs, f"{out}/records/batch={batch}", rebalance=True)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold.operators import extract, filecheck
+from tallyfold.session import scratch
 from tallyfold.sources import readers, sinks
 from tallyfold.streaming.arrivals import _start
 
@@ -90,8 +91,9 @@ def ingest_ledger(
 
     def work(files: DataFrame, batch: int) -> None:
         lines = delivered_lines(files.sparkSession, files, folder)
-        checks = filecheck.check_lines(lines)
-        checks.write.mode("overwrite").parquet(f"{out}/checks/batch={batch}")
+        with scratch():
+            checks = filecheck.check_lines(lines)
+            checks.write.mode("overwrite").parquet(f"{out}/checks/batch={batch}")
         stored = lines.sparkSession.read.schema(checks.schema).parquet(f"{out}/checks/batch={batch}")
         sinks.write_routed(filecheck.routed(extract.records(lines), stored), f"{out}/records/batch={batch}", rebalance=True)
 

@@ -185,3 +185,28 @@ def test_split_route_agrees_with_the_file_check(spark, lines, rows):
     by_split = rows(filecheck.check_split(extract.split_lines(recs)), "file", "rec_type", "status")
     assert by_split == rows(filecheck.check_lines(src), "file", "rec_type", "status")
     assert [r[2] for r in by_split] == ["fail", "fail", "pass", "fail"]
+
+
+def test_footers_in_one_table_say_what_two_said(spark, rows, lines):
+    src = lines(
+        good="9005|1\n9005|2\n9007|z\nT|9005~2|9006~1",
+        twice="9005|1\nT|9005~7\nT|9005~7",
+        differing="9005|1\nT|9005~1\nT|9005~2",
+        broken="9005|1\n9006|1\nT|9005~x|9006~1",
+        none="9005|1",
+    )
+    want = extract.with_declared(extract.records(src), extract.footer_totals(src), extract.flagged_files(src))
+    got = extract.with_footers(extract.records(src), extract.footers(src))
+    cells = ("file", "rec_type", "line", "declared")
+    assert rows(got, *cells) == rows(want, *cells) and len(rows(got)) == 8
+
+
+def test_scratch_tables_are_deleted(spark):
+    from tallyfold.session import materialise, scratch, shared_root
+    import os
+
+    with scratch() as made:
+        kept, gone = (materialise(spark.range(3), n) for n in ("kept", "gone"))
+        made.remove(kept)
+    assert kept.count() == 3 and not os.path.exists(gone.stored_at.removeprefix("file:"))
+    assert os.path.isdir(shared_root(spark).removeprefix("file:"))

@@ -53,7 +53,7 @@ def footer_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = lines(spark, sf_dir)
-    recs = extract.with_declared(extract.records(src), extract.footer_totals(src), extract.flagged_files(src))
+    recs = extract.with_footers(extract.records(src), extract.footers(src))
     return extract.split_lines(recs)
 
 
