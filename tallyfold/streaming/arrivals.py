@@ -17,19 +17,28 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyfold.config import HistoryConfig
 from tallyfold.functions import text as X
 from tallyfold.operators import extract, filecheck
+from tallyfold.operators.history import LOADED, newest
 from tallyfold.session import scratch
-from tallyfold.sources import sinks, tables
+from tallyfold.sources import commits, sinks, tables
 
 
 def line_stream(
-    spark: SparkSession, path: str, files_per_batch: int | None = None, folder: str | None = None
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    folder: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """(file, value) of arriving extracts.
 
     A file is one extract. With `folder` all files below a <folder>=<name>
-    directory are; they must then arrive together and be taken in one batch.
+    directory are; they must then arrive together and be taken in one batch
+    (`assembly` takes them in parts). Files that were taken are moved below
+    `archive`, if given, once a later batch has begun.
     """
     reader = spark.readStream.option("recursiveFileLookup", "true")
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     name = F.col("_metadata.file_path")
@@ -94,6 +103,50 @@ def log_arrivals(spark: SparkSession, path: str, out: str, checkpoint: str, ever
     return log.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+#: Changed rows of keyed upserts, a folder for each micro-batch.
+CHANGED = "changed"
+
+
+def upsert_changes(
+    stream: DataFrame, table: str, cfg: HistoryConfig, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """The newest row of each key and load date, kept in the state of the stream.
+
+    A micro-batch writes only the rows that it changed, to changed/batch=<n>, so
+    what is written follows the batch and not the dates it touches. `latest` reads
+    the table, `fold` turns what has been written into an append history. State is
+    a row for each key and date: with many, the session should use the state store
+    on RocksDB.
+    """
+    identity = [LOADED, *[k for k in cfg.primary_keys if k != LOADED]]
+    order = F.struct(*[F.col(c) for c in (cfg.batch_date, *cfg.tie_breakers)])
+    row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    best = stream.groupBy(*identity).agg(F.max_by(row, order).alias("row")).select("row.*")
+
+    def work(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{table}/{CHANGED}/batch={batch}")
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = best.writeStream.outputMode("update").foreachBatch(work)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def latest(spark: SparkSession, table: str, cfg: HistoryConfig, after: int = -1) -> DataFrame:
+    """The rows as the last micro-batch left them; of those after a batch only, if given."""
+    identity = [LOADED, *[k for k in cfg.primary_keys if k != LOADED]]
+    changed = spark.read.option("mergeSchema", "true").parquet(f"{table}/{CHANGED}").where(F.col("batch") > after)
+    return newest(changed, identity, ["batch"]).drop("batch")
+
+
+def fold(spark: SparkSession, table: str, history: str, cfg: HistoryConfig, after: int = -1) -> int:
+    """Bring the rows that changed after a micro-batch into an append history; returns the last one, to go on from."""
+    last = [int(n.split("=")[1]) for n in commits.children(spark, f"{table}/{CHANGED}") if n.startswith("batch=")]
+    if last and max(last) > after:
+        tables.upsert_append(spark, history, latest(spark, table, cfg, after), cfg)
+        return max(last)
+    return after
+
+
 def upsert_arrivals(
     stream: DataFrame, table: str, cfg: HistoryConfig, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tallyfold import config as C
 from tallyfold.functions import text as X
 from tallyfold.operators import extract
 from tallyfold.operators import history as H
-from tallyfold.plans import batch
+from tallyfold.plans import batch, ledger
 from tallyfold.session import new_folder
 from tallyfold.sources import catalog, readers, sinks, tables
 from tallyfold.streaming import arrivals, assembly, deliveries
@@ -101,6 +102,32 @@ def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.read_table(spark, db, name)
 
 
+def catalog_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three layouts below one folder, found twice: the second time columns got wider and partitions were added."""
+    root, db = new_folder(spark, "crawled"), "tallyfold_crawl_" + uuid.uuid4().hex[:8]
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    text = lambda c: F.col(c).cast("string")
+    changes = []
+    for half in range(2):
+        key = text("o_orderkey") if half == 0 else F.concat(text("o_orderkey"), F.lit("000000000"))
+        price = text("o_custkey") if half == 0 else F.concat(text("o_custkey"), F.lit(".5"))
+        lines = orders.where(F.col("o_orderkey") % 2 == half)
+        lines.select(F.concat_ws("|", key, price, F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderstatus")).write.mode("append").text(f"{root}/daily/orders")
+        mine = customers.where((F.col("c_mktsegment") < "C") == (half == 0)).select("c_custkey", "c_name", "c_mktsegment")
+        mine.write.mode("append").partitionBy("c_mktsegment").parquet(f"{root}/customers")
+        if half == 0:
+            table(spark, sf_dir, "supplier").select(F.concat_ws("|", text("s_suppkey"), "s_name")).write.text(f"{root}/suppliers")
+        changes.append(catalog.crawl(spark, db, root).withColumn("round", F.lit(half)))
+    found = [
+        catalog.read_table(spark, db, t).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(t).alias("table"), F.lit(", ".join(k for _, k in catalog.read_table(spark, db, t).dtypes)).alias("types"), "n_rows"
+        )
+        for t in ("daily_orders", "customers", "suppliers")
+    ]
+    report = reduce(DataFrame.unionByName, changes).groupBy("table").agg(F.max_by("change", "round").alias("change"))
+    return reduce(DataFrame.unionByName, found).join(report, "table")
+
+
 def catalog_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.read_table(spark, *_customer_table(spark, sf_dir))
 
@@ -341,12 +368,42 @@ def malformed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sound.unionByName(bad.select(F.get(F.split("line", r"\|", -1), F.lit(1)).alias("key"), "reason"))
 
 
+def stream_upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upserts from the state of the stream, then folded into an append history in two steps."""
+    root = new_folder(spark, "stream_state")
+    events = table(spark, sf_dir, "events").withColumn("dt", F.col("ts").cast("date"))
+    cfg, last = C.HistoryConfig("events", ("user_id",), "ts", tie_breakers=("event_id",)), -1
+    for half in range(2):
+        mine = events.where(F.col("event_id") % 2 == half)
+        mine.repartition(3).write.option("maxRecordsPerFile", KEYS_PER_STEP).mode("append").parquet(f"{root}/arrivals")
+        stream = arrivals.parquet_stream(spark, f"{root}/arrivals", events.schema, 2)
+        _finish(arrivals.upsert_changes(stream, f"{root}/table", cfg, f"{root}/checkpoint"))
+        last = arrivals.fold(spark, f"{root}/table", f"{root}/history", cfg, last)
+    return tables.read_append(spark, f"{root}/history").select("dt", "user_id", "event_id", "event_type", "value")
+
+
+def checked_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts that land on two days: each is checked by one run and moved away; what each run took and what is left."""
+    root = new_folder(spark, "ledger")
+    landed, ledger_path = f"{root}/landing", f"{root}/ledger"
+    rows = all_lines(spark, sf_dir).withColumn("file", extract_name(F.col("extract")))
+    for run, of_run in (("1", F.col("extract") % 4 < 2), ("2", F.col("extract") % 4 >= 2)):
+        mine = rows.where(of_run).select("file", "value").hint("rebalance", "file")
+        mine.write.mode("append").partitionBy("file").text(landed)
+        ledger.check_new(spark, landed, f"{root}/out", ledger_path, f"{root}/archive", "file", run)
+    routed = ledger.records(spark, f"{root}/out", ledger_path).groupBy("file", F.col("run").cast("string").alias("run"))
+    found = ledger.entries(spark, ledger_path).join(routed.agg(F.count(F.lit(1)).alias("routed")), ["file", "run"])
+    left = len(ledger.pending(spark, landed, f"{root}/none", "file"))
+    return found.select("file", "run", "status", "n_records", "routed", F.lit(left).alias("n_left"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         scalar_functions,
         missing_input,
         catalog_register,
+        catalog_crawl,
         catalog_read,
         catalog_sql,
         stream_ingest,
@@ -354,12 +411,18 @@ QUERIES = {
         stream_deliveries,
         arrival_log,
         stream_upsert,
+        stream_upsert_state,
+        checked_once,
         whole_batch,
         batch_from_configs,
         malformed_records,
     )
 }
 
+_NEWEST_EVENTS = """
+    SELECT CAST(ts AS DATE) AS dt, user_id, event_id, event_type, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY ts DESC, event_id DESC) = 1"""
+
 _CONFIGURED = """
     WITH o AS (
       SELECT *, o_orderkey % 11 = 0 AS broken, o_orderkey % 13 = 0 AS short, o_orderkey % 7 = 0 AS no_day FROM orders
@@ -418,6 +481,10 @@ ORACLE = {
     "missing_input": "SELECT o_orderkey, 0 AS folder, 1 AS n_present FROM orders",
     "catalog_register": """
         SELECT CAST(o_orderkey AS INTEGER) AS _c0, CAST(o_custkey AS INTEGER) AS _c1, o_orderstatus AS _c2 FROM orders""",
+    "catalog_crawl": """
+        SELECT 'daily_orders' AS "table", 'bigint, double, date, string' AS types, count(*) AS n_rows, 'changed' AS change FROM orders
+        UNION ALL SELECT 'customers', 'bigint, string, string', count(*), 'grown' FROM customer
+        UNION ALL SELECT 'suppliers', 'int, string', count(*), 'same' FROM supplier""",
     "catalog_read": "SELECT * FROM customer",
     "catalog_sql": """
         SELECT n_name, c_mktsegment, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -454,6 +521,13 @@ ORACLE = {
         UNION ALL SELECT 'wide', rec_type, count(DISTINCT split_part(line, '|', 3) || '|' || split_part(line, '|', 5))
                   FROM passed WHERE rec_type = '9005' GROUP BY ALL"""
     ),
+    "checked_once": with_lines(
+        """SELECT file, CASE WHEN CAST(split_part(file, '_', 2) AS BIGINT) % 4 < 2 THEN '1' ELSE '2' END AS run,
+                  CASE WHEN count(*) FILTER (status = 'fail') > 0 THEN 'fail' ELSE 'pass' END AS status,
+                  CAST(sum(actual) AS BIGINT) AS n_records, CAST(sum(actual) AS BIGINT) AS routed, 0 AS n_left
+           FROM checked GROUP BY file"""
+    ),
+    "stream_upsert_state": _NEWEST_EVENTS,
     "stream_upsert": """
         SELECT CAST(ts AS DATE) AS dt, user_id, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY ts DESC, event_id DESC) = 1""",
