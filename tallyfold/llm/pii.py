@@ -3,8 +3,8 @@
 Four kinds are found on the text itself. Then a chain of transducers rewrites
 the text and keeps, for every character it writes, the range of source
 characters it came from: homoglyphs, other scripts' digits and zero-width
-characters; at and dot in brackets or between spaces; digits spelled out. The
-same detectors run on the rewritten text. A span that holds something rewritten
+characters; at and dot in brackets, between spaces or underscores; dots set
+apart between digits; digits spelled out in four languages. The same detectors run on the rewritten text. A span that holds something rewritten
 is mapped back to the source and added, unless it overlaps one of its kind that
 was found on the text itself; those always stay.
 
@@ -40,10 +40,18 @@ HOMOGLYPHS = {
     "\u00a0": " ", "\u2009": " ", "\u202f": " ", "\u3000": " ",
 }
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+# Digits as words, in English, German, Spanish and French.
 SPELLED = {
     "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4",
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4",
+    "fünf": "5", "fuenf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4",
+    "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4",
+    "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
 }
+PLUS = ("plus", "mas", "más")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL_END = re.compile(r"[^A-Za-z0-9._%+-]")
@@ -162,14 +170,18 @@ def _plain(m: re.Match[str]) -> str | None:
 
 
 _FOREIGN = re.compile(r"[^\x00-\x7f]")
-_BRACKET_AT = re.compile(r"(?i)\s*[\[({<]\s*(?:at|arroba)\s*[\])}>]\s*")
-_BRACKET_DOT = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|punto|point|punkt)\s*[\])}>]\s*")
+# a run of white space is tried from its beginning alone, so that a long one is read once
+_BRACKET_AT = re.compile(r"(?i)(?<!\s)\s*+[\[({<]\s*+(?:at|arroba|arobase)\s*+[\])}>]\s*")
+_BRACKET_DOT = re.compile(r"(?i)(?<!\s)\s*+[\[({<]\s*+(?:dot|punto|point|punkt)\s*+[\])}>]\s*")
 _NAME = r"[A-Za-z0-9-]+"
 _BARE_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9])\s+at\s+(?=({_NAME}(?:(?:\.|\s+dot\s+){_NAME})+))")
 _BARE_DOT = re.compile(r"(?i)(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])")
+_JOINED_AT = re.compile(r"(?i)(?<=[A-Za-z0-9])_at_(?=[A-Za-z0-9-]+(?:(?:_dot_|\.)[A-Za-z0-9-]+)*_dot_[A-Za-z0-9-]+)")
+_JOINED_DOT = re.compile(r"(?i)(?<=[A-Za-z0-9])_dot_(?=[A-Za-z0-9])")
+_SPACED_DOT = re.compile(r"(?<=[0-9])\s++\.\s++(?=[0-9])")
 _NUMBER = rf"(?:{'|'.join(SPELLED)}|[0-9]+)"
-_NUMBERS = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:plus\s+)?{_NUMBER}(?:(?:\s+|-|\.){_NUMBER})+(?![A-Za-z0-9])")
-_NUMBER_WORD = re.compile(r"(?i)[a-z]+|[0-9]+|\.")
+_NUMBERS = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:(?:plus|m[aá]s)\s+)?{_NUMBER}(?:(?:\s+|-|\.){_NUMBER})+(?![A-Za-z0-9])")
+_NUMBER_WORD = re.compile(r"[^\W\d_]+|[0-9]+|\.")
 
 
 def _disguised(source: str, out: Rewritten, start: int, end: int) -> bool:
@@ -187,7 +199,10 @@ def rewritten(text: str) -> Rewritten:
     out.apply(_BRACKET_DOT, lambda m: ".")
     out.apply(_BARE_AT, lambda m: "@" if _disguised(text, out, *m.span(1)) else None)
     out.apply(_BARE_DOT, lambda m: ".")
-    out.spell(_NUMBERS, _NUMBER_WORD, lambda w: "+" if w.lower() == "plus" else SPELLED.get(w.lower(), w))
+    out.apply(_JOINED_AT, lambda m: "@")
+    out.apply(_JOINED_DOT, lambda m: ".")
+    out.apply(_SPACED_DOT, lambda m: ".")
+    out.spell(_NUMBERS, _NUMBER_WORD, lambda w: "+" if w.lower() in PLUS else SPELLED.get(w.lower(), w))
     return out
 
 
@@ -223,20 +238,22 @@ _SIGN[0xCE:0xF5] = True
 
 
 def _number_words() -> trees.Index:
-    data = np.frombuffer("".join(SPELLED).encode(), np.uint8)
-    ends = np.cumsum([len(w) for w in SPELLED])
+    """Runs of ASCII letters that digit words are made of; one with an accent is made of two."""
+    runs = sorted({run for w in SPELLED for run in re.findall("[a-z]+", w)})
+    data = np.frombuffer("".join(runs).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in runs])
     return trees.Index(texts.hashes(data, np.concatenate([[0], ends[:-1]]), ends))
 
 
 def _bracketed(low: np.ndarray) -> np.ndarray:
     """Opening brackets before a short run of bytes, white space aside, that begins like a word for at or dot and is closed."""
     solid = np.flatnonzero(~_BLANK[low])
-    # "at" takes two bytes, "arroba", and "point" with a dotless i, six
-    there = np.append(low[solid], np.zeros(8, np.uint8))
+    # "at" takes two bytes, "arobase" seven
+    there = np.append(low[solid], np.zeros(9, np.uint8))
     at = np.flatnonzero(_OPENING[there])
     at = at[_FIRST[there[at + 1]]]
     closed = np.zeros(len(at), bool)
-    for size in range(2, 7):
+    for size in range(2, 8):
         closed |= _CLOSING[there[at + 1 + size]]
     return solid[at[closed]]
 

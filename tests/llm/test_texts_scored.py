@@ -3,10 +3,12 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyfold.llm import language, mixing, pii, pitman_yor, quality, queries, toxicity, urls
@@ -369,3 +371,34 @@ def test_language_of_odd_rows(spark, odd_docs):
     assert out[5].lang_pred == "de" and out[7].lang_pred == "fr"
     assert language.train(odd_docs.limit(0)) == ([], None)
     assert {r.lang_pred for r in language.identify(odd_docs, [], None).collect()} == {"und"}
+
+
+@pytest.mark.parametrize(
+    "text, kind, found",
+    [
+        ("an john_at_example_dot_com gesandt", "email", "john_at_example_dot_com"),
+        ("a_b_at_mail.example_dot_org!", "email", "a_b_at_mail.example_dot_org"),
+        ("host 192 . 168 . 1 . 10 is down", "ip", "192 . 168 . 1 . 10"),
+        ("ruf plus vier neun eins fünf eins zwei drei vier FÜNF sechs sieben an", "phone", "plus vier neun eins fünf eins zwei drei vier FÜNF sechs sieben"),
+        ("llama más tres cuatro nueve uno dos tres cuatro cinco seis siete ya", "phone", "más tres cuatro nueve uno dos tres cuatro cinco seis siete"),
+        ("appel plus trois trois un deux trois quatre cinq six sept huit neuf.", "phone", "plus trois trois un deux trois quatre cinq six sept huit neuf"),
+        ("scrivez juan [arobase] ejemplo (punto) com", "email", "juan [arobase] ejemplo (punto) com"),
+    ],
+)
+def test_disguises_of_four_languages(text, kind, found):
+    at = text.index(found)
+    assert pii.spans_of(text) == [(kind, at, at + len(found), True)]
+    assert pii.suspects(pa.array([text])).all()
+
+
+def test_long_runs_are_read_once():
+    """Work grows with the text, whatever is repeated in it."""
+    runs = ["a 1{}b", "x at y{}z", "one{}two", "x at y {}"]
+    repeated = [" ", "\n", "one ", "plus ", "[ ", "( at", "1 . ", "a_at_", "dot ", "x at y dot "]
+    for text in [r.format(part * (200_000 // len(part))) for r in runs for part in repeated]:
+        start = time.perf_counter()
+        pii.spans_of(text)
+        assert time.perf_counter() - start < 10, text[:20]
+    start = time.perf_counter()
+    assert pii.spans_of("a 1" + " " * 1_000_000 + "b") == []
+    assert time.perf_counter() - start < 10
