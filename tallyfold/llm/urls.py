@@ -94,10 +94,11 @@ def train(
 ) -> Ratio | None:
     """Models from about `per_verdict` URLs of each verdict, picked by the hash of their key; fewer give all.
 
-    One in `held` of the picked ones is kept for calibration: their differences
-    are put in bins of a thousandth, and the threshold is the cut half way
-    between two bins at which the mean of the two error rates is least, the one
-    nearest to 0 if several are. Without URLs of either verdict there is no ratio.
+    One in `held` of the picked ones is not learned from. All URLs with a verdict
+    that the models have not seen calibrate the threshold: their differences are
+    put in bins of a thousandth, and the threshold is the cut half way between two
+    bins at which the mean of the two error rates is least, the one nearest to 0 if
+    several are. Without URLs of either verdict there is no ratio.
     """
     steps = 1 << 24
     rows = df.where(F.col(verdict).isin("allow", "block") & F.col(text).isNotNull())
@@ -107,15 +108,16 @@ def train(
     share = {k: int(min(1, per_verdict / n) * steps) for k, n in sizes.items()}
     spot = F.pmod(F.xxhash64(key), F.lit(steps))
     allowed = F.col(verdict) == "allow"
-    picked = rows.where(spot < F.when(allowed, share["allow"]).otherwise(share["block"]))
-    picked = picked.select(F.col(text).alias("text"), allowed.cast("int").alias("model"), (spot % held == 0).alias("held"))
+    picked = spot < F.when(allowed, share["allow"]).otherwise(share["block"])
+    seen = F.coalesce(picked & (spot % held != 0), F.lit(False))
+    rows = rows.select(F.col(text).alias("text"), allowed.cast("int").alias("model"), seen.alias("seen"))
     count = trees.counted(lambda b: (b.column(0), b.column(1).to_numpy(zero_copy_only=False)), order, fold=False)
-    counts = picked.where(~F.col("held")).select("text", "model").mapInArrow(count, "model int, gram long, n long")
+    counts = rows.where("seen").select("text", "model").mapInArrow(count, "model int, gram long, n long")
     keys, n = trees.collected(counts.groupBy("model", "gram").agg(F.sum("n").alias("n")), 2)
     if not len(keys) or not n.sum(axis=0).all():
         return None
     tree = trees.fit(keys, n, order, interpolate=True)
-    bins = scored(picked.where("held"), tree, "text", "score")
+    bins = scored(rows.where("NOT seen"), tree, "text", "score")
     bins = bins.groupBy(F.floor(F.col("score") * 1000).cast("int").alias("bin"), "model").count().toPandas()
     if bins["model"].nunique() < 2:
         return Ratio(tree, 0.0)
