@@ -262,10 +262,17 @@ def train(
     rounds: int = 4,
     ridge: float = 1.0,
     seed: int = 3,
+    hard: int = 4000,
+    common: int = 2000,
+    others: int = 14000,
+    votes_at_most: int = 20,
 ) -> Machine:
     """A machine learned from about so many whole texts of either label, picked by the hash of their key.
 
-    Fewer give all. Rows without label are left out and null texts are empty.
+    Of the units of the sampled clean texts a round learns from the `hard` ones
+    that score highest, the `common` ones that most texts hold, and `others` drawn
+    at random; a toxic unit counts `votes_at_most` times at most, however many
+    texts it is the witness of. Fewer give all. Rows without label are left out and null texts are empty.
     Without texts of both labels every text scores the share of label 1, or 0.5
     without any. Reruns over the same rows agree.
     """
@@ -299,19 +306,19 @@ def train(
         witness = (score[held] >= limit) | ((score[held] >= floor) & (in_clean[held] == 0))
         votes = np.bincount(held[witness], minlength=len(types)).astype(float)
         positive = np.flatnonzero(votes > 0)
-        hard = clean_types[np.argsort(-score[clean_types], kind="stable")[:4000]]
-        common = clean_types[np.argsort(-in_clean[clean_types], kind="stable")[:2000]]
-        other = rng.choice(clean_types, min(14000, len(clean_types)), replace=False)
-        negative = np.setdiff1d(np.concatenate([hard, common, other]), positive[in_clean[positive] * 5 < in_toxic[positive]])
+        highest = clean_types[np.argsort(-score[clean_types], kind="stable")[:hard]]
+        frequent = clean_types[np.argsort(-in_clean[clean_types], kind="stable")[:common]]
+        drawn = rng.choice(clean_types, min(others, len(clean_types)), replace=False)
+        negative = np.setdiff1d(np.concatenate([highest, frequent, drawn]), positive[in_clean[positive] * 5 < in_toxic[positive]])
         positive = np.setdiff1d(positive, negative)
         if not len(positive):
             break
         half = landmarks // 2
         marks = positive[np.argsort(-votes[positive], kind="stable")[:half]]
-        marks = np.concatenate([marks, hard[: half // 2], rng.choice(negative, min(half // 2, len(negative)), replace=False)])
+        marks = np.concatenate([marks, highest[: half // 2], rng.choice(negative, min(half // 2, len(negative)), replace=False)])
         chosen = np.concatenate([positive, negative])
         sign = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-        weight = np.concatenate([np.minimum(votes[positive], 20), np.ones(len(negative))])
+        weight = np.concatenate([np.minimum(votes[positive], votes_at_most), np.ones(len(negative))])
         weight[: len(positive)] *= len(negative) / max(1.0, weight[: len(positive)].sum()) / 4
         units_of = lambda at: Units.of([types[i] for i in at])
         table, bias = nystroem(units_of(np.unique(marks)), units_of(chosen), sign, weight, ridge)
