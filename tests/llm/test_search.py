@@ -174,3 +174,45 @@ def test_top_k_of_odd_rows(spark):
     assert got == _brute_top(ok, 7, 20)
     assert topk.top(df.limit(0)).count() == 0
     assert topk.top(df.where("vec_id = 20")).count() == 0
+
+
+def _leaks(spark, docs, items):
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {tuple(r)[:2] for r in decontaminate.leaks(docs, bench).collect()}
+    left = {r.doc_id for r in decontaminate.drop_leaks(docs, bench).collect()}
+    assert left == {d for d, _ in docs.collect()} - {d for d, _ in found}
+    return found
+
+
+def test_short_items_and_scripts_without_spaces_are_exact(spark):
+    items = [(1, "one two three four five six"), (2, "a b c d"), (3, "この文章は評価用の問題文であり漏れてはならない"), (4, "五文字です")]
+    docs = [
+        (1, "x, One two-three four FIVE six. y"),
+        (2, "one two three four other five six"),
+        (3, "a b c d a b c d"),
+        (4, "前置き。この文章は評価用の問題文であり漏れてはならない。後"),
+        (5, "この文章は別のもので関係がありません"),
+        (6, "これは五文字です。"),
+    ]
+    assert _leaks(spark, docs, items) == {(1, 1), (4, 3), (6, 4)}
+
+
+def test_a_very_long_text_is_cut_into_chunks(spark, monkeypatch):
+    passage = " ".join(f"p{i}" for i in range(30))
+    for at in (0, 4090, 4095, 4096, 8180):
+        long = " ".join(f"w{i}" for i in range(at)) + " " + passage + " " + " ".join(f"v{i}" for i in range(9000))
+        assert _leaks(spark, [(1, long), (2, "w1 w2 w3")], [(7, passage)]) == {(1, 7)}
+
+
+def test_a_shared_instruction_is_compared_once_for_each_document(spark, monkeypatch):
+    shared = " ".join(f"s{i}" for i in range(13))
+    n = 300
+    docs = spark.createDataFrame([(i, f"{shared} " + " ".join(f"d{i}x{j}" for j in range(20))) for i in range(n)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, f"{shared} " + " ".join(f"b{i}x{j}" for j in range(20))) for i in range(n)], "item_id long, text string")
+    seen = []
+    real = decontaminate._diagonals
+    monkeypatch.setattr(decontaminate, "_diagonals", lambda hits: (out := real(hits), seen.append(out.count()))[0])
+    assert decontaminate.drop_leaks(docs, bench).count() == 0
+    assert sum(seen) <= 4 * n
+    assert decontaminate.leaks(docs, bench.limit(2)).count() == 2 * n
