@@ -12,7 +12,9 @@ query visits cells in the order of that bound, starting with the score that the
 sample guarantees, and stops when the bound falls below its k-th best score.
 Within a cell all inner products are computed, exactly.
 
-Queries and candidates meet in blocks of bounded size; a task holds one of each.
+Queries and candidates are dealt into blocks of neighbours of bounded size. The
+spans of both blocks' distances bound all their products at once, so that only
+blocks that can hold a result are brought together; a task holds one of each.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.llm.inputs import sent as sent_side
 from tallyfold.session import materialise
 
 PIVOTS = 32
@@ -34,17 +38,25 @@ BLOCK = 2048
 CELL = 128
 
 
-def scaled(column: pa.Array, factor: float) -> list[bytes | None]:
-    """floor(factor * x) of each component as 64-bit integers; None for vectors that are null or hold null or no finite number."""
-    out: list[bytes | None] = []
-    for vector in column:
-        values = vector.values if vector.is_valid else None
-        if values is None or values.null_count:
-            out.append(None)
-            continue
-        x = values.to_numpy(zero_copy_only=False).astype(np.float64)
-        out.append(np.floor(factor * x).astype(np.int64).tobytes() if np.isfinite(x).all() else None)
-    return out
+def scaled(column: pa.Array, factor: float) -> pa.Array:
+    """floor(factor * x) of each component as packed 64-bit integers; null for vectors that are null or hold null or no finite number.
+
+    Components whose product is beyond 64 bits are the largest or smallest number that is not.
+    """
+    lists = column.cast(pa.large_list(pa.float64()))
+    flat = lists.flatten()
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    x = pc.fill_null(flat, np.nan).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    bad = np.concatenate([[0], np.cumsum(~np.isfinite(x))])
+    sound = np.asarray(lists.is_valid()) & (bad[ends[1:]] == bad[ends[:-1]])
+    with np.errstate(over="ignore", invalid="ignore"):
+        big = np.floor(factor * x)
+    whole = np.where(np.abs(big) < 2.0**63, np.nan_to_num(big, nan=0, posinf=0, neginf=0), 0).astype(np.int64)
+    whole[big >= 2.0**63] = np.iinfo(np.int64).max
+    whole[big <= -(2.0**63)] = np.iinfo(np.int64).min
+    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(8 * ends), pa.py_buffer(whole)])
+    return pc.if_else(pa.array(sound), packed.cast(pa.binary()), pa.scalar(None, pa.binary()))
 
 
 def matrix(packed: pd.Series | list[bytes], width: int) -> np.ndarray:
@@ -132,6 +144,54 @@ class Cells:
         return ids, scores
 
 
+def spans(rows: DataFrame, block: str, sent: Broadcast, width: int) -> DataFrame:
+    """(block, pivot, low, high, square, least): by pivot, what the distances of a block's vectors span.
+
+    square is the largest squared length in the block, least the lowest of its rows' `least`.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots = sent.value[0]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                x = matrix(part.column(1).to_pylist(), width)
+                table = _distances(x, pivots)
+                squares = (x.astype(np.float64) ** 2).sum(axis=1)
+                names, of = np.unique(part.column(0).to_numpy(zero_copy_only=False), return_inverse=True)
+                order = np.argsort(of, kind="stable")
+                first = np.searchsorted(of[order], np.arange(len(names)))
+                over = lambda f, values: f.reduceat(values[order], first)
+                low, high = over(np.minimum, table), over(np.maximum, table)
+                yield pa.record_batch(
+                    {
+                        "block": pa.array(np.repeat(names, len(pivots)), pa.string()),
+                        "pivot": np.tile(np.arange(len(pivots)), len(names)),
+                        "low": low.ravel(),
+                        "high": high.ravel(),
+                        "square": np.repeat(over(np.maximum, squares), len(pivots)),
+                        "least": np.repeat(over(np.minimum, part.column(2).to_numpy()), len(pivots)),
+                    }
+                )
+
+    kind = "block string, pivot long, low double, high double, square double, least long"
+    found = rows.select(block, "v", "least").mapInArrow(run, kind).groupBy("block", "pivot")
+    ends = (F.min("low").alias("low"), F.max("high").alias("high"), F.max("square").alias("square"), F.min("least").alias("least"))
+    return materialise(found.agg(*ends), "topk-spans")
+
+
+def meeting(candidates: DataFrame, queries: DataFrame) -> DataFrame:
+    """(part, block): candidate and query blocks whose bound reaches the least score that a query of the block needs."""
+    c = candidates.select(F.col("block").alias("part"), "pivot", "low", "high", "square")
+    q = queries.select("block", "pivot", *[F.col(x).alias(f"q_{x}") for x in ("low", "high", "square", "least")])
+    away = F.greatest(F.col("low") - F.col("q_high"), F.col("q_low") - F.col("high"), F.lit(0.0))
+    pairs = c.join(q, "pivot").groupBy("part", "block")
+    pairs = pairs.agg(F.max(away).alias("away"), F.max(F.col("square") + F.col("q_square")).alias("squares"), F.min("q_least").alias("least"))
+    # distances are rounded: the slack covers it many times over
+    bound = (F.col("squares") - F.col("away") ** 2) / 2 + 1e-6 * (F.col("squares") + 1)
+    return pairs.where(bound >= F.col("least")).select("part", "block")
+
+
 def top(
     df: DataFrame,
     k: int = 20,
@@ -143,8 +203,8 @@ def top(
     """(query_id, rank, key, score) of the k best candidates of each query, all if there are fewer.
 
     Queries are the rows whose key is divisible by `every`; candidates are all
-    rows but the query's own. Scores are inner products of floor(factor * x);
-    ties go to the smaller key. Vectors that are null, or hold null or a number
+    rows but the query's own. Scores are inner products of floor(factor * x); ties
+    go to the smaller key; sums beyond 64 bits are not exact. Vectors that are null, or hold null or a number
     that is not finite, and rows without key take no part. Vectors of different
     lengths are compared as if the shorter ended in zeros.
     """
@@ -156,7 +216,7 @@ def top(
         for batch in batches:
             rows = pa.array(first + np.arange(batch.num_rows))
             first += batch.num_rows
-            packed = pa.array(scaled(batch.column(1), factor), pa.binary())
+            packed = scaled(batch.column(1), factor)
             out = pa.RecordBatch.from_arrays([rows, batch.column(0), packed], names=["row", "id", "v"])
             yield out.filter(packed.is_valid())
 
@@ -188,20 +248,24 @@ def top(
 
     placed = stored.mapInArrow(place, "row long, id long, v binary, cell long, least long")
     placed = materialise(placed, "topk-placed")
-    # candidate blocks are parts of a pivot's neighbourhood, query blocks any queries
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("parts"))
-    candidates = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
-    asked = placed.where(F.col("id") % every == 0)
-    blocks = -(-asked.count() // BLOCK)
-    if not blocks:
+    # blocks are parts of a pivot's neighbourhood, of queries as of candidates
+    is_query = F.col("id") % every == 0
+    sizes = placed.groupBy("cell").agg(
+        F.ceil(F.count("*") / BLOCK).cast("long").alias("parts"),
+        F.ceil(F.count_if(is_query) / BLOCK).cast("long").alias("q_parts"),
+    )
+    dealt = placed.join(sent_side(sizes), "cell")
+    spot = F.pmod(F.xxhash64("row"), F.col("parts"))
+    candidates = dealt.withColumn("part", F.concat_ws(":", "cell", spot))
+    spot = F.pmod(F.xxhash64("row"), F.col("q_parts"))
+    queries = dealt.where(is_query).withColumn("block", F.concat_ws(":", "cell", spot))
+    if queries.isEmpty():
         return spark.createDataFrame([], f"query_id long, rank int, {key} long, score long")
-    queries = asked.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)))
-    parts = sizes.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    grid = parts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    by = ("block", "cell", "part")
-    left = candidates.select("row", "id", "v", "cell", "part").join(grid, ["cell", "part"])
+    grid = materialise(meeting(spans(candidates, "part", sent, width), spans(queries, "block", sent, width)), "topk-grid")
+    by = ("block", "part")
+    left = candidates.select("row", "id", "v", "part").join(sent_side(grid), "part")
     right = queries.select(*[F.col(c).alias(c) for c in ("row", "id", "v", "least", "block")])
-    right = right.join(grid.select(*[F.col(c).alias(c) for c in by]), "block")
+    right = right.join(sent_side(grid).select(*[F.col(c).alias(c) for c in by]), "block")
 
     def meet(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         pivots = sent.value[0]

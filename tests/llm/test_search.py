@@ -216,3 +216,29 @@ def test_a_shared_instruction_is_compared_once_for_each_document(spark, monkeypa
     assert decontaminate.drop_leaks(docs, bench).count() == 0
     assert sum(seen) <= 4 * n
     assert decontaminate.leaks(docs, bench.limit(2)).count() == 2 * n
+
+
+def test_blocks_that_cannot_win_are_not_brought_together(spark, monkeypatch):
+    """Clusters far apart: a query block meets the candidates of its own cluster alone, and the result is whole."""
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    rng = np.random.default_rng(2)
+    centres = np.eye(8) * 10
+    rows = [(i, (centres[i % 8] + rng.normal(0, 0.05, 8)).tolist()) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    kept = []
+    real = topk.meeting
+    monkeypatch.setattr(topk, "meeting", lambda c, q: (out := real(c, q), kept.append((out.count(), c.select("block").distinct().count() * q.select("block").distinct().count())))[0])
+    got = sorted(tuple(r) for r in topk.top(df, k=5).collect())
+    assert got == _brute_top([(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows], 5, 20)
+    met, pairs = kept[0]
+    assert met < pairs / 3
+
+
+def test_numbers_beyond_64_bits_are_the_largest(spark):
+    import pyarrow as pa
+
+    column = pa.array([[1e30, -1e30, 0.5], [2.0**57, -(2.0**57), -0.01], None, [None, 1.0], [float("nan")], [], [float("inf")]])
+    got = [None if v is None else np.frombuffer(v, np.int64).tolist() for v in topk.scaled(column, 64.0).to_pylist()]
+    top = 2**63 - 1
+    assert got == [[top, -top - 1, 32], [top, -top - 1, -1], None, None, None, [], None]
+    assert topk.scaled(column.slice(1, 2), 64.0).to_pylist()[1] is None
