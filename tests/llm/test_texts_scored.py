@@ -265,6 +265,75 @@ def test_language_model_of_odd_rows(spark, odd_docs, small_model):
     assert all(r.n_known == 0 and math.isfinite(r.score) for r in pitman_yor.score(odd_docs, *empty).collect())
 
 
+LM_DOCS = ["a b a b c", "a b rare words here", "b a c a", None, "the a the b once", "a  b\n", "rare a again", "Äpfel b a"] * 5
+
+
+def _lm_hash(word):
+    raw = np.frombuffer(word, np.uint8)
+    return pitman_yor.texts.hashes(raw, np.array([0]), np.array([len(raw)]))
+
+
+def _plain_score(text, model, rare):
+    """Token by token: what the restaurant of the word before serves, and what it leaves to all words and to spelling."""
+    n_words, samples = len(model.word_counts), model.own.shape[1]
+    tokens = [w.lower().encode() if w.isascii() else w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    tokens, total, before = [*(bytes(pitman_yor.texts.LOWER[np.frombuffer(w, np.uint8)]) for w in tokens), None], 0.0, -2
+    raw = b"".join(w + b" " for w in tokens[:-1]) + b"\x01"
+    block = pitman_yor.texts.Block(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), np.array([0]), np.array([0]))
+    bytes_of, at_byte = model.tree.log_probs(pitman_yor.trees.grams(block, pitman_yor.ORDER)).astype(float), 0
+    for w in tokens:
+        i = n_words if w is None else int(model.words.find(_lm_hash(w))[0])
+        size = 1 if w is None else len(w) + 1
+        spelled = np.exp(bytes_of[at_byte : at_byte + size].sum(axis=0))
+        at_byte += size
+        key = None if w is None else int(_lm_hash(w).astype(np.int64)[0])
+        if i >= 0:
+            below = model.own[i] + model.escape * spelled
+        elif key in rare:
+            below = np.array([rare[key][f"p{s}"] for s in range(samples)]) + model.escape * spelled
+        else:
+            below = model.escape * spelled
+        at = model.contexts if before == -2 else before if 0 <= before < model.contexts else -1
+        p = below if at < 0 else model.pair_escape[at] * below
+        dish = model.contexts if w is None else i if 0 <= i < model.contexts else -1
+        if at >= 0 and dish >= 0:
+            row = int(model.pairs.find(np.array([at * (model.contexts + 1) + dish], np.uint64))[0])
+            p = p + model.pair_own[row] if row >= 0 else p
+        total += math.log10(p.mean())
+        before = -1 if i < 0 else i
+    return total
+
+
+def test_scores_are_those_of_a_plain_version(spark):
+    train = spark.createDataFrame(list(enumerate(LM_DOCS)), "doc_id long, text string")
+    probes = [*LM_DOCS[:8], "never seen b a", "", "once Once ONCE", "words of rare Äpfel"]
+    df = spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string")
+    for frequent in (1 << 17, 3):
+        model, rare = pitman_yor.train(train, tasks=2, contexts=2, frequent=frequent)
+        held = {r["key"]: r for r in rare.collect()}
+        assert bool(held) == (frequent == 3)
+        got = _by_id(pitman_yor.score(df, model, rare))
+        for i, text in enumerate(probes):
+            assert got[i].score == pytest.approx(_plain_score(text, model, held), rel=1e-4), text
+
+
+def test_every_word_has_a_dish_whether_in_memory_or_joined(spark):
+    """The words beyond the frequent ones take part in the restaurant of all words as the others do."""
+    train = spark.createDataFrame(list(enumerate(LM_DOCS)), "doc_id long, text string")
+    by_size = []
+    for frequent in (1 << 17, 3):
+        model, rare = pitman_yor.train(train, tasks=2, contexts=0, frequent=frequent)
+        by_size.append(_by_id(pitman_yor.score(train, model, rare)))
+        served = model.own.sum(axis=0) + model.escape
+        mass = np.array([sum(r[f"p{s}"] for r in rare.collect()) for s in range(len(served))])
+        assert served + mass == pytest.approx(np.ones(len(mass)))
+    for i in by_size[0]:
+        assert by_size[1][i].base_score == pytest.approx(by_size[0][i].base_score)
+    # tables are drawn at random, and so few customers that texts differ by some hundredths
+    total = [sum(r.score for r in out.values()) for out in by_size]
+    assert total[1] == pytest.approx(total[0], rel=0.1)
+
+
 def test_seating_keeps_its_bounds():
     rng = np.random.default_rng(0)
     n = np.array([0.0, 1, 2, 33, 1000, 10**7])
