@@ -46,40 +46,34 @@ BROADCAST_ROWS = 1_000_000
 def tokens(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     apart = "[" + "".join(rf"\p{{Is{script}}}" for script in UNSPACED) + "]"
-    # few texts have such characters; the others are not rewritten
-    text = F.when(text.rlike(apart), F.regexp_replace(text, f"({apart})", " $1 ")).otherwise(text)
+    # all these scripts lie in one range, which is tested fast; few texts have anything there
+    beyond = text.rlike(r"[\x{0E00}-\x{10FFFF}]")
+    text = F.when(beyond, F.regexp_replace(text, f"({apart})", " $1 ")).otherwise(text)
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def _windows(rows: DataFrame, seeds: Sequence[str]) -> DataFrame:
-    """A row for each window and seed of the token hashes `h`, without them: `at`, `seed` and `hash`.
+    """A row for each window and seed of the token hashes `h`, without them: `at` and `hash`.
 
     The tokens are dealt out in chunks, so that the windows of a long text are never in one row.
     """
     span = len(seeds[0])
-
-    def hashes(at: Column) -> Column:
-        return F.array(
-            *[
-                F.struct(
-                    (F.col("_low") + at).alias("at"),
-                    F.lit(s).alias("seed"),
-                    F.xxhash64(F.lit(s), *[F.get("_chunk", at + i) for i, used in enumerate(seed) if used == "1"]).alias("hash"),
-                )
-                for s, seed in enumerate(seeds)
-            ]
-        )
-
     kept = [c for c in rows.columns if c != "h"]
     lows = F.sequence(F.lit(0), F.greatest(F.size("h") - span, F.lit(0)), F.lit(CHUNK))
     chunks = F.transform(lows, lambda i: F.struct(i.alias("_low"), F.slice("h", i + 1, F.lit(CHUNK + span - 1)).alias("_chunk")))
     whole = F.array(F.struct(F.lit(0).alias("_low"), F.col("h").alias("_chunk")))
     chunks = F.when(F.size("h") >= span, F.when(F.size("h") < CHUNK + span, whole).otherwise(chunks))
-    # the outer forms, as filters before the others would compute the windows a second time, word by word
+    # the outer forms, as filters before the others would split the texts a second time
     rows = rows.select(*kept, F.inline_outer(chunks))
-    windows = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_chunk") - span), hashes))
-    rows = rows.select(*kept, F.when(F.size("_chunk") >= span, windows).alias("_windows"))
-    return rows.select(*kept, F.inline_outer("_windows"))
+    # positions are unfolded and hashed in compiled code, which a lambda over the tokens would not be
+    rows = rows.select(*kept, "_low", "_chunk", F.explode_outer(F.sequence(F.lit(0), F.size("_chunk") - span)).alias("_at"))
+
+    def hashed(s: int, seed: str) -> Column:
+        return F.xxhash64(F.lit(s), *[F.get("_chunk", F.col("_at") + i) for i, used in enumerate(seed) if used == "1"])
+
+    hashes = F.when(F.col("_at").isNotNull(), F.array(*[hashed(s, seed) for s, seed in enumerate(seeds)]))
+    rows = rows.select(*kept, (F.col("_low") + F.col("_at")).alias("at"), hashes.alias("_hashes"))
+    return rows.select(*kept, "at", F.explode_outer("_hashes").alias("hash"))
 
 
 def _parts(stored: DataFrame, by: str, n: int) -> list[DataFrame]:
