@@ -22,12 +22,26 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
+
+
 def register(spark: SparkSession, database: str, table: str, path: str, partitioned: bool = False) -> str:
     """Register a parquet folder under a name; its schema, with every column that any
-    file has, and partition columns are taken from the files."""
+    file has, and partition columns are taken from the files.
+
+    A table of the same folder and columns stays and only learns of new files, so
+    that readers find it at all times.
+    """
     name = f"`{database}`.`{table}`"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}'")
+    fresh = spark.read.option("mergeSchema", "true").parquet(path).schema
+    kept = spark.catalog.tableExists(name) and _location(spark, name).removeprefix("file:") == path.rstrip("/").removeprefix("file:")
+    if kept and {f.name: f.dataType for f in spark.table(name).schema} == {f.name: f.dataType for f in fresh}:
+        spark.sql(f"REFRESH TABLE {name}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return name

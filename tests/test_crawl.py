@@ -138,3 +138,18 @@ def test_keyed_state_writes_what_changed(spark, rows, folder):
     at = arrivals.fold(spark, f"{folder}/t", f"{folder}/h", cfg)
     assert at == 1 and arrivals.fold(spark, f"{folder}/t", f"{folder}/h", cfg, at) == 1
     assert tables.read_append(spark, f"{folder}/h").count() == 102
+
+
+def test_registering_again_keeps_the_table(spark, rows, folder, database, monkeypatch):
+    catalog.ensure_database(spark, database, folder + "-db")
+    spark.range(3).selectExpr("id", "id % 2 p").write.partitionBy("p").parquet(f"{folder}/t")
+    catalog.register(spark, database, "t", f"{folder}/t", partitioned=True)
+    spark.range(2).selectExpr("id", "7 p").write.mode("append").partitionBy("p").parquet(f"{folder}/t")
+    seen = []
+    real = spark.sql
+    monkeypatch.setattr(spark, "sql", lambda q, *a, **k: (seen.append(q.split()[0]), real(q, *a, **k))[1])
+    catalog.register(spark, database, "t", f"{folder}/t", partitioned=True)
+    assert "DROP" not in seen and catalog.read_table(spark, database, "t").count() == 5
+    spark.range(1).selectExpr("id", "1 more", "9 p").write.mode("append").partitionBy("p").parquet(f"{folder}/t")
+    catalog.register(spark, database, "t", f"{folder}/t", partitioned=True)
+    assert "DROP" in seen and catalog.read_table(spark, database, "t").columns == ["id", "more", "p"]

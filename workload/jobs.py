@@ -234,6 +234,27 @@ def arrival_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arrival_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of files whose times of arrival were set, an hour apart by extract; parts keep no name."""
+    root = new_folder(spark, "timed")
+    landed, p = f"{root}/zone", spark._jvm.org.apache.hadoop.fs.Path
+    rows = all_lines(spark, sf_dir).select(extract_name(F.col("extract")).alias("file"), "value")
+    rows.hint("rebalance", "file").write.partitionBy("file").text(landed)
+    fs = p(landed).getFileSystem(spark._jsc.hadoopConfiguration())
+    for extract_folder in fs.listStatus(p(landed)):
+        name = extract_folder.getPath().getName()
+        for part in fs.listStatus(extract_folder.getPath()) if "=" in name else []:
+            fs.setTimes(part.getPath(), 1000 * (FIRST_ARRIVAL + 3600 * int(name.rsplit("_", 1)[1])), -1)
+    _finish(arrivals.log_arrivals(spark, landed, f"{root}/log", f"{root}/checkpoint"))
+    log = spark.read.parquet(f"{root}/log").where(F.col("key").startswith("file="))
+    message = F.regexp_replace("message", "/part-[^ ]+ ", "/part ")
+    return log.select(F.regexp_extract("key", "^file=([^/]+)/", 1).alias("file"), "bucket", "at", message.alias("message")).distinct()
+
+
+#: When the first extract arrives, in seconds.
+FIRST_ARRIVAL = 1_700_000_000
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events arriving in several files; the newest one per user and day is kept."""
     root = new_folder(spark, "stream_upsert")
@@ -410,6 +431,7 @@ QUERIES = {
         stream_assembly,
         stream_deliveries,
         arrival_log,
+        arrival_messages,
         stream_upsert,
         stream_upsert_state,
         checked_once,
@@ -502,6 +524,11 @@ ORACLE = {
         UNION ALL SELECT DISTINCT file || '_again', 'repeated', file, 0 FROM recs
         UNION ALL SELECT 'late', 'late', NULL, 0"""
     ),
+    "arrival_messages": with_lines(
+        f"""SELECT DISTINCT file, 'zone' AS bucket, at, 'file=' || file || '/part uploaded in zone at ' || at AS message
+        FROM (SELECT file, strftime(make_timestamp(1000000 * ({FIRST_ARRIVAL} + 3600 * CAST(extract AS BIGINT))), '%Y-%m-%dT%H:%M:%SZ') AS at
+              FROM recs)"""
+    ),
     "arrival_log": with_lines("SELECT DISTINCT file, true AS complete, true AS named FROM recs"),
     "whole_batch": with_lines(
         """, good AS (SELECT r.*, c.status FROM recs r JOIN checked c USING (file, rec_type)),
