@@ -525,8 +525,8 @@ ORACLE = {
         UNION ALL SELECT 'late', 'late', NULL, 0"""
     ),
     "arrival_messages": with_lines(
-        f"""SELECT DISTINCT file, 'zone' AS bucket, at, 'file=' || file || '/part uploaded in zone at ' || at AS message
-        FROM (SELECT file, strftime(make_timestamp(1000000 * ({FIRST_ARRIVAL} + 3600 * CAST(extract AS BIGINT))), '%Y-%m-%dT%H:%M:%SZ') AS at
+        f"""SELECT DISTINCT file, 'zone' AS bucket, moment AS "at", 'file=' || file || '/part uploaded in zone at ' || moment AS message
+        FROM (SELECT file, strftime(make_timestamp(1000000 * ({FIRST_ARRIVAL} + 3600 * CAST(extract AS BIGINT))), '%Y-%m-%dT%H:%M:%SZ') AS moment
               FROM recs)"""
     ),
     "arrival_log": with_lines("SELECT DISTINCT file, true AS complete, true AS named FROM recs"),
