@@ -4,9 +4,11 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from check import compare, connect
 from tallyfold.operators import extract, filecheck
 from tallyfold.plans import batch
 from tallyfold.sources import readers, sinks
+from workload import extracts
 
 PLAIN = "H|EXTRACT|20240902\n9005|1|A1\n9005|2|A2\n9019|20240902|E1\nT|9005~2|9019~2"
 
@@ -210,3 +212,19 @@ def test_scratch_tables_are_deleted(spark):
         made.remove(kept)
     assert kept.count() == 3 and not os.path.exists(gone.stored_at.removeprefix("file:"))
     assert os.path.isdir(shared_root(spark).removeprefix("file:"))
+
+
+def test_totals_of_types_without_rows_are_left_out(lines, rows):
+    src = lines(a="9005|1\n9005|2\nT|9000~0|9005~1|9005~2|9006~3", b="9005|1\n9006|1\nT|9005~x", c="T|9005~1", d="9005|1")
+    assert rows(filecheck.declared_totals(src)) == [("a", "9005", 2), ("b", "9005", None)]
+
+
+def test_footers_of_extracts_that_lack_a_type(spark, sf_dir, tmp_path):
+    """Lines reach further than orders and customers: later extracts declare some that they do not hold."""
+    con = connect(sf_dir)
+    for t, shifted in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        far = {"customer": 0, "orders": 998_000, "lineitem": 999_000}[t]
+        con.execute(f"COPY (SELECT * REPLACE ({shifted} + {far} AS {shifted}) FROM {t}) TO '{tmp_path}/{t}.parquet'")
+        con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    for name in ("raw_lines", "footer_parse", "checksum_status"):
+        assert compare(spark, con, str(tmp_path), name, extracts.QUERIES[name], extracts.ORACLE[name]) == ""

@@ -48,7 +48,7 @@ def rec_type_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def footer_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.footer_totals(lines(spark, sf_dir))
+    return filecheck.declared_totals(lines(spark, sf_dir))
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
