@@ -5,9 +5,11 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from check import compare, connect
 from tallyfold.config import ConfigError, HistoryConfig
 from tallyfold.operators import history as H
 from tallyfold.sources import buckets, commits, tables
+from workload import histories
 
 CFG = HistoryConfig("t", ("k", "sub"), "day", delete_indicator="ind")
 D = [f"2024-01-0{i}" for i in range(1, 7)]
@@ -88,3 +90,10 @@ def test_what_buckets_refuse(spark, folder):
     with pytest.raises(ConfigError):
         buckets.commit(spark, folder, batch(spark, [1], "a", D[0]).withColumn("sub", F.lit(None).cast("string")), CFG, D[0])
     assert buckets.commit(spark, folder, batch(spark, [], "a", D[0]), CFG, D[0]) == -1
+
+
+def test_changes_come_in_any_order(spark, sf_dir, monkeypatch):
+    """Of a changed customer's two versions the newer one counts, whichever is read first."""
+    delta = histories._delta
+    monkeypatch.setattr(histories, "_delta", lambda *a: delta(*a).coalesce(1).sortWithinPartitions(F.col("segment").desc()))
+    assert compare(spark, connect(sf_dir), sf_dir, "scd2_buckets", histories.scd2_buckets, histories.ORACLE["scd2_buckets"]) == ""

@@ -108,7 +108,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _delta(spark: SparkSession, sf_dir: str, new: str = "20240229", old: str = "20240215") -> DataFrame:
     """Every tenth customer changed, every twentieth of them deleted, new ones from
     every fiftieth; each changed one also comes in an older version."""
     customer, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
@@ -117,9 +117,9 @@ def _delta(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("c_custkey"), "c_nationkey", segment.alias("segment"), F.lit(day).alias("batch_date"), ind.alias("ind")
     )
     ind = F.when(key % 20 == 0, F.lit("D")).otherwise(F.lit("C"))
-    fresh = row(changed, key, "20240229", F.lit("CHANGED"), ind)
-    stale = row(changed, key, "20240215", F.lit("STALE"), F.lit("C"))
-    added = row(customer.where(key % 50 == 1), key + 1_000_000_000_000, "20240229", F.col("c_mktsegment"), F.lit("A"))
+    fresh = row(changed, key, new, F.lit("CHANGED"), ind)
+    stale = row(changed, key, old, F.lit("STALE"), F.lit("C"))
+    added = row(customer.where(key % 50 == 1), key + 1_000_000_000_000, new, F.col("c_mktsegment"), F.lit("A"))
     return fresh.unionByName(stale).unionByName(added)
 
 
@@ -226,7 +226,7 @@ BUCKETS = 16
 def scd2_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history in hash buckets: all customers, then the changes, then those of one customer in a hundred."""
     path = new_folder(spark, "scd2_buckets")
-    few = _delta(spark, sf_dir).where(F.col("c_custkey") % 100 == 0).withColumn("batch_date", F.lit("20240310"))
+    few = _delta(spark, sf_dir, "20240310", "20240305").where(F.col("c_custkey") % 100 == 0)
     buckets.commit(spark, path, _base(spark, sf_dir), CUSTOMERS, DAY1, n_buckets=BUCKETS)
     buckets.commit(spark, path, _delta(spark, sf_dir), CUSTOMERS, DAY2)
     buckets.commit(spark, path, few, CUSTOMERS, "2024-03-11")
