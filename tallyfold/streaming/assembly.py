@@ -20,7 +20,7 @@ from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -40,10 +40,11 @@ COMPLETE, COUNTS, NO_FOOTER, BAD_FOOTER, EMPTY, LATE = (
     "empty",
     "after the check",
 )
-_TALLIES = (
-    "file string, part string, arrived timestamp, rec_type string, n_lines long, sign long, actual long, declared long, "
-    "position int, bad int, first_footer long, last_footer long, clock timestamp"
-)
+_COUNTED = "file string, part string, arrived timestamp, rec_type string, line string, n long, sign long, clock timestamp"
+
+
+def _extract_of(part: Column, folder: str) -> Column:
+    return F.regexp_extract(part, rf"/{folder}=([^/]+)/", 1)
 
 
 def part_stream(spark: SparkSession, path: str, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -53,7 +54,7 @@ def part_stream(spark: SparkSession, path: str, folder: str, files_per_batch: in
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     part = F.col("_metadata.file_path")
     return reader.text(path).select(
-        F.regexp_extract(part, rf"/{folder}=([^/]+)/", 1).alias("file"),
+        _extract_of(part, folder).alias("file"),
         part.alias("part"),
         F.col("_metadata.file_modification_time").alias("arrived"),
         "value",
@@ -61,39 +62,62 @@ def part_stream(spark: SparkSession, path: str, folder: str, files_per_batch: in
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tallies of the entries of each batch. The total of the last position counts.
+    """The lines of each batch counted by part and type, footers by their line.
 
-    Besides a row for each extract that only tells the time. Spark drops rows that
-    are older than its watermark; the tallies have no clock, so none of them is.
+    Besides a row for each part that only tells the time. Spark drops rows that
+    are older than its watermark; the counts have no clock, so none of them is.
     """
+    names = [c.split()[0] for c in _COUNTED.split(", ")]
     for batch in batches:
-        t = pa.table(batch).sort_by("position")
-        sums = [("sign", "count"), ("sign", "sum"), ("is_row", "sum"), ("declared", "last"), ("position", "max"), ("bad", "max")]
-        by = t.group_by(["file", "part", "arrived", "rec_type"], use_threads=False)
-        by = by.aggregate([*sums, ("footer_id", "min"), ("footer_id", "max")])
-        names = dict(zip([f"{c}_{f}" for c, f in sums], ["n_lines", "sign", "actual", "declared", "position", "bad"]))
-        by = by.rename_columns([{"footer_id_min": "first_footer", "footer_id_max": "last_footer", **names}.get(c, c) for c in by.column_names])
-        by = by.append_column("clock", pa.nulls(len(by), t.schema.field("arrived").type)).select([c.split()[0] for c in _TALLIES.split(", ")])
-        times = t.group_by(["file"], use_threads=False).aggregate([("arrived", "max")])
-        ticks = {c: pa.nulls(len(times), by.schema.field(c).type) for c in by.column_names}
+        t = pa.table(batch)
+        by = t.group_by(["file", "part", "arrived", "rec_type", "line"], use_threads=False).aggregate([("sign", "count"), ("sign", "sum")])
+        by = by.rename_columns([{"sign_count": "n", "sign_sum": "sign"}.get(c, c) for c in by.column_names])
+        by = by.append_column("clock", pa.nulls(len(by), t.schema.field("arrived").type)).select(names)
+        times = t.group_by(["file", "part"], use_threads=False).aggregate([("arrived", "max")])
+        ticks = {c: pa.nulls(len(times), by.schema.field(c).type) for c in names}
+        none = pa.array([0] * len(times), pa.int64())  # without a null, numbers stay whole in pandas
         yield from by.to_batches()
-        yield from pa.table({**ticks, "file": times["file"], "clock": times["arrived_max"]}, schema=by.schema).to_batches()
+        yield from pa.table(
+            {**ticks, "file": times["file"], "part": times["part"], "n": none, "sign": none, "clock": times["arrived_max"]},
+            schema=by.schema,
+        ).to_batches()
 
 
-def tallies(stream: DataFrame) -> DataFrame:
-    """The lines of a micro-batch as tallies of its parts and types; `sign` tells the contents of parts apart."""
+def tallies(stream: DataFrame, folder: str | None = None) -> DataFrame:
+    """The lines of a micro-batch as tallies of its parts and types; `sign` tells the contents of parts apart.
+
+    Lines are counted in the tasks that read them; only footers keep their text,
+    and only what was counted is unfolded. With `folder` extracts are told by it
+    from the names of their parts, once for each count and not for each line.
+    """
     value = F.col("value")
-    usable = F.contains(value, F.lit(X.FIELD))
     lines = stream.select(
-        "file",
+        (F.lit(None).cast("string") if folder else F.col("file")).alias("file"),
         "part",
         "arrived",
-        F.when(usable, X.record_type(X.strip_left(value))).alias("rec_type"),
-        X.strip(value).alias("line"),
+        F.when(F.contains(value, F.lit(X.FIELD)), X.record_type(X.strip_left(value))).alias("rec_type"),
+        "value",
         # short enough to be summed up without overflow
         F.shiftrightunsigned(F.xxhash64(value), 28).alias("sign"),
     )
-    return filecheck.entries(lines, "part", "arrived", "sign", silent=True).mapInArrow(_counted, _TALLIES)
+    footer = F.when(F.col("rec_type") == X.FOOTER, X.strip(value))
+    counted = lines.select("file", "part", "arrived", "rec_type", footer.alias("line"), "sign").mapInArrow(_counted, _COUNTED)
+    if folder:
+        counted = counted.withColumn("file", _extract_of(F.col("part"), folder))
+    return filecheck.entries(counted, "part", "arrived", "n", "sign", "clock", silent=True).select(
+        "file",
+        "part",
+        "arrived",
+        "rec_type",
+        F.col("n").alias("n_lines"),
+        "sign",
+        (F.col("is_row") * F.col("n")).alias("actual"),
+        "declared",
+        "position",
+        "bad",
+        "footer_id",
+        "clock",
+    )
 
 
 @dataclass
@@ -117,8 +141,7 @@ class Extract:
             self.parts[part] = sign
             new.append(part)
             self.bad |= bool(mine["bad"].max() == 1)
-            for column in ("first_footer", "last_footer"):
-                self.footers += [int(x) for x in mine[column].dropna() if int(x) not in self.footers]
+            self.footers += [int(x) for x in mine["footer_id"].dropna().unique() if int(x) not in self.footers]
             for r in mine[mine["rec_type"].notna()].itertuples():
                 known = self.types.setdefault(r.rec_type, [0, None, None])
                 known[0] += int(r.actual)
@@ -151,9 +174,11 @@ def _millis(times: pd.Series) -> int:
     return int(times.max().timestamp() * 1000)
 
 
-def assembled(stream: DataFrame, limit_seconds: int, clock: str = "arrival") -> DataFrame:
+def assembled(stream: DataFrame, limit_seconds: int, clock: str = "arrival", folder: str | None = None) -> DataFrame:
     """Checks of the extracts of a part stream, as a stream.
 
+    `folder`, if given, must be that of the part stream.
+
     An extract is judged when it is complete, or when nothing of it has come for
     `limit_seconds`: with clock "arrival" by the times of all arriving files, so
     that a replay judges alike, with "wall" by the time of the cluster, so that a
@@ -175,7 +200,7 @@ def assembled(stream: DataFrame, limit_seconds: int, clock: str = "arrival") ->
                 yield known.checks(file, known.types, sorted(known.parts))
             return
         rows = pd.concat(list(frames))
-        rows = rows[rows["part"].notna()]
+        rows = rows[rows["clock"].isna()]
         if rows.empty:
             if by_arrival and state.exists:
                 state.setTimeoutTimestamp(max(known.last, state.getCurrentWatermarkMs()) + 1)
@@ -195,7 +220,7 @@ def assembled(stream: DataFrame, limit_seconds: int, clock: str = "arrival") ->
         else:
             state.setTimeoutDuration(max(limit, 1))
 
-    rows = tallies(stream)
+    rows = tallies(stream, folder)
     if by_arrival:
         rows = rows.withWatermark("clock", f"{limit_seconds} seconds")
     timeout = GroupStateTimeout.EventTimeTimeout if by_arrival else GroupStateTimeout.ProcessingTimeTimeout
@@ -259,4 +284,4 @@ def assemble(
         if landed:
             _report_empty(spark, stored.limit(0), landed, folder, out).write.mode("append").parquet(target)
 
-    return _start(assembled(stream, limit_seconds, clock), work, checkpoint, every)
+    return _start(assembled(stream, limit_seconds, clock, folder), work, checkpoint, every)

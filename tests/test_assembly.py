@@ -135,3 +135,17 @@ def test_a_quiet_landing_zone_on_the_clock_of_the_cluster(spark, landing, folder
     assert [(r.file, r.reason) for r in spark.table("quiet").collect()] == [("e", "no footer")]
     with pytest.raises(ValueError):
         assembly.assembled(stream, 2, clock="moon")
+
+
+def test_lines_are_counted_before_footers_are_unfolded(spark, landing):
+    """What leaves the tasks that read does not grow with the number of lines."""
+    for n in (1000, 5000):
+        landing.put(f"e{n}", "p", 0, "H|x", *(f"9005|{i}" for i in range(n)), " T|9005~1|9005~%d " % n)
+        stream = assembly.part_stream(spark, f"{landing.path}/file=e{n}", "file")
+        query = assembly.tallies(stream).writeStream.format("memory").queryName(f"tallies_{n}").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert query.exception() is None
+        found = [r for r in spark.table(f"tallies_{n}").collect() if r.part]
+        assert len(found) < 10
+        assert sum(r.actual for r in found if r.rec_type == "9005") == n
+        assert sorted((r.position, r.declared) for r in found if r.position is not None) == [(-1, None), (0, 1), (1, n)]

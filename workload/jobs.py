@@ -176,7 +176,8 @@ def _marker(spark: SparkSession, landed: str, name: str, seconds: int) -> None:
 def stream_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extracts in four parts or more, taken six files at a time: checks, and records routed under them.
 
-    Complete ones are judged on arrival, the others when a file comes two days
+    Of a folder with many files a sixteenth is taken at a time, so that a longer
+    backlog makes micro-batches larger and not more. Complete ones are judged on arrival, the others when a file comes two days
     later, after the stream was started again.
     """
     root = new_folder(spark, "assembly")
@@ -184,10 +185,11 @@ def stream_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
         extract_name(F.col("extract")).alias("file"), F.pmod(F.xxhash64("value"), F.lit(4)).alias("part"), "value"
     )
     parts.hint("rebalance", "file", "part").write.partitionBy("file", "part").text(f"{root}/landing")
+    at_once = max(6, readers.file_names(spark, f"{root}/landing").count() // 16)
     for again in (False, True):
         if again:
             _marker(spark, f"{root}/landing", "later", 2 * 86400)
-        stream = assembly.part_stream(spark, f"{root}/landing", "file", 6)
+        stream = assembly.part_stream(spark, f"{root}/landing", "file", at_once)
         _finish(assembly.assemble(stream, f"{root}/out", f"{root}/checkpoint", "file", 3600))
     checks = spark.read.schema(assembly.CHECKS).parquet(f"{root}/out/checks")
     routed = sinks.read_routed(spark, f"{root}/out/records").groupBy("file", "rec_type", "status")
