@@ -100,6 +100,15 @@ def test_file_check_scans_the_text_once_and_hashes(spark, lines, folder, monkeyp
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
 
 
+def test_file_check_unfolds_footers_only(spark, rows, lines, folder, monkeypatch):
+    stored, write = [], materialise
+    monkeypatch.setattr(filecheck, "materialise", lambda df, name: stored.append(write(df, name)) or stored[-1])
+    text = "\n".join(f" 9005|{i}" for i in range(500))
+    checks = filecheck.check_lines(lines(a=f"H|a\n{text}\nT|9005~1|9005~500\nT|9005~1|9005~500"))
+    assert rows(stored[0].select("file", "rec_type", "n")) == [("a", "9005", 500), ("a", "T", 2)]
+    assert rows(checks) == [("a", "9005", 500, 500, "pass")]
+
+
 def test_newest_limits_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("n"))
     p = plan(H.newest(df, ["k"], ["n"]))
