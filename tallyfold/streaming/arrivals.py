@@ -18,7 +18,8 @@ from tallyfold.config import HistoryConfig
 from tallyfold.functions import text as X
 from tallyfold.operators import extract, filecheck
 from tallyfold.operators.history import LOADED, newest
-from tallyfold.session import scratch
+from tallyfold.operators.joins import lookup_stored
+from tallyfold.session import materialise, scratch
 from tallyfold.sources import commits, sinks, tables
 
 
@@ -59,21 +60,45 @@ def _start(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
     return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def ingest(stream: DataFrame, out: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def check_and_route(lines: DataFrame, out: str, batch: int, folder: str | None = None) -> None:
+    """Check results to checks/batch=<n>, records to records/batch=<n>.
+
+    With `folder` the lines come under the paths of their files, and all files
+    below a <folder>=<name> directory are one extract. A path is turned into the
+    extract's name once for each count and not for each line, which would cost more
+    than to read the line; records look up the name with their status.
+    """
+    name = F.regexp_extract("file", rf"/{folder}=([^/]+)/", 1) if folder else F.col("file")
+    recs = extract.records(lines)
+    with scratch():
+        counted = materialise(filecheck.counted(extract.tagged(lines)), "tallies")
+        checks = filecheck.check_counted(counted.withColumn("file", name))
+        checks.write.mode("overwrite").parquet(f"{out}/checks/batch={batch}")
+        stored = lines.sparkSession.read.schema(checks.schema).parquet(f"{out}/checks/batch={batch}")
+        if folder:
+            paths = counted.select(F.col("file").alias("path"), name.alias("file"), "rec_type").distinct()
+            totals = materialise(paths.join(stored.drop("actual"), ["file", "rec_type"]), "totals")
+            routed = lookup_stored(recs.withColumnRenamed("file", "path"), totals, ["path", "rec_type"])
+            routed = routed.select("file", "rec_type", "line", "declared", "status")
+        else:
+            routed = filecheck.routed(recs, stored)
+        sinks.write_routed(routed, f"{out}/records/batch={batch}", rebalance=True)
+
+
+def ingest(
+    stream: DataFrame, out: str, checkpoint: str, every: str | None = None, folder: str | None = None
+) -> StreamingQuery:
     """Check and route every arriving extract.
 
     Records go to records/batch=<n>, check results to checks/batch=<n>; a replayed
     batch overwrites its own folder. `every` is a period such as "2 minutes";
-    without one, what is there is processed and the stream ends.
+    without one, what is there is processed and the stream ends. `folder` names the
+    directories that make an extract, for a stream of lines under their paths; files
+    of an extract must then arrive together.
     """
 
     def work(lines: DataFrame, batch: int) -> None:
-        with scratch():
-            checks = filecheck.check_lines(lines)
-            checks.write.mode("overwrite").parquet(f"{out}/checks/batch={batch}")
-        stored = lines.sparkSession.read.schema(checks.schema).parquet(f"{out}/checks/batch={batch}")
-        recs = filecheck.routed(extract.records(lines), stored)
-        sinks.write_routed(recs, f"{out}/records/batch={batch}", rebalance=True)
+        check_and_route(lines, out, batch, folder)
 
     return _start(stream, work, checkpoint, every)
 

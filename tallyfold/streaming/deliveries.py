@@ -13,10 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyfold.operators import extract, filecheck
-from tallyfold.session import scratch
-from tallyfold.sources import readers, sinks
-from tallyfold.streaming.arrivals import _start
+from tallyfold.sources import readers
+from tallyfold.streaming.arrivals import _start, check_and_route
 
 LEDGER = "file string, modified timestamp, bytes long, digest string"
 TAKEN, REPEATED, LATE, PENDING = "taken", "repeated", "late", "pending"
@@ -73,15 +71,12 @@ def report(spark: SparkSession, path: str, ledger: str, within: str) -> DataFram
     return taken.unionByName(others.select("file", status.alias("status"), "like"))
 
 
-def delivered_lines(spark: SparkSession, files: DataFrame, folder: str | None = None) -> DataFrame:
-    """(file, value) of the lines of listed files; their names pass through the driver."""
+def delivered_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(file, value) of the lines of listed files, whose paths pass through the driver."""
     names = [unquote(r["file"]) for r in files.select("file").distinct().collect()]
     if not names:
         return spark.createDataFrame([], readers.LINES)
-    name = F.col("_metadata.file_path")
-    if folder:
-        name = F.regexp_extract(name, rf"/{folder}=([^/]+)/", 1)
-    return spark.read.text(names).select(name.alias("file"), "value")
+    return spark.read.text(names).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
 def ingest_ledger(
@@ -90,11 +85,6 @@ def ingest_ledger(
     """Check and route the files that the ledger takes, each once, as `arrivals.ingest` does."""
 
     def work(files: DataFrame, batch: int) -> None:
-        lines = delivered_lines(files.sparkSession, files, folder)
-        with scratch():
-            checks = filecheck.check_lines(lines)
-            checks.write.mode("overwrite").parquet(f"{out}/checks/batch={batch}")
-        stored = lines.sparkSession.read.schema(checks.schema).parquet(f"{out}/checks/batch={batch}")
-        sinks.write_routed(filecheck.routed(extract.records(lines), stored), f"{out}/records/batch={batch}", rebalance=True)
+        check_and_route(delivered_lines(files.sparkSession, files), out, batch, folder)
 
     return _start(spark.readStream.schema(LEDGER).parquet(ledger), work, checkpoint, every)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -154,8 +155,8 @@ def _finish(query) -> None:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extracts checked and routed as they arrive."""
     out = new_folder(spark, "ingest")
-    stream = arrivals.line_stream(spark, landing(spark, sf_dir), folder="file")
-    _finish(arrivals.ingest(stream, f"{out}/data", f"{out}/checkpoint"))
+    stream = arrivals.line_stream(spark, landing(spark, sf_dir))
+    _finish(arrivals.ingest(stream, f"{out}/data", f"{out}/checkpoint", folder="file"))
     return sinks.read_routed(spark, f"{out}/data/records").select("file", "rec_type", "line", "status")
 
 
@@ -209,9 +210,10 @@ def stream_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = spark._jvm.org.apache.hadoop.fs.Path
     fs = p(landed).getFileSystem(spark._jsc.hadoopConfiguration())
     again = [s.getPath().getName() for s in fs.listStatus(p(landed)) if s.getPath().getName().startswith("file=")]
-    for name in again:
-        source, target = p(f"{landed}/{name}"), p(f"{landed}/{name}_again")
-        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, target, False, spark._jsc.hadoopConfiguration())
+    copied = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    copy = lambda name: copied(fs, p(f"{landed}/{name}"), fs, p(f"{landed}/{name}_again"), False, spark._jsc.hadoopConfiguration())
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(copy, again))
     _marker(spark, landed, "late", -3 * 86400)
     _finish(deliveries.log_deliveries(spark, landed, ledger, f"{root}/cp_ledger", within))
     _finish(deliveries.ingest_ledger(spark, ledger, f"{root}/out", f"{root}/cp_out", "file"))
