@@ -15,22 +15,28 @@ HEADER, FOOTER = "H", "T"
 FIELD, PAIR = "|", "~"
 
 
-def _inked(end: Column) -> Column:
-    """Whether an end of a text is a printable ASCII character, the common case, which one comparison tells."""
-    return end.between("!", "~")
+def _inked(byte: Column) -> Column:
+    """Whether the byte at an end of a text is a printable ASCII character, the common case, which one comparison tells."""
+    return byte.between(F.lit(b"!"), F.lit(b"~"))
+
+
+def _end(c: Column, position: int) -> Column:
+    """The byte at a position; that of a character would have to be looked for from the start."""
+    return F.substring(c.cast("binary"), position, 1)
 
 
 def strip(c: Column) -> Column:
     """Without white space at either end; only texts that have some there are walked through."""
-    first, last = F.left(c, F.lit(1)), F.right(c, F.lit(1))
     blank = lambda end: F.instr(F.lit(WHITESPACE), end) > 0
     return (
-        F.when(_inked(first) & _inked(last), c).when(blank(first) | blank(last), F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
+        F.when(_inked(_end(c, 1)) & _inked(_end(c, -1)), c)
+        .when(blank(F.left(c, F.lit(1))) | blank(F.right(c, F.lit(1))), F.btrim(c, F.lit(WHITESPACE)))
+        .otherwise(c)
     )
 
 
 def strip_left(c: Column) -> Column:
-    return F.when(_inked(F.left(c, F.lit(1))), c).otherwise(F.ltrim(c, F.lit(WHITESPACE)))
+    return F.when(_inked(_end(c, 1)), c).otherwise(F.ltrim(c, F.lit(WHITESPACE)))
 
 
 def fields(line: Column) -> Column:

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from check import compare, connect
+from tallyfold.functions import text as X
 from tallyfold.operators import extract, filecheck
 from tallyfold.plans import batch
 from tallyfold.sources import readers, sinks
@@ -228,3 +229,14 @@ def test_footers_of_extracts_that_lack_a_type(spark, sf_dir, tmp_path):
         con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
     for name in ("raw_lines", "footer_parse", "checksum_status"):
         assert compare(spark, con, str(tmp_path), name, extracts.QUERIES[name], extracts.ORACLE[name]) == ""
+
+
+def test_ends_are_stripped_by_their_bytes(spark):
+    """As Python strips them, whatever characters stand there, and no end is looked for from the start of a line."""
+    ends = [*X.WHITESPACE, "a", "~", "|", "é", "\x00", "\x7f", "😀", ""]
+    values = [a + m + b for a in ends for b in ends for m in ("", "x y", " ", "é")]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    stripped = df.select("value", X.strip(F.col("value")).alias("both"), X.strip_left(F.col("value")).alias("left"))
+    assert all((r.both, r.left) == (r.value.strip(X.WHITESPACE), r.value.lstrip(X.WHITESPACE)) for r in stripped.collect())
+    plan = df.select(X.strip(F.col("value"))).select("*")._jdf.queryExecution().analyzed().toString()
+    assert "AS BINARY" in plan and "right(" not in plan.split("THEN")[0]
