@@ -48,6 +48,16 @@ STRENGTH = (1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 2.0)
 END = 1
 
 
+def _pieces(column: pa.Array) -> Iterator[tuple[texts.Block, np.ndarray]]:
+    """Blocks of the texts, and which pieces end a text."""
+    _, offsets = texts.utf8(column)
+    length = np.diff(offsets)
+    done = np.zeros(len(length), np.int64)
+    for block in texts.blocks(column, texts.BLOCK // 4):
+        done[block.rows] += np.diff(block.offsets)
+        yield block, done[block.rows] == length[block.rows]
+
+
 def _spelled(column: pa.Array) -> Iterator[tuple[texts.Block, texts.Block, np.ndarray]]:
     """Blocks of the texts, the same with tokens spelled out, and which pieces end a text.
 
@@ -57,11 +67,8 @@ def _spelled(column: pa.Array) -> Iterator[tuple[texts.Block, texts.Block, np.nd
     repeat the last bytes of the one before as lead, and only its last piece has
     the end.
     """
-    _, offsets = texts.utf8(column)
-    length = np.diff(offsets)
-    done = np.zeros(len(length), np.int64)
     tails: dict[int, np.ndarray] = {}
-    for block in texts.blocks(column, texts.BLOCK // 4):
+    for block, last in _pieces(column):
         data = texts.LOWER[block.data]
         data[data <= END] = 2
         space = texts.SPACE[block.data]
@@ -71,8 +78,6 @@ def _spelled(column: pa.Array) -> Iterator[tuple[texts.Block, texts.Block, np.nd
         some = block.nonempty()
         first = block.offsets[:-1][some]
         keep[first] = ~space[first]
-        done[block.rows] += np.diff(block.offsets)
-        last = done[block.rows] == length[block.rows]
         # a text that ends in a word gets the space behind it too
         ends = block.offsets[1:][some] - 1
         open_word = np.zeros(len(block.rows), bool)
@@ -401,49 +406,81 @@ def _spelling(grams: DataFrame, nodes: int, samples: int, sweeps: int, tasks: in
     return tree
 
 
-def _neighbours(
-    words: Broadcast, n_words: int, contexts: int
+def _letters(recent: trees.Recent, spelled: texts.Block) -> np.ndarray:
+    """Log probabilities of the tokens as they are spelled, a row for each sample."""
+    mine = trees.own(spelled)
+    p = recent.log_probs(trees.grams(spelled, ORDER))
+    if spelled.lead.any():
+        p[:, ~mine] = 0
+    closing = np.flatnonzero(((spelled.data == 32) | (spelled.data == END)) & mine)
+    if not len(closing):
+        return np.zeros((len(p), 0))
+    return np.add.reduceat(p, np.append(0, closing[:-1] + 1), axis=1, dtype=np.float64)
+
+
+def _apart(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> texts.Block:
+    """Words as pieces of their own, each behind a space, which is lead, and with one behind it."""
+    size = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(size + 2)])
+    out = np.full(offsets[-1], 32, np.uint8)
+    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    letters = low[np.repeat(starts, size) + within]
+    out[np.repeat(offsets[:-1] + 1, size) + within] = np.where(letters <= END, np.uint8(2), letters)
+    return texts.Block(out, offsets, np.arange(len(size)), np.ones(len(size), np.int64))
+
+
+def _met(
+    words: Broadcast, tree: Broadcast, n_words: int, contexts: int, samples: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For mapInArrow: (pair, n, word).
+    """For mapInArrow: (kind, key, n, s0, s1, ...), counted within each task.
 
-    Pairs of neighbours that both have restaurants, counted; the start of a text
-    and its end share the number `contexts`. Every frequent word a task meets is
-    handed on once, its pair being -1 less its number.
+    Of kind 0 are pairs of neighbours that both have restaurants; the start of a
+    text and its end share the number `contexts`. Of kind 1 are the numbers of
+    frequent words, each handed on once, and of kind 2 the hashes of other words;
+    both have the log probabilities of their spelling.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, held, size = words.value, [], 0
-        met = np.zeros(n_words, bool)
-
-        def out() -> pa.RecordBatch:
-            keys, n = trees.merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            none = pa.nulls(len(keys), pa.binary())
-            return pa.record_batch({"pair": pa.array(keys), "n": pa.array(n), "word": none})
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray, logs: np.ndarray | None = None) -> pa.RecordBatch:
+        columns = {"kind": np.full(len(keys), kind, np.int8), "key": keys.astype(np.int64), "n": n.astype(np.int64)}
+        for s in range(samples):
+            columns[f"s{s}"] = pa.nulls(len(keys), pa.float32()) if logs is None else logs[s].astype(np.float32)
+        return pa.record_batch({name: pa.array(x) for name, x in columns.items()})
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, recent, held, size = words.value, trees.Recent(tree.value), [], 0
+        known = np.zeros(n_words, bool)
         for batch in batches:
             carried: dict[int, int] = {}
-            for block, _, last in _spelled(batch.column(0)):
+            rare, n_rare, logs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros((samples, 0))]
+            for block, last in _pieces(batch.column(0)):
                 found = texts.words(block)
                 low = texts.LOWER[block.data]
-                ids = index.find(texts.hashes(low, found.starts, found.ends)).astype(np.int64)
+                keys = texts.hashes(low, found.starts, found.ends)
+                ids = index.find(keys).astype(np.int64)
                 tokens, before, _ = _tokens(block, last, found, ids, carried, n_words)
                 pair = pair_of(tokens, before, n_words, contexts)
-                distinct, n = np.unique(pair[pair >= 0], return_counts=True)
-                held.append((distinct, n.astype(np.int64)))
-                size += len(distinct)
+                held.append(np.unique(pair[pair >= 0], return_counts=True))
+                size += len(held[-1][0])
+                others = np.flatnonzero(ids < 0)
+                new, at, n = np.unique(keys[others], return_index=True, return_counts=True)
+                rare.append(new)
+                n_rare.append(n)
+                logs.append(_letters(recent, _apart(low, found.starts[others[at]], found.ends[others[at]])))
                 new, at = np.unique(ids, return_index=True)
-                fresh = (new >= 0) & ~met[new]
+                fresh = (new >= 0) & ~known[new]
                 new, at = new[fresh], at[fresh]
                 if len(new):
-                    met[new] = True
-                    spelled = [low[a:b].tobytes() for a, b in zip(found.starts[at], found.ends[at], strict=True)]
-                    ones = pa.array(np.ones(len(new), np.int64))
-                    yield pa.record_batch({"pair": pa.array(-1 - new), "n": ones, "word": pa.array(spelled, pa.binary())})
+                    known[new] = True
+                    spelt = _letters(recent, _apart(low, found.starts[at], found.ends[at]))
+                    yield rows(1, new, np.ones(len(new)), spelt)
+            keys, at, of = np.unique(np.concatenate(rare), return_index=True, return_inverse=True)
+            if len(keys):
+                yield rows(2, keys, np.bincount(of, np.concatenate(n_rare)), np.concatenate(logs, axis=1)[:, at])
             if size > 1 << 22:
-                yield out()
+                yield rows(0, *trees.merged(*map(np.concatenate, zip(*held, strict=True))))
                 held, size = [], 0
         if held:
-            yield out()
+            yield rows(0, *trees.merged(*map(np.concatenate, zip(*held, strict=True))))
 
     return run
 
@@ -477,33 +514,6 @@ def _after_words(
     return dealt.mapInArrow(run, "pair long, customers double, tables array<double>")
 
 
-def _rare_words(words: Broadcast, tree: Broadcast, samples: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For mapInArrow: (key, n, s0, s1, ...): words beyond the frequent ones, counted, with their spelled log probabilities."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held: dict[int, bytes] = {}
-            parts = [np.zeros(0, np.uint64)]
-            for block in texts.blocks(batch.column(0), texts.BLOCK // 4):
-                low = texts.LOWER[block.data]
-                found = texts.words(block)
-                keys = texts.hashes(low, found.starts, found.ends)
-                rare = np.flatnonzero(words.value.find(keys) < 0)
-                parts.append(keys[rare])
-                new, at = np.unique(keys[rare], return_index=True)
-                low = np.where(low <= END, np.uint8(2), low)
-                for key, i in zip(new.tolist(), rare[at].tolist(), strict=True):
-                    if key not in held:
-                        held[key] = low[found.starts[i] : found.ends[i]].tobytes()
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
-            if len(keys):
-                logs = _log_spelled(tree.value, [held[k] for k in keys.tolist()])
-                columns = {f"s{s}": logs[:, s] for s in range(samples)}
-                yield pa.record_batch({"key": keys.astype(np.int64), "n": n.astype(np.int64), **columns})
-
-    return run
-
-
 def _seated_words(rare: DataFrame, tables: float, samples: int) -> tuple[DataFrame, np.ndarray]:
     """The rare words with their tables t0, t1, ... in the restaurant of all words, stored, and the sums of these.
 
@@ -522,7 +532,7 @@ def _seated_words(rare: DataFrame, tables: float, samples: int) -> tuple[DataFra
                 n = batch.column(1).to_numpy().astype(float)
                 found = []
                 for s in range(samples):
-                    share = np.exp(batch.column(2 + s).to_numpy())
+                    share = np.exp(batch.column(2 + s).to_numpy().astype(float))
                     found.append(seat(n, (strength + d * (others[s] - 1)) * share, share, d, rng))
                 yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, found)], names=[*batch.schema.names, *names])
 
@@ -582,31 +592,31 @@ def train(
     discard(counts)
     contexts = min(contexts, m)
 
-    sent = df.sparkSession.sparkContext.broadcast(words)
-    met = slim.mapInArrow(_neighbours(sent, m, contexts), "pair long, n long, word binary")
-    met = materialise(met.groupBy("pair").agg(F.sum("n").alias("n"), F.max("word").alias("word")), "lm-pairs")
-    spelled = met.where("pair < 0").select("pair", "word").toArrow()
-    pairs = met.where("pair >= 0")
-    pairs = pairs.where(size >= _most(pairs, "n", nodes)).select("pair", "n")
+    spark = df.sparkSession.sparkContext
+    names = [f"s{s}" for s in range(samples)]
+    met = slim.mapInArrow(
+        _met(spark.broadcast(words), spark.broadcast(tree), m, contexts, samples),
+        "kind byte, key long, n long, " + ", ".join(f"{s} float" for s in names),
+    )
+    met = materialise(met.groupBy("kind", "key").agg(F.sum("n").alias("n"), *[F.max(s).alias(s) for s in names]), "lm-met")
+    spelled = met.where("kind = 1").select("key", *names).toArrow()
+    pairs = met.where("kind = 0").select(F.col("key").alias("pair"), "n")
+    pairs = pairs.where(size >= _most(pairs, "n", nodes))
     kept = pairs.toArrow()
     pair, n_pairs = kept.column("pair").to_numpy(), kept.column("n").to_numpy()
 
     shares = np.full((m + 1, samples), 1e-9)
-    logs = _log_spelled(tree, [b"", *spelled.column("word").to_pylist()])
-    shares[-1 - spelled.column("pair").to_numpy()] = np.exp(logs[1:])
-    shares[m] = np.exp(logs[0])
+    logs = np.stack([spelled.column(s).to_numpy() for s in names], axis=1).astype(np.float64)
+    shares[spelled.column("key").to_numpy()] = np.exp(logs)
+    end = texts.Block(np.array([32, END], np.uint8), np.array([0, 2]), np.array([0]), np.array([1]))
+    shares[m] = np.exp(_letters(trees.Recent(tree), end)[:, 0])
     counts_of = np.append(n_words, n_texts).astype(np.float64)
     visits = np.append(n_words[:contexts], n_texts).astype(np.float64)
     passed = visits - np.bincount(pair // (contexts + 1), n_pairs, contexts + 1)
     word_of = lambda pair: np.where(pair % (contexts + 1) == contexts, m, pair % (contexts + 1))
     direct = counts_of - np.bincount(word_of(pair), n_pairs, m + 1)
     others = n_tokens - counts_of.sum()
-    spelling = df.sparkSession.sparkContext.broadcast(tree)
-    rare = slim.mapInArrow(_rare_words(sent, spelling, samples), "key long, n long, " + ", ".join(f"s{s} double" for s in range(samples)))
-    rare = rare.groupBy("key").agg(F.sum("n").alias("n"), *[F.max(f"s{s}").alias(f"s{s}") for s in range(samples)])
-    spelt = materialise(rare, "lm-rare")
-    rare, rare_tables = _seated_words(spelt, float(m + 1), samples)
-    discard(spelt)
+    rare, rare_tables = _seated_words(met.where("kind = 2").select("key", "n", *names), float(m + 1), samples)
 
     def all_words(pair: np.ndarray, tables: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
         """What the restaurant of all words serves itself, and what it leaves to spelling."""
@@ -651,44 +661,46 @@ def train(
     return model, rare.select("key", "n", *served)
 
 
-def _log_spelled(tree: trees.Tree, words: list[bytes]) -> np.ndarray:
-    """Log probabilities of words behind a space; the empty word stands for the end of a text."""
-    out = [np.zeros((0, tree.models))]
-    for at in range(0, len(words), 1 << 16):
-        part = [b" " + w + (b" " if w else bytes([END])) for w in words[at : at + (1 << 16)]]
-        offsets = np.concatenate([[0], np.cumsum([len(w) for w in part])])
-        data = np.frombuffer(b"".join(part), np.uint8)
-        block = texts.Block(data, offsets, np.arange(len(part)), np.ones(len(part), np.int64))
-        p = tree.log_probs(trees.grams(block, ORDER)).astype(np.float64)
-        p[offsets[:-1]] = 0
-        out.append(block.sums(p))
-    return np.concatenate(out)
-
-
-def _log_tokens(lm: Model, spelled: texts.Block, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The log of the averaged predictive probability of each token.
-
-    By sample, what its context leaves to all words, and the log of what is left to spell it. A
-    word that is not frequent is taken for one that was never seen.
-    """
-    n_words, mine = len(lm.word_counts), trees.own(spelled)
-    p = lm.tree.log_probs(trees.grams(spelled, ORDER)).astype(np.float64)
-    p[~mine] = 0
-    closing = np.flatnonzero(((spelled.data == 32) | (spelled.data == END)) & mine)
-    letters = np.diff(np.cumsum(p, axis=0)[closing], axis=0, prepend=0)
-    own = np.where(tokens[:, None] >= 0, lm.own[tokens], 0)
-    at = context_of(before, lm.contexts)
-    left = np.where(at[:, None] >= 0, lm.pair_escape[at], 1)
-    own *= left
-    pair = pair_of(tokens, before, n_words, lm.contexts)
-    both = np.flatnonzero(pair >= 0)
-    rows = lm.pairs.find(pair[both].astype(np.uint64))
-    own[both[rows >= 0]] += lm.pair_own[rows[rows >= 0]]
-    with np.errstate(divide="ignore"):
-        spelt = np.log(left * lm.escape) + letters
-        logs = np.logaddexp(np.log(own), spelt)
-    most = logs.max(axis=1)
-    return most + np.log(np.exp(logs - most[:, None]).mean(axis=1)), left, spelt
+class Scorer:
+    """A model as the tasks look it up: a row for each sample, and the spelling met last."""
+
+    def __init__(self, lm: Model):
+        self.lm, self.recent = lm, trees.Recent(lm.tree)
+        samples = lm.own.shape[1]
+        # behind the last column: a word that is not frequent has no dish, one without a restaurant leaves all
+        self.own = np.concatenate([lm.own, np.zeros((1, samples))]).T.copy()
+        self.left = np.concatenate([lm.pair_escape, np.ones((1, samples))]).T.copy()
+        self.pair_own = lm.pair_own.T.copy()
+
+    def log_tokens(self, spelled: texts.Block, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The log of the averaged predictive probability of each token.
+
+        For each token that is not frequent and by sample: what its context leaves
+        to all words, and the log of what is left to spell it. Such a token is
+        taken for one that was never seen.
+        """
+        lm = self.lm
+        letters = _letters(self.recent, spelled)
+        at = context_of(before, lm.contexts)
+        left = self.left[:, at]
+        p = self.own[:, tokens]
+        p += lm.escape[:, None] * np.exp(letters)
+        p *= left
+        pair = pair_of(tokens, before, len(lm.word_counts), lm.contexts)
+        both = np.flatnonzero(pair >= 0)
+        rows = lm.pairs.find(pair[both].astype(np.uint64))
+        both, rows = both[rows >= 0], rows[rows >= 0]
+        p[:, both] += self.pair_own[:, rows]
+        unseen = np.flatnonzero(tokens == -1)
+        left = left[:, unseen]
+        spelt = np.log(left * lm.escape[:, None]) + letters[:, unseen]
+        # a long word's spelling is too small for a probability, but not for its log
+        most = spelt.max(axis=0)
+        p = p.mean(axis=0)
+        p[unseen] = 1
+        logs = np.log(p)
+        logs[unseen] = most + np.log(np.exp(spelt - most).mean(axis=0))
+        return logs, left, spelt
 
 
 _SCORED = {"row": "long", "words": "long", "known": "long", "base": "double", "score": "double"}
@@ -717,11 +729,12 @@ def score(df: DataFrame, model: Model, rare: DataFrame, text: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 33
         lm = sent.value
+        scorer = Scorer(lm)
         for batch in batches:
             n = batch.num_rows
             tokens, known, base, logs = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
             rare_keys, rare_rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            parts = [np.zeros((0, 2 * samples), np.float32)]
+            parts = [np.zeros((2 * samples, 0), np.float32)]
             carried: dict[int, int] = {}
             for block, spelled, last in _spelled(batch.column(len(kept))):
                 found = texts.words(block)
@@ -735,15 +748,13 @@ def score(df: DataFrame, model: Model, rare: DataFrame, text: str = "text") -> D
                 rare_keys.append(keys[~hit])
                 rare_rows.append(of[~hit])
                 ids, before, piece = _tokens(block, last, found, at.astype(np.int64), carried, len(lm.word_counts))
-                log, left, spelt = _log_tokens(lm, spelled, ids, before)
+                log, left, spelt = scorer.log_tokens(spelled, ids, before)
                 logs += np.bincount(block.rows[piece], log, n)
-                unseen = ids == -1
-                left = np.broadcast_to(left, spelt.shape)
-                parts.append(np.concatenate([left[unseen], spelt[unseen]], axis=1).astype(np.float32))
+                parts.append(np.concatenate([left, spelt]).astype(np.float32))
             of = np.concatenate(rare_rows)
             offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))]).astype(np.int32)
             order = np.argsort(of, kind="stable")
-            values = [np.concatenate(rare_keys)[order].astype(np.int64), *np.concatenate(parts)[order].T]
+            values = [np.concatenate(rare_keys)[order].astype(np.int64), *np.concatenate(parts, axis=1)[:, order]]
             flat = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(v)) for v in values], cells)
             columns = [batch.column(i) for i in range(len(kept))]
             columns += [pa.array(x) for x in (first + np.arange(n), tokens, known, base, logs / np.log(10))]

@@ -23,17 +23,16 @@ EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 def grams(block: texts.Block, order: int) -> np.ndarray:
     """The packed gram of each byte of a block."""
-    data, n = block.data, len(block.data)
-    out = data.astype(np.uint64)
+    n = len(block.data)
+    padded = np.zeros(n + 7, np.uint8)
+    padded[7:] = block.data
+    # the eight bytes that end at each byte, the last one lowest
+    out = np.ndarray(n, ">u8", padded, strides=(1,)).astype(np.uint64) & np.uint64((1 << 8 * (order + 1)) - 1)
     some = block.nonempty()
     starts, ends = block.offsets[some], block.offsets[some + 1]
-    for back in range(1, order + 1):
-        before = np.zeros(n, np.uint64)
-        before[back:] = data[: n - back] if n > back else 0
-        for skip in range(back):
-            at = starts + skip
-            before[at[at < ends]] = 0
-        out |= before << np.uint64(8 * back)
+    for skip in range(order):
+        at = starts + skip
+        out[at[at < ends]] &= np.uint64((1 << 8 * (skip + 1)) - 1)
     return out
 
 
@@ -45,8 +44,9 @@ def suffix(keys: np.ndarray, order: int) -> np.ndarray:
 def own(block: texts.Block) -> np.ndarray:
     """Which bytes of a block are not repeated from the piece before."""
     keep = np.ones(len(block.data), bool)
-    for i in np.flatnonzero(block.lead):
-        keep[block.offsets[i] : block.offsets[i] + block.lead[i]] = False
+    some = np.flatnonzero(block.lead)
+    n = block.lead[some]
+    keep[np.repeat(block.offsets[some] - np.cumsum(n) + n, n) + np.arange(n.sum())] = False
     return keep
 
 
@@ -125,6 +125,29 @@ class Tree:
         return out
 
 
+class Recent:
+    """Log probabilities of a tree, kept for the grams a task met last (one for each slot)."""
+
+    def __init__(self, tree: Tree, bits: int = 19):
+        self.tree, self.shift = tree, np.uint64(64 - bits)
+        self.keys = np.full(1 << bits, EMPTY)
+        self.values = np.zeros((tree.models, 1 << bits), np.float32)
+
+    def log_probs(self, keys: np.ndarray) -> np.ndarray:
+        """Natural log probabilities, a row for each model."""
+        slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        out = np.take(self.values, slot, axis=1)
+        missed = np.flatnonzero(self.keys[slot] != keys)
+        if len(missed):
+            new, at = np.unique(keys[missed], return_inverse=True)
+            logs = self.tree.log_probs(new).T
+            out[:, missed] = logs[:, at]
+            slot, first = np.unique(slot[missed], return_index=True)
+            self.keys[slot] = new[at[first]]
+            self.values[:, slot] = logs[:, at[first]]
+        return out
+
+
 def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, with the sums of their counts (a row for each key)."""
     distinct, at = np.unique(keys, return_inverse=True)

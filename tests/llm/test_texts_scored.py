@@ -245,6 +245,24 @@ def test_byte_restaurants_share_out_all_probability(small_model):
         assert p.sum(axis=0) == pytest.approx(np.ones(model.tree.models), rel=1e-4)
 
 
+def test_spelling_is_looked_up_once_for_each_gram(small_model, monkeypatch):
+    """Grams that share a slot included; a block of the same words asks the tree for nothing new."""
+    tree = small_model[0].tree
+    words = [f"w{i} the a b".encode() for i in range(300)]
+    raw = np.frombuffer(b"".join(w + b" " for w in words) + b"\x01", np.uint8)
+    block = pitman_yor.texts.Block(raw, np.array([0, len(raw)]), np.array([0]), np.array([0]))
+    grams = pitman_yor.trees.grams(block, pitman_yor.ORDER)
+    plain = [int.from_bytes(raw[max(0, i - pitman_yor.ORDER) : i + 1].tobytes(), "big") for i in range(len(raw))]
+    assert grams.tolist() == plain
+    for bits in (4, 19):
+        recent = pitman_yor.trees.Recent(tree, bits)
+        assert all((recent.log_probs(grams) == tree.log_probs(grams).T).all() for _ in range(2))
+    asked = []
+    monkeypatch.setattr(type(tree), "log_probs", lambda self, keys: asked.append(keys))
+    pitman_yor._letters(recent, block)
+    assert not asked
+
+
 def test_word_restaurants_share_out_all_probability(small_model):
     model, _ = small_model
     total = model.own.sum(axis=0) + model.escape
