@@ -22,7 +22,7 @@ with the texts by their hash when these are scored. What is bounded by parameter
 is the context: `contexts` words have a restaurant, and `nodes` bounds the dishes
 of word and of byte contexts. Customers beyond that sit down in the parent
 restaurant at once; a word restaurant leaves its parent the mass of those it has
-passed on.
+passed on. word_pairs has the model whose word contexts have no such bounds.
 """
 
 from __future__ import annotations
@@ -153,15 +153,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, spelled, _ in _spelled(batch.column(0)):
             found = texts.words(block)
             for kind, keys in (
-                (0, trees.grams(spelled, ORDER)[trees.own(spelled)]),
+                (0, trees.grams(spelled, ORDER)[trees.own(spelled) if spelled.lead.any() else slice(None)]),
                 (1, texts.hashes(texts.LOWER[block.data], found.starts, found.ends)),
             ):
                 distinct, n = np.unique(keys, return_counts=True)
                 held[kind].append((distinct, n.astype(np.int64)))
                 size += len(distinct)
-        if size > 1 << 22:
-            yield from (_gather(part, kind) for kind, part in enumerate(held) if part)
-            held, size = ([], []), 0
+            if size > 1 << 21:
+                yield from (_gather(part, kind) for kind, part in enumerate(held) if part)
+                held, size = ([], []), 0
     yield from (_gather(part, kind) for kind, part in enumerate(held) if part)
 
 
@@ -408,11 +408,12 @@ def _spelling(grams: DataFrame, nodes: int, samples: int, sweeps: int, tasks: in
 
 def _letters(recent: trees.Recent, spelled: texts.Block) -> np.ndarray:
     """Log probabilities of the tokens as they are spelled, a row for each sample."""
-    mine = trees.own(spelled)
-    p = recent.log_probs(trees.grams(spelled, ORDER))
+    keys, data = trees.grams(spelled, ORDER), spelled.data
     if spelled.lead.any():
-        p[:, ~mine] = 0
-    closing = np.flatnonzero(((spelled.data == 32) | (spelled.data == END)) & mine)
+        mine = trees.own(spelled)
+        keys, data = keys[mine], data[mine]
+    p = recent.log_probs(keys)
+    closing = np.flatnonzero((data == 32) | (data == END))
     if not len(closing):
         return np.zeros((len(p), 0))
     return np.add.reduceat(p, np.append(0, closing[:-1] + 1), axis=1, dtype=np.float64)
@@ -559,6 +560,25 @@ def _most(table: DataFrame, column: str, bound: int) -> int:
     return least
 
 
+def counted(slim: DataFrame, nodes: int, samples: int, sweeps: int, tasks: int) -> tuple[trees.Tree, DataFrame, int, int, int]:
+    """The byte restaurants of texts; (key, n) of their words, stored; and how many texts, tokens and different tokens there are."""
+    counts = slim.mapInArrow(_counts, "kind byte, key long, n long")
+    counts = materialise(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+    n_texts = slim.count()
+    vocabulary = counts.where("kind = 1")
+    total, kinds = vocabulary.agg(F.sum("n"), F.count("*")).first()
+    tree = _spelling(counts.where("kind = 0").select(F.col("key").alias("gram"), "n"), nodes, samples, sweeps, tasks)
+    return tree, counts, n_texts, (total or 0) + n_texts, kinds + (n_texts > 0)
+
+
+def frequent_words(counts: DataFrame, frequent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the most frequent words, by counts down."""
+    vocabulary = counts.where("kind = 1").select("key", "n")
+    least = _most(vocabulary, "n", frequent)
+    common = vocabulary.where(F.floor(F.log2("n") * 4) >= least).toArrow().sort_by([("n", "descending"), ("key", "ascending")])
+    return common.column("key").to_numpy().astype(np.uint64), common.column("n").to_numpy()
+
+
 def train(
     df: DataFrame,
     text: str = "text",
@@ -576,18 +596,8 @@ def train(
     `frequent` words at most; the table of the others has no bound.
     """
     slim = df.select(F.col(text).alias("text"))
-    counts = slim.mapInArrow(_counts, "kind byte, key long, n long")
-    counts = materialise(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
-    n_texts = df.count()
-    vocabulary = counts.where("kind = 1").select("key", "n")
-    total, kinds = vocabulary.agg(F.sum("n"), F.count("*")).first()
-    n_tokens = (total or 0) + n_texts
-    tree = _spelling(counts.where("kind = 0").select(F.col("key").alias("gram"), "n"), nodes, samples, sweeps, tasks)
-
-    size = F.floor(F.log2("n") * 4)
-    least = _most(vocabulary, "n", frequent)
-    common = vocabulary.where(size >= least).toArrow().sort_by([("n", "descending"), ("key", "ascending")])
-    keys, n_words = common.column("key").to_numpy().astype(np.uint64), common.column("n").to_numpy()
+    tree, counts, n_texts, n_tokens, kinds = counted(slim, nodes, samples, sweeps, tasks)
+    keys, n_words = frequent_words(counts, frequent)
     words, m = trees.Index(keys), len(keys)
     discard(counts)
     contexts = min(contexts, m)
@@ -601,7 +611,7 @@ def train(
     met = materialise(met.groupBy("kind", "key").agg(F.sum("n").alias("n"), *[F.max(s).alias(s) for s in names]), "lm-met")
     spelled = met.where("kind = 1").select("key", *names).toArrow()
     pairs = met.where("kind = 0").select(F.col("key").alias("pair"), "n")
-    pairs = pairs.where(size >= _most(pairs, "n", nodes))
+    pairs = pairs.where(F.floor(F.log2("n") * 4) >= _most(pairs, "n", nodes))
     kept = pairs.toArrow()
     pair, n_pairs = kept.column("pair").to_numpy(), kept.column("n").to_numpy()
 
@@ -653,7 +663,7 @@ def train(
         left / room[:, None],
         n_texts,
         n_tokens,
-        kinds + (n_texts > 0),
+        kinds,
     )
     served = [
         ((F.col("n") - DISCOUNT[ALL_WORDS] * F.col(f"t{s}")) / F.lit(float(rooms[s]))).alias(f"p{s}") for s in range(samples)

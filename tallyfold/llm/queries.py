@@ -13,13 +13,13 @@ from tallyfold.llm import (
     mixing,
     ngram_join,
     pii,
-    pitman_yor,
     quality,
     substrings,
     texts,
     topk,
     toxicity,
     urls,
+    word_pairs,
 )
 from tallyfold.llm.inputs import table
 
@@ -70,9 +70,7 @@ def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document, learned from those whose crc32 mod 7 is not 2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = texts.learned(F.col("doc_id"), 7, 2)
-    model, rare = pitman_yor.train(docs.where(known))
-    out = pitman_yor.score(docs.withColumn("held_out", ~known), model, rare)
-    return out.drop("text")
+    return word_pairs.score(docs.withColumn("held_out", ~known), ~F.col("held_out"))
 
 
 RULES = (

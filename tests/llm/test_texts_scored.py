@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallyfold.llm import language, mixing, pii, pitman_yor, quality, queries, toxicity, urls
+from tallyfold.llm import language, mixing, pii, pitman_yor, quality, queries, toxicity, urls, word_pairs
 
 
 def _held(doc_id, mod, at):
@@ -352,6 +352,61 @@ def test_every_word_has_a_dish_whether_in_memory_or_joined(spark):
     assert total[1] == pytest.approx(total[0], rel=0.1)
 
 
+def _whole(spark, train, probes, **bounds):
+    rows = [(i, t, True) for i, t in enumerate(train)] + [(1000 + i, t, False) for i, t in enumerate(probes)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learned boolean")
+    return _by_id(word_pairs.score(df, df.learned, tasks=3, **bounds))
+
+
+def test_every_word_is_a_context_and_every_pair_a_dish(spark):
+    """Two words that always follow each other are likelier so than apart, however rare the words are."""
+    train = [f"x{i} y{i} x{i} y{i}" for i in range(60)] + LM_DOCS
+    probes = [f"x{i} y{i} x{i} y{i}" for i in range(60)] + [f"x{i} y{(i + 7) % 60} x{i} y{(i + 7) % 60}" for i in range(60)]
+    for frequent in (1 << 17, 3):
+        got = _whole(spark, train, probes, frequent=frequent)
+        assert len(got) == len(train) + len(probes)
+        for i in range(60):
+            assert got[1000 + i].score > got[1060 + i].score + 1, (frequent, i)
+            assert got[1000 + i].score == pytest.approx(got[i].score) and got[1000 + i].n_known == 5
+
+
+def test_whole_model_counts_as_the_base_does_wherever_its_pairs_are(spark):
+    """What is frequent decides where a pair is counted, not what comes of it."""
+    probes = ["never seen b a", "", None, "once Once ONCE", "words of rare Äpfel", "rare words here", "x" * 400]
+    got = [_whole(spark, LM_DOCS, probes, frequent=frequent, per_dest=per) for frequent, per in ((1 << 17, 1 << 21), (3, 5))]
+    train = spark.createDataFrame(list(enumerate(LM_DOCS)), "doc_id long, text string")
+    df = spark.createDataFrame([*enumerate(LM_DOCS), *((1000 + i, t) for i, t in enumerate(probes))], "doc_id long, text string")
+    bounded = _by_id(pitman_yor.score(df, *pitman_yor.train(train, tasks=2)))
+    for i, r in bounded.items():
+        for whole in got:
+            assert (whole[i].n_tokens, whole[i].n_known, whole[i].train_tokens) == (r.n_tokens, r.n_known, r.train_tokens)
+            assert whole[i].base_score == pytest.approx(r.base_score) and math.isfinite(whole[i].score)
+    # tables are drawn at random, and so few customers that texts differ by some hundredths
+    total = [sum(r.score for i, r in whole.items() if i < 1000) for whole in (bounded, *got)]
+    assert total[1] == pytest.approx(total[0], rel=0.15) and total[2] == pytest.approx(total[1], rel=0.1)
+
+
+def test_texts_in_many_pieces_keep_their_pairs(spark, monkeypatch):
+    texts_of = ["a b rare one " * 30, "two rare words " * 30, "a b"]
+    plain = _whole(spark, texts_of, texts_of, frequent=2)
+    x = np.array([0, 1, 127, 128, 1 << 40, 5], np.int64)
+    assert word_pairs.unpacked(word_pairs.packed(x) + b"rest", 6)[0].tolist() == x.tolist()
+    words = (pitman_yor.trees.Index(np.zeros(0, np.uint64)), np.array([3.0]))
+    monkeypatch.setattr(word_pairs, "TaskContext", type("T", (), {"get": lambda: type("P", (), {"partitionId": lambda self: 0})()}))
+
+    def pairs(chunk, block):
+        monkeypatch.setattr(word_pairs, "CHUNK", chunk)
+        monkeypatch.setattr(pitman_yor.texts, "BLOCK", block)
+        batch = pa.record_batch({"l": pa.array([True] * 3), "t": pa.array(texts_of)})
+        run = word_pairs._pack(type("B", (), {"value": words}), 1, 1e9, [], 0, 1)
+        rows = pa.Table.from_batches(run(iter([batch])))
+        known = word_pairs.Known(pitman_yor.trees.Tree(1), words[1], np.array([1], np.uint8), np.array([0]), np.array([1]), np.zeros(1, np.uint64))
+        place = word_pairs.Place(known, rows)
+        return {(u, w): n for u, w, n in zip(place.us.tolist(), place.ws.tolist(), place.n.tolist(), strict=True)}
+
+    assert pairs(1 << 20, 1 << 21) == pairs(7, 64) and len(plain) == 6
+
+
 def test_seating_keeps_its_bounds():
     rng = np.random.default_rng(0)
     n = np.array([0.0, 1, 2, 33, 1000, 10**7])
